@@ -791,4 +791,14 @@ FROM promotions""")
     m["recency"] = q(f"SELECT subscriber_id, CAST(datediff('day', last_engagement_date, {AS_OF}) AS INTEGER) "
                      "AS days_since_last FROM engagement_features")
     m["incremental_features"] = m["engagement_features"]
+    # T1 stream: append mode emits a window once the watermark (max event time - 1 day) reaches its end
+    m["monitor_daily_stream"] = q("""SELECT * FROM daily
+WHERE CAST(day AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM monitoring_source) - INTERVAL 1 DAY""")
+    enc = []
+    for c in FE.CATEGORICAL_FEATURES:
+        enc.append(f"""CAST(CASE WHEN {c} IN (SELECT {c} FROM wide_split WHERE split = 'train')
+            THEN (SELECT COUNT(DISTINCT t.{c}) FROM wide_split t WHERE t.split = 'train' AND t.{c} < s.{c})
+            ELSE (SELECT COUNT(DISTINCT t.{c}) FROM wide_split t WHERE t.split = 'train') END AS INTEGER)
+          AS {c}_idx""")
+    m["label_encode"] = q(f"SELECT s.subscriber_id, {', '.join(enc)} FROM spine s")
     return m

@@ -16,11 +16,12 @@ from ..sources.schemas import DEFAULT_AS_OF
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, root: str, as_of: _dt.datetime = DEFAULT_AS_OF):
+    def __init__(self, spark: SparkSession, root: str, as_of: _dt.datetime = DEFAULT_AS_OF,
+                 catalog: Catalog | None = None):
         self.spark = spark
         self.root = root
         self.as_of = as_of
-        self.cat = Catalog(spark, root, as_of)
+        self.cat = catalog or Catalog(spark, root, as_of)
 
     @cached_property
     def views(self) -> dict[str, DataFrame]:

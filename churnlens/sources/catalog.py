@@ -36,6 +36,15 @@ class Catalog:
         self.root = root
         self.as_of = as_of
 
+    @classmethod
+    def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame],
+                    as_of: _dt.datetime = DEFAULT_AS_OF) -> "Catalog":
+        """A catalog over given raw tables (hand fixtures, or tables already stored elsewhere)."""
+        cat = cls(spark, root="", as_of=as_of)
+        for name, df in frames.items():
+            cat.__dict__[name] = df  # pre-fills the cached property
+        return cat
+
     def driver(self, name: str) -> DataFrame:
         return scan_table(self.spark, self.root, name)
 

@@ -186,8 +186,14 @@ def _features_array(model: PipelineModel, df: DataFrame) -> DataFrame:
     return prep.transform(model_inputs(df)).select(KEY, vector_to_array("features").alias("x"))
 
 
-def tree_attribution(spark: SparkSession, model: PipelineModel, model_path: str, df: DataFrame) -> DataFrame:
-    """Per row base value, margin and one attribution per model input (wide array)."""
+def tree_attribution(spark: SparkSession, model: PipelineModel, model_path: str, df: DataFrame,
+                     rows_per_task: int = 2_000) -> DataFrame:
+    """Per row base value, margin and one attribution per model input (wide array).
+
+    The work is CPU-bound Python per row while the input is small in bytes, so AQE would
+    coalesce it into a single task; the rows are spread over an explicit partition count
+    (about ``rows_per_task`` rows each, at least the cluster's parallelism) instead.
+    """
     tables = load_tree_tables(spark, model_path, list(gbt_stage(model).treeWeights))
     base = expected_value(tables)
     bc = spark.sparkContext.broadcast(tables)
@@ -203,7 +209,10 @@ def tree_attribution(spark: SparkSession, model: PipelineModel, model_path: str,
                                 "margin": tree_margin(tabs, X), "attribution": list(phi)})
 
     schema = f"{KEY} string, base_value double, margin double, attribution array<double>"
-    return _features_array(model, df).mapInPandas(attribute, schema)
+    feats = _features_array(model, df)
+    n = feats.count()
+    parts = max(spark.sparkContext.defaultParallelism, -(-n // rows_per_task))
+    return feats.repartition(parts, KEY).mapInPandas(attribute, schema)
 
 
 def attribution_long(attr: DataFrame) -> DataFrame:
@@ -242,32 +251,31 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
 
     Shuffling is local: rows are hashed into buckets of about ``rows_per_bucket`` rows and,
     inside a bucket, each row takes the value of its successor in a hash order (a cyclic
-    shift). No global sort, no single-task group; every feature's permuted copy is scored
-    in the same transform and aggregated in one groupBy.
+    shift) -- one window pass computes the shifted value of every column at once.  Each row
+    is then exploded into one variant per feature (that column replaced), all variants are
+    scored by a single ``transform`` and aggregated by one groupBy.  No global sort, no
+    single-task group.
     """
-    features = features or list(feature_columns())
-    features = [f for f in features if not f.endswith("_idx")] + \
-               [f[:-4] for f in features if f.endswith("_idx")]
+    names = features or list(feature_columns())
+    cols = [f[:-4] if f.endswith("_idx") else f for f in names]
     inputs = model_inputs(df)
     n = inputs.count()
     n_buckets = max(1, n // rows_per_bucket)
     keyed = (inputs.withColumn("_bucket", F.pmod(F.xxhash64(KEY, F.lit(seed)), F.lit(n_buckets)))
-             .withColumn("_h", F.xxhash64(KEY, F.lit(seed + 1)))
-             .repartition("_bucket"))
+             .withColumn("_h", F.xxhash64(KEY, F.lit(seed + 1))))
     w = Window.partitionBy("_bucket").orderBy("_h", KEY)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    branches = []
-    for f in features:
-        shifted = F.coalesce(F.lead(F.col(f)).over(w), F.first(F.col(f)).over(w_all))
-        branches.append(keyed.withColumn(f, shifted).withColumn("perm_feature", F.lit(f)))
-    base = keyed.withColumn("perm_feature", F.lit("__none__"))
-    allrows = base.unionByName(branches[0]) if branches else base
-    for b_ in branches[1:]:
-        allrows = allrows.unionByName(b_)
+    shifted = keyed.select(KEY, LABEL, *cols, *[
+        F.coalesce(F.lead(F.col(c)).over(w), F.first(F.col(c)).over(w_all)).alias(f"_s_{c}") for c in cols])
+    variants = [F.struct(F.lit("__none__").alias("perm_feature"), *[F.col(c).alias(c) for c in cols])]
+    for c in cols:
+        variants.append(F.struct(F.lit(c).alias("perm_feature"),
+                                 *[(F.col(f"_s_{x}") if x == c else F.col(x)).alias(x) for x in cols]))
+    allrows = shifted.select(KEY, LABEL, F.explode(F.array(*variants)).alias("_v")).select(KEY, LABEL, "_v.*")
     scored = model.transform(allrows)
     acc = scored.groupBy("perm_feature").agg(
         F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("accuracy"))
     b0 = acc.filter(F.col("perm_feature") == "__none__").select(F.col("accuracy").alias("base_accuracy"))
-    return (acc.filter(F.col("perm_feature") != "__none__").crossJoin(b0)
+    return (acc.filter(F.col("perm_feature") != "__none__").crossJoin(b0)  # one-row side
             .select(F.col("perm_feature").alias("feature"), F.round("accuracy", 6).alias("permuted_accuracy"),
                     F.round(F.col("base_accuracy") - F.col("accuracy"), 6).alias("importance")))

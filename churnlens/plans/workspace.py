@@ -17,14 +17,23 @@ from ..sources.schemas import DEFAULT_AS_OF
 
 class Workspace:
     def __init__(self, spark: SparkSession, root: str, as_of: _dt.datetime = DEFAULT_AS_OF,
-                 catalog: Catalog | None = None):
+                 catalog: Catalog | None = None, materialize: bool = False):
         self.spark = spark
         self.root = root
         self.as_of = as_of
         self.cat = catalog or Catalog(spark, root, as_of)
+        self.materialize = materialize
+
+    @cached_property
+    def _store(self):
+        from .feature_store import materialized
+        return materialized(self)
 
     @cached_property
     def views(self) -> dict[str, DataFrame]:
+        """The five feature views: lazy plans, or the bucketed feature-store tables."""
+        if self.materialize:
+            return self._store[0]
         return FE.view_frames(self.cat)
 
     @cached_property
@@ -34,6 +43,8 @@ class Workspace:
     @cached_property
     def wide(self) -> DataFrame:
         """CHURN_FEATURES: spine + five views, numeric gaps 0."""
+        if self.materialize:
+            return self._store[1]
         return FE.churn_features(self.cat, self.as_of, self.views)
 
     @cached_property

@@ -56,3 +56,28 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem API (local disk, HDFS or object stores)."""
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def file_fingerprints(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file under ``path``, recursively."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
+    return sorted(out)

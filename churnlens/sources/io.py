@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, path_exists, scratch_path
 
 
 def sql_query(spark: SparkSession, views: dict[str, DataFrame], text: str, args: dict | None = None) -> DataFrame:
@@ -133,7 +133,7 @@ def register_view(spark: SparkSession, fv, frame: DataFrame, root: str, refresh:
     overwrites.
     """
     path = os.path.join(root, fv.name.lower(), fv.version.lower())
-    exists = os.path.exists(os.path.join(path, "_SUCCESS"))
+    exists = path_exists(spark, f"{path}/_SUCCESS")
     if refresh or not exists:
         frame.repartition(*fv.entity.join_keys).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -39,3 +39,21 @@ def test_scan_is_pruned(spark):
     text = plan(Q["tier_risk"](spark, SF_SMALL))
     for m in re.findall(r"ReadSchema: struct<([^>]*)>", text):
         assert "c_name" not in m and "o_comment" not in m
+
+
+def test_bucketed_views_join_without_exchange(spark):
+    """With broadcasts off (the large-table path), predictions x payment view is a bucket-aligned
+    sort-merge join: the only exchange left is the final aggregate's."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Q["at_risk_summary"](spark, SF_SMALL)
+        p = df._jdf.queryExecution().executedPlan()
+        text = p.toString()
+        final = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "SortMergeJoin" in final
+        join_part = final.split("SortMergeJoin", 1)[1].split("\n\n", 1)[0]
+        assert "Exchange" not in join_part, final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -17,11 +17,12 @@ import hashlib
 import inspect
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as FE
-from ..session import file_fingerprints, path_exists, scratch_path
+from ..session import file_fingerprints, path_exists, rename_path, scratch_path
 from ..sources import adapters
 
 KEY = FE.KEY
@@ -43,18 +44,31 @@ def store_key(spark: SparkSession, root: str, as_of, buckets: int) -> str:
     return h.hexdigest()[:16]
 
 
+def _register(spark: SparkSession, name: str, path: str, buckets: int) -> DataFrame:
+    ddl = spark.read.parquet(path)._jdf.schema().toDDL()
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet CLUSTERED BY ({KEY}) "
+              f"SORTED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def _table(spark: SparkSession, name: str, path: str, buckets: int, build) -> DataFrame:
-    """Get-or-create one bucketed table; a new session re-registers existing files."""
+    """Get-or-create one bucketed table.
+
+    A build writes to a private temporary path and renames it into place, so a reader (or a
+    concurrent builder in another process sharing the folder) never sees a partial table;
+    a later session re-registers the finished files with the same bucket spec.
+    """
     if spark.catalog.tableExists(name):
         return spark.table(name)
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        spark.sql(f"CREATE TABLE {name} USING parquet CLUSTERED BY ({KEY}) SORTED BY ({KEY}) "
-                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
-        return spark.table(name)
-    df = build()
-    (df.write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
-     .option("path", path).saveAsTable(name))
-    return spark.table(name)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        tmp_name = f"{name}_tmp_{uuid.uuid4().hex[:8]}"
+        (build().write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
+         .option("path", tmp).saveAsTable(tmp_name))
+        spark.sql(f"DROP TABLE IF EXISTS {tmp_name}")  # external table: drops the entry, keeps the files
+        if not rename_path(spark, tmp, path) and not path_exists(spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(f"could not publish feature table at {path}")
+    return _register(spark, name, path, buckets)
 
 
 def materialized(ws, buckets: int | None = None, version: str = "") -> tuple[dict[str, DataFrame], DataFrame]:

@@ -791,6 +791,59 @@ FROM promotions""")
     m["recency"] = q(f"SELECT subscriber_id, CAST(datediff('day', last_engagement_date, {AS_OF}) AS INTEGER) "
                      "AS days_since_last FROM engagement_features")
     m["incremental_features"] = m["engagement_features"]
+    m["alias"] = q("SELECT subscriber_id, subscription_tier FROM subscribers")
+    m["with_column"] = q("SELECT subscriber_id, tenure_days, 'spine' AS source, "
+                         "CAST(floor(tenure_days / 7) AS BIGINT) AS tenure_weeks FROM spine")
+    m["drop_columns"] = q("""SELECT sp.subscriber_id, sp.subscription_tier, sp.billing_cycle, sp.tenure_days, sp.churned,
+       CASE WHEN s.bucket < 60 THEN 'train' WHEN s.bucket < 80 THEN 'validation' ELSE 'test' END AS split
+FROM spine sp JOIN split s USING (subscriber_id)""")
+    m["match_flag"] = q("""SELECT s.subscriber_id, CASE WHEN p.subscriber_id IS NOT NULL THEN 1 ELSE 0 END AS has_promo
+FROM subscribers s LEFT JOIN (SELECT DISTINCT subscriber_id FROM promotions) p ON s.subscriber_id = p.subscriber_id""")
+    m["fill_by_map"] = q("SELECT subscriber_id, churned FROM spine")
+    fill_cols = [c for c in WIDE_COLS if c not in ("churned", "last_engagement_date")]
+    m["fill_all"] = q(f"SELECT {_sel(fill_cols)} FROM churn_features")
+    m["cast"] = q("""SELECT payment_id, CAST(amount AS DOUBLE) AS amount_float, CAST(amount AS INTEGER) AS amount_int,
+       CAST(transaction_timestamp AS VARCHAR) AS ts_text, TRY_CAST(payment_id AS BIGINT) AS payment_number,
+       TRY_CAST('n/a' AS INTEGER) AS bad_number
+FROM payments""")
+    m["coalesce"] = q("SELECT s.subscriber_id, COALESCE(p.total_promos, 0) AS total_promos FROM subscribers s "
+                      "LEFT JOIN promo_features p ON s.subscriber_id = p.subscriber_id")
+    m["safe_ratio"] = q("""SELECT subscriber_id,
+       ROUND(CAST(emails_opened AS DOUBLE) / NULLIF(emails_sent, 0), 6) AS nullif_rate,
+       ROUND(CASE WHEN emails_opened > 0 THEN CAST(emails_clicked AS DOUBLE) / emails_opened ELSE 0 END, 6) AS case_rate,
+       ROUND(CAST(emails_clicked AS DOUBLE) / greatest(CAST(emails_opened AS DOUBLE), 1.0), 6) AS floor_rate
+FROM email_features""")
+    m["left_for_sum"] = q("SELECT ROUND(SUM(COALESCE(CAST(pf.total_revenue AS DOUBLE), 0)), 2) AS total_revenue "
+                          "FROM churn_predictions p LEFT JOIN payment_features pf USING (subscriber_id)")
+    m["scenario_cross"] = m["scenario_grid"]
+    m["as_of_last"] = q("""SELECT history_id, subscriber_id, last_payment_status, last_payment_id FROM (
+  SELECT c.history_id, c.subscriber_id, p.payment_status AS last_payment_status, p.payment_id AS last_payment_id,
+         ROW_NUMBER() OVER (PARTITION BY c.history_id
+                            ORDER BY p.transaction_timestamp DESC NULLS LAST, p.payment_id DESC NULLS LAST) AS rn
+  FROM (SELECT history_id, subscriber_id, event_timestamp AS ts FROM subscription_history
+        WHERE event_type = 'cancel') c
+  LEFT JOIN payments p ON p.subscriber_id = c.subscriber_id AND p.transaction_timestamp <= c.ts)
+WHERE rn = 1""")
+    m["sink_overwrite"] = q("SELECT subscriber_id, actual_churn, predicted_churn FROM churn_predictions")
+    m["sink_append"] = q("SELECT * FROM rule_runs UNION ALL SELECT * FROM rule_runs")
+    m["bulk_load"] = q("""SELECT payment_id, ROUND(CAST(amount AS DOUBLE), 6) AS amount,
+       CASE WHEN payment_status = 'failed' THEN NULL ELSE ROUND(CAST(amount AS DOUBLE), 6) END AS ratio
+FROM payments""")
+    m["schema_ddl"] = q("SELECT payment_id, subscriber_id, ROUND(CAST(amount AS DOUBLE), 2) AS amount, payment_status "
+                        "FROM payments")
+    m["export_csv"] = m["top_100_export"]
+    fv_rows = ", ".join(f"('{FE.FEATURE_VIEWS[k].name}', '{FE.FEATURE_VIEWS[k].version}', "
+                        f"'{FE.FEATURE_VIEWS[k].entity.name}', '{FE.FEATURE_VIEWS[k].description}', "
+                        f"'{FE.FEATURE_VIEWS[k].refresh}', '{k}')" for k in FE.VIEW_ORDER)
+    fv_counts = _union([f"SELECT '{k}' AS view, COUNT(*) AS rows FROM {k}_features" for k in FE.VIEW_ORDER])
+    m["feature_view_list"] = q(f"""SELECT d.name, d.version, d.entity, d.description, d.refresh, c.rows
+FROM (VALUES {fv_rows}) d(name, version, entity, description, refresh, view) JOIN ({fv_counts}) c USING (view)""")
+    m["register_view"] = m["payment_features"]
+    m["register_entity"] = q("""SELECT 'SUBSCRIBER' AS entity, 'subscriber_id' AS key_column, CAST(SUM(n) AS BIGINT) AS rows,
+       CAST(COALESCE(SUM(CASE WHEN k IS NULL THEN n END), 0) AS BIGINT) AS null_keys,
+       COUNT(*) FILTER (WHERE k IS NOT NULL AND n > 1) AS duplicate_keys
+FROM (SELECT subscriber_id AS k, COUNT(*) AS n FROM subscribers GROUP BY subscriber_id)""")
+    m["refresh_view"] = m["support_features"]
     # T1 stream: append mode emits a window once the watermark (max event time - 1 day) reaches its end
     m["monitor_daily_stream"] = q("""SELECT * FROM daily
 WHERE CAST(day AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM monitoring_source) - INTERVAL 1 DAY""")

@@ -694,3 +694,181 @@ def all_queries() -> dict[str, Callable[[Workspace], DataFrame]]:
     from . import model_queries  # noqa: F401  (registers the model-backed keys)
     from ..streaming import queries as stream_queries  # noqa: F401
     return dict(REGISTRY)
+
+
+# ---------------------------------------------------------------------------
+# Remaining inventory keys (one small plan each, all over the given tables)
+# ---------------------------------------------------------------------------
+
+@register("alias")
+def alias(ws):  # P2: computed columns renamed, names folded to lower case
+    s = ws.cat.subscribers.select(F.col("subscriber_id").alias("SUBSCRIBER_ID"),
+                                  F.col("subscription_tier").alias("TIER"))
+    return s.toDF(*[c.lower() for c in s.columns]).withColumnsRenamed({"tier": "subscription_tier"})
+
+
+@register("with_column")
+def with_column(ws):  # P3: constant and computed columns
+    return ws.spine.select(KEY, "tenure_days").withColumn("source", F.lit("spine")) \
+        .withColumn("tenure_weeks", F.floor(F.col("tenure_days") / 7).cast("long"))
+
+
+@register("drop_columns")
+def drop_columns(ws):  # P4
+    return QA.with_split(ws.spine).drop("bucket", "age", "acquisition_channel")
+
+
+@register("match_flag")
+def match_flag(ws):  # P9: 1 when the outer-join partner exists (subscribers with any promotion)
+    p = ws.cat.promotions.select(F.col(KEY).alias("promo_id")).distinct()
+    s = ws.cat.subscribers.select(KEY)
+    return s.join(p, s[KEY] == p["promo_id"], "left").select(
+        KEY, F.when(F.col("promo_id").isNotNull(), 1).otherwise(0).alias("has_promo"))
+
+
+@register("fill_by_map")
+def fill_by_map(ws):  # P10: fillna({'churned': 0}) after the label join
+    ids = ws.cat.subscribers.select(KEY)
+    c = FE.churned_ids(ws.cat).withColumn("churned", F.lit(1))
+    return ids.join(c, KEY, "left").fillna({"churned": 0})
+
+
+@register("fill_all")
+def fill_all(ws):  # P12: fill 0 in every column that accepts it (the scoring path)
+    j = FE.join_views(FE.subscriber_base(ws.cat, ws.as_of), ws.views).fillna(0)
+    return tidy(j.drop("last_engagement_date"))
+
+
+@register("cast")
+def cast(ws):  # P14: ::FLOAT ::INT ::VARCHAR ::NUMBER, try_cast for text
+    p = ws.cat.payments
+    return p.select("payment_id", F.col("amount").cast("double").alias("amount_float"),
+                    # ::INT on a decimal rounds in the reference's warehouse; Spark's cast truncates
+                    F.round("amount", 0).cast("int").alias("amount_int"),
+                    F.col("transaction_timestamp").cast("string").alias("ts_text"),
+                    F.col("payment_id").try_cast("long").alias("payment_number"),
+                    F.lit("n/a").try_cast("int").alias("bad_number"))
+
+
+@register("coalesce")
+def coalesce(ws):  # P15
+    j = ws.cat.subscribers.select(KEY).join(ws.views["promo"].select(KEY, "total_promos"), KEY, "left")
+    return j.select(KEY, F.coalesce("total_promos", F.lit(0)).alias("total_promos"))
+
+
+@register("safe_ratio")
+def safe_ratio(ws):  # P16: the three zero guards side by side
+    from ..functions.scalar import ratio_floor_one, ratio_or_null, ratio_or_zero
+    e = ws.views["email"]
+    return e.select(KEY, round_ratio(ratio_or_null("emails_opened", "emails_sent")).alias("nullif_rate"),
+                    round_ratio(ratio_or_zero("emails_clicked", "emails_opened")).alias("case_rate"),
+                    round_ratio(ratio_floor_one("emails_clicked", "emails_opened")).alias("floor_rate"))
+
+
+@register("schema_introspect")
+def schema_introspect(ws):  # P17: column types of the wide table, with non-null counts from the data
+    w = ws.wide
+    numeric = [f.name for f in w.schema.fields if isinstance(f.dataType, T.NumericType)]
+    counts = w.agg(*[F.count(c).alias(c) for c in numeric])
+    types = ws.spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in w.schema.fields
+                                      if f.name in numeric], "column_name string, data_type string")
+    long = counts.unpivot([], numeric, "column_name", "non_null")
+    return types.join(long, "column_name")
+
+
+@register("left_for_sum")
+def left_for_sum(ws):  # J7: predictions left join revenue, then sum
+    j = ws.predictions.join(ws.payment_view.select(KEY, "total_revenue"), KEY, "left")
+    return j.agg(round_money(F.sum(F.coalesce(F.col("total_revenue").cast("double"), F.lit(0.0))))
+                 .alias("total_revenue"))
+
+
+@register("scenario_cross")
+def scenario_cross(ws):  # J11
+    return BZ.scenario_grid(BZ.at_risk_revenue(ws.predictions, ws.wide))
+
+
+@register("as_of_last")
+def as_of_last(ws):  # W5: last payment status at or before each cancel event
+    spine = ws.cat.subscription_history.filter(F.col("event_type") == "cancel").select(
+        "history_id", KEY, F.col("event_timestamp").alias("ts"))
+    ev = ws.cat.payments.select(KEY, F.col("transaction_timestamp").alias("ts"), "payment_id", "payment_status")
+    out = TL.as_of_features(spine, ev, KEY, "ts", "history_id", order_col="payment_id", sums=[],
+                            last_cols=["payment_status", "payment_id"])
+    return out.select("history_id", KEY, "last_payment_status", "last_payment_id")
+
+
+@register("sink_overwrite")
+def sink_overwrite(ws):  # S4: overwrite the predictions table twice, read the final state
+    path = IO.scratch_path(ws.spark, "ml", "churn_predictions", "current")
+    IO.sink_overwrite(ws.predictions.filter(F.col("predicted_churn") == 1), path)
+    IO.sink_overwrite(ws.predictions.drop("prediction_timestamp"), path)
+    return ws.spark.read.parquet(path)
+
+
+@register("sink_append")
+def sink_append(ws):  # S5: append the run rows twice to a table created on first write
+    import uuid
+    path = IO.scratch_path(ws.spark, "ml", "experiment_runs_" + uuid.uuid4().hex[:8])
+    runs = EV.rule_sweep_runs(ws.wide, ws.as_of)
+    IO.sink_append(runs, path)
+    IO.sink_append(runs, path)
+    return ws.spark.read.parquet(path)
+
+
+@register("bulk_load")
+def bulk_load(ws):  # S9: helper columns dropped, NaN -> NULL, overwrite, read back
+    import uuid
+    root = IO.scratch_path(ws.spark, "raw_load", uuid.uuid4().hex[:8])
+    pays = ws.cat.payments.withColumn("_is_failed", F.col("payment_status") == "failed") \
+        .withColumn("ratio", F.when(F.col("payment_status") == "failed", F.lit(float("nan")))
+                    .otherwise(F.col("amount").cast("double")))
+    paths = IO.bulk_load(ws.spark, {"payments": pays}, root)
+    return tidy(ws.spark.read.parquet(paths["payments"]).select("payment_id", "amount", "ratio"))
+
+
+@register("schema_ddl")
+def schema_ddl(ws):  # S10: payments checked against the declared schema, decimals kept exact
+    from ..sources.schemas import PAYMENTS, check_schema
+    return tidy(check_schema(ws.cat.payments, PAYMENTS, "payments").select(
+        "payment_id", KEY, "amount", "payment_status"), 2)
+
+
+@register("export_csv")
+def export_csv(ws):  # S11
+    return top_100_export(ws)
+
+
+@register("feature_view_list")
+def feature_view_list(ws):  # S15: view definitions with the rows each stored view holds
+    defs = IO.feature_view_list(ws.spark, {k: FE.FEATURE_VIEWS[k] for k in FE.VIEW_ORDER})
+    names = ws.spark.createDataFrame([(k, FE.FEATURE_VIEWS[k].name) for k in FE.VIEW_ORDER],
+                                     "view string, name string")
+    counts = QA.view_counts(ws.cat.subscribers, ws.views).withColumnRenamed("name", "view")
+    return defs.join(names, "name").join(counts, "view").drop("view")
+
+
+@register("register_view")
+def register_view(ws):  # S17: get-or-create the payment view at its versioned path
+    import uuid
+    root = IO.scratch_path(ws.spark, "views_" + uuid.uuid4().hex[:8])
+    fv = FE.FEATURE_VIEWS["payment"]
+    IO.register_view(ws.spark, fv, fv.build(ws.cat), root)
+    again = IO.register_view(ws.spark, fv, fv.build(ws.cat), root)  # second call reads, no rebuild
+    return tidy(again)
+
+
+@register("register_entity")
+def register_entity(ws):  # S18: the entity's join key must be unique and non-null in the base table
+    kc = QA.key_check({"subscribers": ws.cat.subscribers}, {"subscribers": KEY})
+    return kc.select(F.lit(FE.SUBSCRIBER.name).alias("entity"), "key_column", "rows", "null_keys",
+                     "duplicate_keys")
+
+
+@register("refresh_view")
+def refresh_view(ws):  # S19: recompute one view now and overwrite it in place
+    import uuid
+    root = IO.scratch_path(ws.spark, "views_" + uuid.uuid4().hex[:8])
+    fv = FE.FEATURE_VIEWS["support"]
+    IO.register_view(ws.spark, fv, fv.build(ws.cat).limit(0), root)
+    return IO.register_view(ws.spark, fv, fv.build(ws.cat), root, refresh=True)

@@ -81,3 +81,15 @@ def file_fingerprints(spark: SparkSession, path: str) -> list[tuple[str, int, in
         st = it.next()
         out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
     return sorted(out)
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+    """Atomic directory rename where the filesystem offers it; False when ``dst`` already exists."""
+    s, fs = _fs(spark, src)
+    d, _ = _fs(spark, dst)
+    if fs.exists(d):
+        return False
+    parent = d.getParent()
+    if parent is not None and not fs.exists(parent):
+        fs.mkdirs(parent)
+    return bool(fs.rename(s, d))

@@ -123,7 +123,7 @@ def what_if_actions(wide: DataFrame) -> DataFrame:
 
 
 def similar_subscribers(wide: DataFrame, queries: DataFrame, k: int = 5,
-                        max_queries: int = 10_000) -> DataFrame:
+                        max_queries: int = 1_000) -> DataFrame:
     """Q5 (J12, W2, L7): for each query profile, the k nearest subscribers with the same billing cycle.
 
     score = |d tenure| / max(max d tenure, 1) + |d engagements| / max(max d eng, 1)
@@ -155,8 +155,14 @@ def similar_subscribers(wide: DataFrame, queries: DataFrame, k: int = 5,
     j = cand.join(F.broadcast(q), "billing_cycle")
     score = (F.abs(F.col("t") - F.col("qt")) / F.col("t_max") + F.abs(F.col("e") - F.col("qe")) / F.col("e_max")
              + F.abs(F.col("r") - F.col("qr")) / F.col("r_max"))
-    w = Window.partitionBy("query_id").orderBy("score", KEY)
-    ranked = j.withColumn("score", score).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    # Two-phase top-k: k best per (query, salt) first, then k best of those per query -- the
+    # final group holds at most k x salts rows, never all candidates of a query.
+    salts = max(1, int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    scored = j.withColumn("score", score).withColumn("_salt", F.pmod(F.xxhash64(KEY), F.lit(salts)))
+    w1 = Window.partitionBy("query_id", "_salt").orderBy("score", KEY)
+    local = scored.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k)
+    w2 = Window.partitionBy("query_id").orderBy("score", KEY)
+    ranked = local.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", KEY, round_ratio("score").alias("similarity_score"),
                          F.col("t").cast("int").alias("tenure_days"), round_money("r").alias("total_revenue"),
                          "churned")
@@ -176,11 +182,16 @@ def at_risk_revenue(pred: DataFrame, wide: DataFrame) -> DataFrame:
 
 
 def revenue_stats(at_risk: DataFrame) -> DataFrame:
-    """Mean, sum, exact median of at-risk revenue (NULLs skipped)."""
+    """Mean, sum, exact median of at-risk revenue (NULLs skipped).
+
+    The median comes from the distributed order statistic (no single-task value buffer).
+    """
+    from .order_stats import exact_median
     r = F.col("total_revenue")
-    return at_risk.agg(F.count(F.lit(1)).alias("num_at_risk"), round_money(F.avg(r)).alias("avg_revenue"),
-                       round_money(F.sum(r)).alias("total_revenue_at_risk"),
-                       round_money(F.median(r)).alias("median_revenue"))
+    agg = at_risk.agg(F.count(F.lit(1)).alias("num_at_risk"), round_money(F.avg(r)).alias("avg_revenue"),
+                      round_money(F.sum(r)).alias("total_revenue_at_risk"))
+    med = exact_median(at_risk, "total_revenue").select(round_money("median").alias("median_revenue"))
+    return agg.crossJoin(med)  # one row x one row
 
 
 def revenue_overview(at_risk: DataFrame, has_features: bool = True) -> DataFrame:
@@ -203,8 +214,9 @@ def campaign_roi(at_risk: DataFrame, success_rate: float = 0.20, cost_per_contac
     """
     target = at_risk
     if high_value_only:
-        med = at_risk.agg(F.median("total_revenue").alias("_med"))
-        target = at_risk.crossJoin(med).filter(F.col("total_revenue") >= F.col("_med")).drop("_med")
+        from .order_stats import exact_quantile_value
+        med = exact_quantile_value(at_risk, "total_revenue", 0.5)
+        target = at_risk.filter(F.col("total_revenue") >= F.lit(med)) if med is not None else at_risk.limit(0)
     avg_all = at_risk.agg(F.avg("total_revenue").alias("avg_all"))
     t = target.agg(F.count(F.lit(1)).alias("n_target"), F.avg("total_revenue").alias("avg_target")).crossJoin(avg_all)
     contacted = F.floor(F.col("n_target") * F.lit(target_share)).cast("long")

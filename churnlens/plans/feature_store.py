@@ -63,7 +63,8 @@ def _table(spark: SparkSession, name: str, path: str, buckets: int, build) -> Da
     if not path_exists(spark, f"{path}/_SUCCESS"):
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
         tmp_name = f"{name}_tmp_{uuid.uuid4().hex[:8]}"
-        (build().write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
+        # one writer per bucket: repartition on the key first, so each bucket is one file
+        (build().repartition(buckets, KEY).write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
          .option("path", tmp).saveAsTable(tmp_name))
         spark.sql(f"DROP TABLE IF EXISTS {tmp_name}")  # external table: drops the entry, keeps the files
         if not rename_path(spark, tmp, path) and not path_exists(spark, f"{path}/_SUCCESS"):

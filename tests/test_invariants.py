@@ -92,3 +92,13 @@ def test_as_of_matches_brute_force(ws):
 def test_lineage_lists_every_feature():
     lin = FE.lineage_summary(FE.lineage()).collect()
     assert sum(r["feature_count"] for r in lin) == sum(len(v.features) for v in FE.FEATURE_VIEWS.values())
+
+
+@pytest.mark.parametrize("values", [[5.0], [1.0, 2.0], [3.0, 1.0, 2.0, 10.0], [7.0] * 50 + [1.0, 100.0],
+                                    [float(i % 13) for i in range(1001)]])
+def test_exact_median_matches_numpy(spark, values):
+    import numpy as np
+    from churnlens.operators.order_stats import exact_quantile_value
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert exact_quantile_value(df, "x", 0.5, partitions=4) == pytest.approx(float(np.median(values)))
+    assert exact_quantile_value(df, "x", 0.9, partitions=3) == pytest.approx(float(np.quantile(values, 0.9)))

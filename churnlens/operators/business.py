@@ -194,15 +194,17 @@ def revenue_stats(at_risk: DataFrame) -> DataFrame:
     return agg.crossJoin(med)  # one row x one row
 
 
-def revenue_overview(at_risk: DataFrame, has_features: bool = True) -> DataFrame:
-    """Q14: at-risk count, mean and total revenue, annualized impact (D19); flat 150 without features."""
+def revenue_overview(pred: DataFrame, at_risk: DataFrame, has_features: bool = True) -> DataFrame:
+    """Q14: at-risk count, mean and total revenue; annualized impact (D19) =
+    total at-risk revenue x 12 / max(all predictions, 1) x 1000; flat 150 per row without features."""
     s = revenue_stats(at_risk)
     if not has_features:
         s = s.select("num_at_risk", F.lit(FALLBACK_REVENUE).alias("avg_revenue"),
                      (F.col("num_at_risk") * FALLBACK_REVENUE).alias("total_revenue_at_risk"),
                      F.lit(FALLBACK_REVENUE).alias("median_revenue"))
-    return s.withColumn("annualized_impact", round_money(
-        F.try_divide(F.col("total_revenue_at_risk") * 12, F.col("num_at_risk") * 1000)))
+    n = pred.agg(F.count(F.lit(1)).alias("_n"))
+    return s.crossJoin(n).withColumn("annualized_impact", round_money(
+        F.col("total_revenue_at_risk") * 12 / F.greatest(F.col("_n"), F.lit(1)) * 1000)).drop("_n")
 
 
 def campaign_roi(at_risk: DataFrame, success_rate: float = 0.20, cost_per_contact: float = 10.0,

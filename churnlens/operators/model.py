@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-import os
 import uuid
 from dataclasses import dataclass
 
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ts_lit
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 from .evaluate import classification_metrics
 from .features import CATEGORICAL_FEATURES, KEY, NUMERIC_FEATURES
 
@@ -116,26 +115,35 @@ def gain_importance(model: PipelineModel) -> DataFrame:
 
 def save_version(spark: SparkSession, model: PipelineModel, metrics: dict, params: GBTParams,
                  comment: str = "", set_default: bool = True, version: str | None = None) -> str:
-    """Save the pipeline under the shared folder and append one metadata row; returns the version name."""
+    """Save the pipeline under the shared folder and register it; returns the version name."""
     version = version or f"V_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d_%H%M%S')}_{uuid.uuid4().hex[:6]}"
     path = scratch_path(spark, "models", MODEL_NAME.lower(), version)
     model.write().overwrite().save(path)
+    register_version(spark, path, version, metrics, params, comment, set_default)
+    return version
+
+
+def register_version(spark: SparkSession, path: str, version: str, metrics: dict, params: GBTParams,
+                     comment: str = "", set_default: bool = True) -> None:
+    """Add a registry row for a pipeline saved at ``path``.
+
+    D17: the default is an explicit flag -- setting a new default rewrites the (small)
+    registry table with every older row's flag cleared, into a new file set that replaces
+    the old one.
+    """
     meta = {"metric": metrics, "params": params.__dict__}
     row = [(MODEL_NAME, version, comment, _dt.datetime.now(), json.dumps(meta), "PREDICT", path, bool(set_default))]
     reg = scratch_path(spark, "registry", "model_versions")
     new = spark.createDataFrame(row, "model_name string, model_version_name string, comment string, "
                                      "created_on timestamp, metadata string, functions string, path string, "
                                      "is_default boolean")
-    if set_default and os.path.exists(reg):
-        # An explicit default flag; clear the old default by rewriting the small registry table
+    if set_default and path_exists(spark, reg):
         old = spark.read.parquet(reg).withColumn("is_default", F.lit(False))
-        merged = old.unionByName(new)
         tmp = reg + f"_{uuid.uuid4().hex[:6]}"
-        merged.write.mode("overwrite").parquet(tmp)
+        old.unionByName(new).write.mode("overwrite").parquet(tmp)
         spark.read.parquet(tmp).write.mode("overwrite").parquet(reg)
     else:
         new.write.mode("append").parquet(reg)
-    return version
 
 
 def load_version(spark: SparkSession, version: str | None = None) -> PipelineModel:

@@ -756,7 +756,8 @@ FROM (SELECT *, contacted * cost_per_contact + saved * avg_revenue * 0.15 AS cos
                         FROM (VALUES (0.1), (0.2), (0.3)) a(s) CROSS JOIN (VALUES (5.0), (10.0), (20.0)) b(c)) g
                   CROSS JOIN (SELECT COUNT(*) AS num_at_risk, COALESCE(AVG(total_revenue), 150.0) AS avg_revenue
                               FROM at_risk_revenue) t)))""")
-    m["revenue_overview"] = q("""SELECT *, ROUND(total_revenue_at_risk * 12 / (num_at_risk * 1000), 2) AS annualized_impact
+    m["revenue_overview"] = q("""SELECT *, ROUND(total_revenue_at_risk * 12 / greatest((SELECT COUNT(*) FROM churn_predictions), 1)
+                      * 1000, 2) AS annualized_impact
 FROM (SELECT COUNT(*) AS num_at_risk, ROUND(AVG(total_revenue), 2) AS avg_revenue,
              ROUND(SUM(total_revenue), 2) AS total_revenue_at_risk, ROUND(median(total_revenue), 2) AS median_revenue
       FROM at_risk_revenue)""")

@@ -637,7 +637,7 @@ def scenario_grid(ws):  # Q13 / J11
 
 @register("revenue_overview")
 def revenue_overview(ws):  # Q14
-    return BZ.revenue_overview(BZ.at_risk_revenue(ws.predictions, ws.wide))
+    return BZ.revenue_overview(ws.predictions, BZ.at_risk_revenue(ws.predictions, ws.wide))
 
 
 @register("roi_sql")

@@ -52,10 +52,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+NAMESPACE_CONF = "spark.churnlens.scratch.namespace"
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (for written intermediate tables)."""
+    """A path under the shared checkpoint folder (for written intermediate tables).
+
+    Everything lives under ``<checkpoint dir>/<namespace>``; the namespace defaults to
+    ``churnlens`` and a benchmark sets a fresh one so it never reuses earlier builds.
+    """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, *parts)
+    ns = spark.conf.get(NAMESPACE_CONF, "churnlens")
+    return "/".join([base.rstrip("/"), ns, *parts])
+
+
+def apply_query_defaults(spark: SparkSession) -> None:
+    """Settings every query relies on that can change at runtime (the clock is UTC, as the oracle's)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def _fs(spark: SparkSession, path: str):

@@ -44,6 +44,21 @@ def store_key(spark: SparkSession, root: str, as_of, buckets: int) -> str:
     return h.hexdigest()[:16]
 
 
+BUCKET_TARGET_BYTES = 32 * 1024 * 1024   # subscriber-table bytes per bucket
+MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+
+
+def default_buckets(spark: SparkSession, root: str) -> int:
+    """Bucket count from the data, not the session: views hold one row per subscriber, so size
+    the buckets from the subscriber (customer) table; a power of two in [8, 4096]."""
+    size = sum(n for _, n, _ in file_fingerprints(spark, f"{root.rstrip('/')}/customer.parquet"))
+    want = max(1, -(-size // BUCKET_TARGET_BYTES))
+    b = MIN_BUCKETS
+    while b < want and b < MAX_BUCKETS:
+        b *= 2
+    return b
+
+
 def _register(spark: SparkSession, name: str, path: str, buckets: int) -> DataFrame:
     ddl = spark.read.parquet(path)._jdf.schema().toDDL()
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet CLUSTERED BY ({KEY}) "
@@ -73,18 +88,27 @@ def _table(spark: SparkSession, name: str, path: str, buckets: int, build) -> Da
 
 
 def materialized(ws, buckets: int | None = None, version: str = "") -> tuple[dict[str, DataFrame], DataFrame]:
-    """(views, wide) for a Workspace, building what is missing."""
+    """(views, wide) for a Workspace, building what is missing.
+
+    The five views are independent jobs and are submitted concurrently (Spark schedules
+    jobs from several threads); the wide table is built after them, from the stored views.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = ws.spark
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or default_buckets(spark, ws.root)
     key = store_key(spark, ws.root, ws.as_of, buckets) + version
     base = scratch_path(spark, "feature_store", key)
+
+    def one(k: str) -> DataFrame:
+        fv = FE.FEATURE_VIEWS[k]
+        return _table(spark, f"fs_{key}_{fv.table_name}", f"{base}/{fv.table_name}", buckets,
+                      lambda: fv.build(ws.cat))
+
     with _LOCK:
-        views = {}
-        for k in FE.VIEW_ORDER:
-            fv = FE.FEATURE_VIEWS[k]
-            views[k] = _table(spark, f"fs_{key}_{fv.table_name}", os.path.join(base, fv.table_name), buckets,
-                              lambda fv=fv: fv.build(ws.cat))
-        wide = _table(spark, f"fs_{key}_churn_features", os.path.join(base, "churn_features"), buckets,
+        with ThreadPoolExecutor(max_workers=len(FE.VIEW_ORDER)) as pool:
+            views = dict(zip(FE.VIEW_ORDER, pool.map(one, FE.VIEW_ORDER)))
+        wide = _table(spark, f"fs_{key}_churn_features", f"{base}/churn_features", buckets,
                       lambda: FE.training_frame(ws.cat, ws.as_of, views))
     return views, wide
 

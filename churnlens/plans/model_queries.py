@@ -63,13 +63,13 @@ def trained(ws: Workspace, params: M.GBTParams = M.GBTParams()) -> tuple[Pipelin
     import uuid
     from pyspark.ml import PipelineModel as PM
     from ..session import path_exists, rename_path
-    from .feature_store import store_key
+    from .feature_store import default_buckets, store_key
 
     mem_key = (id(ws.spark), ws.root, params)
     with _LOCK:
         if mem_key in _CACHE:
             return _CACHE[mem_key]
-        buckets = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = default_buckets(ws.spark, ws.root)
         tag = hashlib.sha1(f"{store_key(ws.spark, ws.root, ws.as_of, buckets)}|{params}".encode()).hexdigest()[:16]
         path = scratch_path(ws.spark, "models", M.MODEL_NAME.lower(), tag)
         if path_exists(ws.spark, f"{path}/metadata"):

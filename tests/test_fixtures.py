@@ -173,3 +173,50 @@ def test_sample_profile_rules(spark):
     assert rb["risky"]["tenure_status"] == "very_new" and rb["risky"]["failure_band"] == "high"
     acts = BZ.what_if_actions(wide).groupBy("subscriber_id").count().collect()
     assert {r["subscriber_id"]: r["count"] for r in acts} == {"risky": 6}
+
+
+def test_billing_schedule_strictly_before_end(spark):
+    """Q20: charges every 30 (monthly) / 365 (annual) days from signup, strictly before the first
+    cancel, or before the clock when never cancelled."""
+    as_of = dt.datetime(2024, 1, 31)
+    cat = fixture_catalog(
+        spark, [sub("m", cycle="monthly", signup=dt.datetime(2023, 12, 1)),
+                sub("a", cycle="annual", signup=dt.datetime(2022, 1, 31)),
+                sub("c", cycle="monthly", signup=dt.datetime(2023, 11, 1))],
+        subscription_history=[hist("1", "c", "cancel", dt.datetime(2023, 12, 1)),
+                              hist("2", "c", "cancel", dt.datetime(2024, 1, 20))])
+    rows = BZ.billing_schedule(cat.subscribers, cat.subscription_history, as_of).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["subscriber_id"], []).append(r["charge_date"])
+    assert sorted(got["m"]) == ["2023-12-01", "2023-12-31", "2024-01-30"]
+    assert sorted(got["a"]) == ["2022-01-31", "2023-01-31"]      # 2024-01-31 is not before the clock
+    assert sorted(got["c"]) == ["2023-11-01"]                    # 2023-12-01 is the first cancel
+
+
+def test_key_check_finds_duplicates_and_nulls(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "subscriber_id string")
+    r = QA.key_check({"subscribers": df}, {"subscribers": "subscriber_id"}).first()
+    assert (r["rows"], r["null_keys"], r["duplicate_keys"]) == (4, 1, 1)
+
+
+def test_unseen_categories(spark):
+    train = spark.createDataFrame([("basic", "monthly"), ("premium", "annual")], "tier string, cycle string")
+    val = spark.createDataFrame([("basic", "monthly"), ("standard", "weekly")], "tier string, cycle string")
+    got = {(r["column_name"], r["value"]) for r in QA.unseen_categories(train, val, ["tier", "cycle"]).collect()}
+    assert got == {("tier", "standard"), ("cycle", "weekly")}
+
+
+def test_promo_status_and_recency(spark):
+    as_of = dt.datetime(2024, 1, 31)
+    promos = [{"promotion_id": "p1", "subscriber_id": "x", "promo_type": "trial", "start_date": dt.datetime(2023, 12, 1),
+               "end_date": dt.datetime(2023, 12, 31)},
+              {"promotion_id": "p2", "subscriber_id": "x", "promo_type": "discount",
+               "start_date": dt.datetime(2024, 1, 15), "end_date": dt.datetime(2024, 2, 14)}]
+    cat = fixture_catalog(spark, [sub("x")], promotions=promos,
+                          engagement_events=[{"event_id": "e", "subscriber_id": "x", "event_type": "view",
+                                              "event_timestamp": dt.datetime(2024, 1, 30, 23, 59)}])
+    st = {r["promotion_id"]: (r["status"], r["duration_days"]) for r in BZ.promo_status(cat.promotions, as_of).collect()}
+    assert st == {"p1": ("expired", 30), "p2": ("active", 30)}
+    rec = BZ.recency(FE.engagement_features(cat), as_of).first()
+    assert rec["days_since_last"] == 1

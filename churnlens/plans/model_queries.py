@@ -234,3 +234,15 @@ def risk_factors_model(ws):  # Q6 with the model's own ranking: top-6 features b
         F.regexp_replace("feature", "_idx$", "").alias("feature"), F.col("shap_importance").alias("importance"))
     from ..operators import business as BZ
     return BZ.risk_factors(ws.wide, imp, top_n=6)
+
+
+@register("model_prediction_nulls")
+def model_prediction_nulls(ws):  # A20 on the fitted model's validation predictions
+    model, _ = trained(ws)
+    return QA.prediction_nulls(M.predict(model, split_frames(ws)["validation"], ws.as_of))
+
+
+@register("model_degenerate_check")
+def model_degenerate_check(ws):  # A21 on the fitted model's validation predictions (all rows, no sample)
+    model, _ = trained(ws)
+    return QA.degenerate_check(M.predict(model, split_frames(ws)["validation"], ws.as_of))

@@ -601,8 +601,9 @@ CROSS JOIN (SELECT COUNT(*) AS subscribers FROM subscribers) s""")
                            "FROM wide_split GROUP BY split")
     m["null_profile"] = q(_null_profile_sql())
     m["category_values"] = q(f"""SELECT column_name, COUNT(*) AS n_values, string_agg(value, ',' ORDER BY value) AS values
-FROM (SELECT DISTINCT column_name, value FROM ({_union([f"SELECT '{c}' AS column_name, {c} AS value FROM spine"
-                                                        for c in FE.CATEGORICAL_FEATURES])}) WHERE value IS NOT NULL)
+FROM (SELECT DISTINCT column_name, value FROM ({_union([f"SELECT '{c}' AS column_name, {c} AS value FROM wide_split "
+                                                        "WHERE split = 'train'" for c in FE.CATEGORICAL_FEATURES])})
+      WHERE value IS NOT NULL)
 GROUP BY column_name""")
     m["prediction_nulls"] = q("SELECT COUNT(*) FILTER (WHERE predicted_churn IS NULL) AS null_predictions, "
                               "COUNT(*) AS total FROM churn_predictions")

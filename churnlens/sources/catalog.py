@@ -45,6 +45,19 @@ class Catalog:
             cat.__dict__[name] = df  # pre-fills the cached property
         return cat
 
+    @classmethod
+    def from_stored(cls, spark: SparkSession, root: str,
+                    as_of: _dt.datetime = DEFAULT_AS_OF) -> "Catalog":
+        """The raw tables as stored Parquet tables at ``root/<name>``, read with their declared
+        schema (no inference) and checked.  Filters on enum columns then reach the scan as pushed
+        Parquet filters, and date-partitioned tables prune partitions."""
+        from .schemas import RAW_SCHEMAS, check_schema
+        frames = {}
+        for name, schema in RAW_SCHEMAS.items():
+            df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+            frames[name] = check_schema(df, schema, name)
+        return cls.from_frames(spark, frames, as_of)
+
     def driver(self, name: str) -> DataFrame:
         return scan_table(self.spark, self.root, name)
 

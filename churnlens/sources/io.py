@@ -64,9 +64,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bulk_load(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Drop helper columns (leading underscore), NaN -> NULL for doubles, overwrite each table."""
+def bulk_load(spark: SparkSession, frames: dict[str, DataFrame], root: str,
+              partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """Drop helper columns (leading underscore), NaN -> NULL for doubles, overwrite each table.
+
+    ``partition_by`` optionally names partition columns per table (e.g. an event date), so
+    time-bounded reads prune whole directories.
+    """
     out = {}
+    partition_by = partition_by or {}
     for name, df in frames.items():
         keep = [c for c in df.columns if not c.startswith("_")]
         cols = []
@@ -76,7 +82,10 @@ def bulk_load(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> d
             else:
                 cols.append(F.col(f.name))
         path = os.path.join(root, name)
-        df.select(cols).write.mode("overwrite").parquet(path)
+        w = df.select(cols).write.mode("overwrite")
+        if partition_by.get(name):
+            w = w.partitionBy(*partition_by[name])
+        w.parquet(path)
         out[name] = path
     return out
 

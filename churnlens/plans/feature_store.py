@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import inspect
-import os
 import threading
 import uuid
 

@@ -19,7 +19,7 @@ from ..operators import model as M
 from ..operators import quality as QA
 from ..session import scratch_path
 from ..sources import io as IO
-from .queries import KEY, register, tidy
+from .queries import KEY, register
 from .workspace import Workspace
 
 # The reference's hyper-parameter configurations by number of runs.

@@ -7,7 +7,6 @@ them) and returns a lazy DataFrame.  Outputs that an independent SQL engine chec
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame

@@ -106,3 +106,19 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
     return bool(fs.rename(s, d))
+
+
+def tune_for_input(spark: SparkSession, roots: list[str], target_partition_bytes: int = 256 * 1024 * 1024,
+                   min_partitions: int = 8, max_partitions: int = 100_000) -> int:
+    """Size shuffles from the data: initial shuffle partitions ~ input bytes / target (AQE coalesces
+    small ones at runtime down to the advisory size), scan splits of the same target size.
+
+    At 100 TB this gives ~400k -> clamped to 100k initial partitions; at sf0.1 the minimum.
+    Returns the partition count it set.
+    """
+    total = sum(n for root in roots for _, n, _ in file_fingerprints(spark, root))
+    parts = max(min_partitions, min(max_partitions, -(-total // target_partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes // 2))
+    return parts

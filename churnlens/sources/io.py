@@ -135,11 +135,9 @@ def model_versions(spark: SparkSession, model_name: str | None = None) -> DataFr
 
 
 def register_view(spark: SparkSession, fv, frame: DataFrame, root: str, refresh: bool = False) -> DataFrame:
-    """Get-or-create a versioned feature view at ``root/<name>/<version>``.
-
-    The view is written bucketed-by-key in spirit: repartitioned on the entity key, so a
-    later join on that key reads co-partitioned files. ``refresh`` recomputes and
-    overwrites.
+    """Get-or-create a versioned feature view at ``root/<name>/<version>`` (plain Parquet,
+    hash-partitioned on the entity key when written); ``refresh`` recomputes and overwrites.
+    The bucketed, join-aligned form used by the queries is ``plans.feature_store``.
     """
     path = os.path.join(root, fv.name.lower(), fv.version.lower())
     exists = path_exists(spark, f"{path}/_SUCCESS")

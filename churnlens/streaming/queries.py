@@ -10,9 +10,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
-from ..operators import features as FE
 from ..operators import monitor as MO
 from ..plans.queries import register, tidy
 from ..sources import io as IO

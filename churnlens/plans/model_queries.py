@@ -246,3 +246,13 @@ def model_prediction_nulls(ws):  # A20 on the fitted model's validation predicti
 def model_degenerate_check(ws):  # A21 on the fitted model's validation predictions (all rows, no sample)
     model, _ = trained(ws)
     return QA.degenerate_check(M.predict(model, split_frames(ws)["validation"], ws.as_of))
+
+
+@register("score_one")
+def score_one(ws):  # the predict page: one subscriber's stored feature row scored by the loaded model
+    model, _ = trained(ws)
+    top = (ws.predictions.filter(F.col("predicted_churn") == 1)
+           .join(ws.payment_view.select(KEY, "total_revenue"), KEY)
+           .orderBy(F.desc("total_revenue"), KEY).limit(1).select(F.upper(KEY).alias("lookup_id")))
+    row = IO.id_lookup(ws.wide, top, KEY, "lookup_id")
+    return M.predict(model, row, ws.as_of)

@@ -82,3 +82,18 @@ def test_permutation_importance_shape(spark, small_model):
     res = XP.permutation_importance(model, ws.wide, rows_per_bucket=200).collect()
     assert len(res) == len(M.feature_columns())
     assert all(-1.0 <= r["importance"] <= 1.0 for r in res)
+
+
+def test_metrics_equal_spark_evaluator(spark, small_model):
+    """Accuracy / precision / recall / F1 from the confusion cells equal Spark ML's evaluator."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from churnlens.operators import evaluate as EV
+    ws, model, _ = small_model
+    scored = model.transform(M.model_inputs(ws.wide))
+    ours = EV.classification_metrics(M.predict(model, ws.wide)).first()
+    ev = MulticlassClassificationEvaluator(labelCol="churned", predictionCol="prediction")
+    assert ours["accuracy"] == pytest.approx(ev.evaluate(scored, {ev.metricName: "accuracy"}), abs=1e-6)
+    for ours_name, spark_name in [("precision", "precisionByLabel"), ("recall", "recallByLabel"),
+                                  ("f1_score", "fMeasureByLabel")]:
+        theirs = ev.evaluate(scored, {ev.metricName: spark_name, ev.metricLabel: 1.0})
+        assert ours[ours_name] == pytest.approx(theirs, abs=1e-6)

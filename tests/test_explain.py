@@ -57,9 +57,11 @@ def test_tree_shap_matches_brute_force(spark, small_model):
     tables = XP.load_tree_tables(spark, path, list(M.gbt_stage(model).treeWeights))
     X = np.stack([np.array(r["x"]) for r in XP._features_array(model, ws.wide).limit(25).collect()])
     fast = XP.tree_shap(tables, X)
+    via_tables = XP.tree_shap_tables(tables, [XP.leaf_tables(tt) for tt in tables], X)
     for row in range(X.shape[0]):
         brute = sum(_brute_shap(tt, X[row], X.shape[1]) for tt in tables)
         np.testing.assert_allclose(fast[row], brute, atol=1e-9)
+        np.testing.assert_allclose(via_tables[row], brute, atol=1e-9)
 
 
 def test_attribution_is_additive_and_matches_spark_margin(spark, small_model):

@@ -123,3 +123,11 @@ def test_stored_raw_layer_round_trip_and_pushdown(spark, ws):
     plan = stored.subscription_history.filter(F.col("event_type") == "cancel")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "EqualTo(event_type,cancel)" in plan
+
+
+def test_alignment_accuracy_survives_repartition_and_reorder(ws):
+    """Prediction and label travel in one row, so shuffling rows cannot misalign them."""
+    base = EV.alignment_accuracy(ws.predictions).first()["accuracy"]
+    shuffled = ws.predictions.repartition(7, F.rand(seed=3)).orderBy(F.desc("subscriber_id"))
+    assert EV.alignment_accuracy(shuffled).first()["accuracy"] == base
+    assert EV.alignment_accuracy(ws.predictions.coalesce(1)).first()["accuracy"] == base

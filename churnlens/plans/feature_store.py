@@ -87,10 +87,17 @@ def _table(spark: SparkSession, name: str, path: str, buckets: int, build) -> Da
 
 
 def materialized(ws, buckets: int | None = None, version: str = "") -> tuple[dict[str, DataFrame], DataFrame]:
-    """(views, wide) for a Workspace, building what is missing.
+    """(views, wide) for a Workspace, building what is missing (see ``store``)."""
+    st = store(ws, buckets, version)
+    return st["views"], st["wide"]
 
-    The five views are independent jobs and are submitted concurrently (Spark schedules
-    jobs from several threads); the wide table is built after them, from the stored views.
+
+def store(ws, buckets: int | None = None, version: str = "") -> dict:
+    """The bucketed tables of one data version: the five views, the wide table and the subscriber
+    dimension (so joins of predictions or views with subscriber attributes are bucket-aligned too).
+
+    The views and the dimension are independent jobs and are submitted concurrently (Spark
+    schedules jobs from several threads); the wide table is built after them, from the stored views.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -100,16 +107,20 @@ def materialized(ws, buckets: int | None = None, version: str = "") -> tuple[dic
     base = scratch_path(spark, "feature_store", key)
 
     def one(k: str) -> DataFrame:
+        if k == "subscribers":
+            return _table(spark, f"fs_{key}_subscribers", f"{base}/subscribers", buckets, lambda: ws.cat.subscribers)
         fv = FE.FEATURE_VIEWS[k]
         return _table(spark, f"fs_{key}_{fv.table_name}", f"{base}/{fv.table_name}", buckets,
                       lambda: fv.build(ws.cat))
 
+    names = list(FE.VIEW_ORDER) + ["subscribers"]
     with _LOCK:
-        with ThreadPoolExecutor(max_workers=len(FE.VIEW_ORDER)) as pool:
-            views = dict(zip(FE.VIEW_ORDER, pool.map(one, FE.VIEW_ORDER)))
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            built = dict(zip(names, pool.map(one, names)))
+        views = {k: built[k] for k in FE.VIEW_ORDER}
         wide = _table(spark, f"fs_{key}_churn_features", f"{base}/churn_features", buckets,
                       lambda: FE.training_frame(ws.cat, ws.as_of, views))
-    return views, wide
+    return {"views": views, "wide": wide, "subscribers": built["subscribers"]}
 
 
 def refresh(ws, buckets: int | None = None) -> tuple[dict[str, DataFrame], DataFrame]:

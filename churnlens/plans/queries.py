@@ -70,7 +70,7 @@ def table_counts(ws):  # S12
 
 @register("ctas_cast")
 def ctas_cast(ws):  # S6: monitoring source with explicit casts, written and read back
-    src = MO.monitoring_source(ws.predictions, ws.cat.subscribers, "signup_date")
+    src = MO.monitoring_source(ws.predictions, ws.subscribers, "signup_date")
     return IO.write_and_read(ws.spark, src, "monitoring_source")
 
 
@@ -184,14 +184,14 @@ def feature_join(ws):  # J4
 
 @register("star_left_5")
 def star_left_5(ws):  # J5: subscribers left join five views, 28 drift columns, NULLs kept
-    base = ws.cat.subscribers.select(KEY, days_between("signup_date", ts_lit(ws.as_of)).alias("tenure_days"))
+    base = ws.subscribers.select(KEY, days_between("signup_date", ts_lit(ws.as_of)).alias("tenure_days"))
     j = FE.join_views(base, ws.views)
     return tidy(j.select(KEY, *FE.DRIFT_FEATURES))
 
 
 @register("inner_then_left")
 def inner_then_left(ws):  # J6
-    return EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    return EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
 
 
 @register("merge_left")
@@ -317,7 +317,7 @@ def kpi_metrics(ws):
 
 @register("tier_risk")
 def tier_risk(ws):
-    return EV.tier_risk(ws.predictions, ws.cat.subscribers, ws.payment_view)
+    return EV.tier_risk(ws.predictions, ws.subscribers, ws.payment_view)
 
 
 @register("at_risk_summary")
@@ -326,7 +326,7 @@ def at_risk_summary(ws):
 
 
 def _star_long(ws) -> DataFrame:
-    base = ws.cat.subscribers.select(KEY, days_between("signup_date", ts_lit(ws.as_of)).alias("tenure_days"))
+    base = ws.subscribers.select(KEY, days_between("signup_date", ts_lit(ws.as_of)).alias("tenure_days"))
     return MO.to_long(FE.join_views(base, ws.views), FE.DRIFT_FEATURES)
 
 
@@ -337,7 +337,7 @@ def feature_stats(ws):  # A15: one pass over the star join, NULLs skipped per fe
 
 @register("coverage_check")
 def coverage_check(ws):
-    return QA.coverage_check(ws.cat.subscribers, ws.views)
+    return QA.coverage_check(ws.subscribers, ws.views)
 
 
 @register("split_quality")
@@ -429,7 +429,7 @@ def version_compare(ws):  # J15
 
 @register("top_k_per_query")
 def top_k_per_query(ws):  # W2 / Q5 batch form: the 5 highest-revenue at-risk subscribers as queries
-    rows = EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
     q = EV.top_by_revenue(rows, 5).select(F.col(KEY).alias("query_id"))
     queries = ws.wide.join(q, ws.wide[KEY] == q["query_id"]).select(
         "query_id", "billing_cycle", "tenure_days", "total_engagements", "total_revenue")
@@ -438,7 +438,7 @@ def top_k_per_query(ws):  # W2 / Q5 batch form: the 5 highest-revenue at-risk su
 
 @register("page_number")
 def page_number(ws):  # W3
-    rows = EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
     return EV.number_pages(rows).select(KEY, "row_number", "page")
 
 
@@ -449,38 +449,38 @@ def order_by(ws):  # L1
 
 @register("order_by_expr")
 def order_by_expr(ws):  # L2: ORDER BY COALESCE(revenue, 0) DESC
-    return EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of) \
+    return EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of) \
         .orderBy(F.desc(F.coalesce("total_revenue", F.lit(0.0))), KEY)
 
 
 @register("at_risk_page")
 def at_risk_page(ws):  # L3: second page of 100
-    rows = EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
     return EV.at_risk_page(rows, page=1, page_size=100)
 
 
 @register("page_count")
 def page_count(ws):
-    rows = EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
     return EV.page_count(rows)
 
 
 @register("top_100_export")
 def top_100_export(ws):  # L4 + S11
-    rows = EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
     top = EV.at_risk_page(rows, 0, 100)
     return IO.export_csv_and_read(ws.spark, top, "exports/at_risk_top_100")
 
 
 @register("top_20_value")
 def top_20_value(ws):  # L6
-    rows = EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
     return EV.top_value_total(rows, 20)
 
 
 @register("n_smallest")
 def n_smallest(ws):  # L7: 5 nearest to one profile (the highest-revenue at-risk subscriber)
-    rows = EV.at_risk_rows(ws.predictions, ws.cat.subscribers, ws.payment_view, ws.as_of)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
     q = EV.top_by_revenue(rows, 1).select(F.col(KEY).alias("query_id"))
     queries = ws.wide.join(q, ws.wide[KEY] == q["query_id"]).select(
         "query_id", "billing_cycle", "tenure_days", "total_engagements", "total_revenue")
@@ -498,7 +498,7 @@ def deterministic_sample(ws):  # L8
 
 @register("union_all")
 def union_all(ws):  # O1: per-view row counts stacked with unionByName
-    return QA.view_counts(ws.cat.subscribers, ws.views)
+    return QA.view_counts(ws.subscribers, ws.views)
 
 
 @register("concat")
@@ -649,14 +649,14 @@ def roi_sql(ws):  # Q16
 @register("lineage")
 def lineage(ws):  # Q17: per view feature count and list, with the rows each view holds
     lin = FE.lineage_summary(FE.lineage())
-    counts = QA.view_counts(ws.cat.subscribers, ws.views).filter(F.col("name") != "subscribers")
+    counts = QA.view_counts(ws.subscribers, ws.views).filter(F.col("name") != "subscribers")
     names = ws.spark.createDataFrame([(k, FE.FEATURE_VIEWS[k].name) for k in FE.VIEW_ORDER], "name string, feature_view string")
     return lin.join(counts.join(names, "name"), "feature_view").select(
         "source", "feature_view", "feature_count", "feature_list", F.col("rows").alias("view_rows"))
 
 
 def _daily(ws) -> DataFrame:
-    src = MO.monitoring_source(ws.predictions, ws.cat.subscribers, "signup_date")
+    src = MO.monitoring_source(ws.predictions, ws.subscribers, "signup_date")
     return MO.monitor_daily(src)
 
 
@@ -752,7 +752,7 @@ def cast(ws):  # P14: ::FLOAT ::INT ::VARCHAR ::NUMBER, try_cast for text
 
 @register("coalesce")
 def coalesce(ws):  # P15
-    j = ws.cat.subscribers.select(KEY).join(ws.views["promo"].select(KEY, "total_promos"), KEY, "left")
+    j = ws.subscribers.select(KEY).join(ws.views["promo"].select(KEY, "total_promos"), KEY, "left")
     return j.select(KEY, F.coalesce("total_promos", F.lit(0)).alias("total_promos"))
 
 
@@ -844,7 +844,7 @@ def feature_view_list(ws):  # S15: view definitions with the rows each stored vi
     defs = IO.feature_view_list(ws.spark, {k: FE.FEATURE_VIEWS[k] for k in FE.VIEW_ORDER})
     names = ws.spark.createDataFrame([(k, FE.FEATURE_VIEWS[k].name) for k in FE.VIEW_ORDER],
                                      "view string, name string")
-    counts = QA.view_counts(ws.cat.subscribers, ws.views).withColumnRenamed("name", "view")
+    counts = QA.view_counts(ws.subscribers, ws.views).withColumnRenamed("name", "view")
     return defs.join(names, "name").join(counts, "view").drop("view")
 
 

@@ -25,15 +25,20 @@ class Workspace:
         self.materialize = materialize
 
     @cached_property
-    def _store(self):
-        from .feature_store import materialized
-        return materialized(self)
+    def _store(self) -> dict:
+        from .feature_store import store
+        return store(self)
+
+    @cached_property
+    def subscribers(self) -> DataFrame:
+        """The subscriber dimension for joins: the bucketed store copy when materialized."""
+        return self._store["subscribers"] if self.materialize else self.cat.subscribers
 
     @cached_property
     def views(self) -> dict[str, DataFrame]:
         """The five feature views: lazy plans, or the bucketed feature-store tables."""
         if self.materialize:
-            return self._store[0]
+            return self._store["views"]
         return FE.view_frames(self.cat)
 
     @cached_property
@@ -44,7 +49,7 @@ class Workspace:
     def wide(self) -> DataFrame:
         """CHURN_FEATURES: spine + five views, numeric gaps 0."""
         if self.materialize:
-            return self._store[1]
+            return self._store["wide"]
         return FE.churn_features(self.cat, self.as_of, self.views)
 
     @cached_property

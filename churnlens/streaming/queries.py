@@ -18,7 +18,7 @@ from . import incremental, monitor_stream, scoring
 
 @register("monitor_daily_stream")
 def monitor_daily_stream(ws):  # T1 stream form
-    src = MO.monitoring_source(ws.predictions, ws.cat.subscribers, "signup_date")
+    src = MO.monitoring_source(ws.predictions, ws.subscribers, "signup_date")
     run = uuid.uuid4().hex[:12]
     path = IO.scratch_path(ws.spark, "streams", run, "monitor_source")
     src.repartition(4).write.parquet(path)

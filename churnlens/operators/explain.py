@@ -15,8 +15,6 @@ Margin scale: Spark's boosted trees predict ``sum(weight_t * tree_t(x))`` and
 
 from __future__ import annotations
 
-import glob
-import os
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import list_dir
 from .features import KEY
 from .model import LABEL, feature_columns, gbt_stage, model_inputs
 
@@ -43,8 +42,9 @@ class TreeTable:
 
 def load_tree_tables(spark: SparkSession, model_path: str, weights: list[float]) -> list[TreeTable]:
     """Node tables of the saved GBT stage (one small collect: the model, not the data)."""
-    stage_dir = glob.glob(os.path.join(model_path, "stages", "*GBTClassifier*"))[0]
-    rows = (spark.read.parquet(os.path.join(stage_dir, "data"))
+    stages = list_dir(spark, f"{model_path.rstrip('/')}/stages")
+    stage_dir = [d for d in stages if "GBTClassifier" in d.rsplit("/", 1)[-1]][0]
+    rows = (spark.read.parquet(f"{stage_dir}/data")
             .select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.rawCount", "nodeData.leftChild",
                     "nodeData.rightChild", "nodeData.split.featureIndex",
                     "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories")

@@ -122,3 +122,11 @@ def tune_for_input(spark: SparkSession, roots: list[str], target_partition_bytes
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes // 2))
     return parts
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the direct children of ``path`` (Hadoop FileSystem API)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p))

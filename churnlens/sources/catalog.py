@@ -7,7 +7,6 @@ table is a plain DataFrame so Catalyst sees through the whole adapter chain.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,11 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 def scan_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read one driver table; a directory of part files or a single ``<name>.parquet``."""
-    path = os.path.join(root, f"{name}.parquet")
-    if not os.path.exists(path) and os.path.exists(os.path.join(root, name)):
-        path = os.path.join(root, name)
+    from ..session import path_exists
+    base = root.rstrip("/")
+    path = f"{base}/{name}.parquet"
+    if not path_exists(spark, path) and path_exists(spark, f"{base}/{name}"):
+        path = f"{base}/{name}"
     return spark.read.parquet(path)
 
 

@@ -49,8 +49,15 @@ def batch_pairs(batch: DataFrame) -> DataFrame:
 
 def write_batch(state_dir: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch_partials(batch).write.mode("overwrite").parquet(os.path.join(state_dir, "partials", f"batch_id={batch_id}"))
-        batch_pairs(batch).write.mode("overwrite").parquet(os.path.join(state_dir, "pairs", f"batch_id={batch_id}"))
+        # two outputs from one micro-batch: read the batch once (released after both writes)
+        batch.persist()
+        try:
+            batch_partials(batch).write.mode("overwrite").parquet(
+                os.path.join(state_dir, "partials", f"batch_id={batch_id}"))
+            batch_pairs(batch).write.mode("overwrite").parquet(
+                os.path.join(state_dir, "pairs", f"batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
     return handle
 
 

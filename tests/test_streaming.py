@@ -61,3 +61,14 @@ def test_incremental_view_equals_batch(spark):
     inc = tidy(incremental.run_incremental(spark, path, run, max_files_per_trigger=1))
     batch = tidy(ws.views["engagement"])
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, batch.select(inc.columns).collect()))
+
+
+def test_compaction_keeps_the_view(spark):
+    ws = Workspace(spark, SF_SMALL)
+    run = uuid.uuid4().hex[:8]
+    path = scratch_path(spark, "test_streams", run, "events")
+    ws.cat.engagement_events.repartition(3, "event_id").write.parquet(path)
+    before = tidy(incremental.run_incremental(spark, path, run, max_files_per_trigger=1))
+    state = scratch_path(spark, "streams", run, "engagement_state")
+    after = tidy(incremental.compact(spark, state, scratch_path(spark, "test_streams", run, "compacted")))
+    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))

@@ -57,3 +57,15 @@ def test_bucketed_views_join_without_exchange(spark):
         assert "Exchange" not in join_part, final
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_star_join_has_no_shuffle_when_large(spark):
+    """Subscribers x five views, all bucketed alike in the feature store: no exchange anywhere."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = Q["star_left_5"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("SortMergeJoin") == 5
+        assert "Exchange" not in text, text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -25,7 +25,6 @@ from ..session import file_fingerprints, path_exists, rename_path, scratch_path
 from ..sources import adapters
 
 KEY = FE.KEY
-SOURCE_TABLES = ("customer", "orders", "lineitem", "events", "part")
 _LOCK = threading.Lock()
 
 
@@ -34,11 +33,16 @@ def _code_hash() -> str:
     return hashlib.sha1(src.encode()).hexdigest()[:10]
 
 
-def store_key(spark: SparkSession, root: str, as_of, buckets: int) -> str:
+def store_key(spark: SparkSession, cat, as_of, buckets: int) -> str:
+    """Data-version key: the catalog's source files (paths, sizes, modification times), the clock,
+    the bucket count and the definitions.  A catalog without source files (in-memory frames) gets
+    a unique key, so its store is never reused."""
     h = hashlib.sha1()
-    h.update(f"{root}|{as_of.isoformat()}|{buckets}|{_code_hash()}".encode())
-    for t in SOURCE_TABLES:
-        for fp, size, mtime in file_fingerprints(spark, f"{root.rstrip('/')}/{t}.parquet"):
+    h.update(f"{cat.root}|{as_of.isoformat()}|{buckets}|{_code_hash()}".encode())
+    if not cat.source_paths:
+        h.update(uuid.uuid4().hex.encode())
+    for path in cat.source_paths:
+        for fp, size, mtime in file_fingerprints(spark, path):
             h.update(f"{fp}|{size}|{mtime}".encode())
     return h.hexdigest()[:16]
 
@@ -47,10 +51,10 @@ BUCKET_TARGET_BYTES = 32 * 1024 * 1024   # subscriber-table bytes per bucket
 MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 
 
-def default_buckets(spark: SparkSession, root: str) -> int:
+def default_buckets(spark: SparkSession, cat) -> int:
     """Bucket count from the data, not the session: views hold one row per subscriber, so size
-    the buckets from the subscriber (customer) table; a power of two in [8, 4096]."""
-    size = sum(n for _, n, _ in file_fingerprints(spark, f"{root.rstrip('/')}/customer.parquet"))
+    the buckets from the subscriber table; a power of two in [8, 4096]."""
+    size = sum(n for _, n, _ in file_fingerprints(spark, cat.subscriber_path)) if cat.subscriber_path else 0
     want = max(1, -(-size // BUCKET_TARGET_BYTES))
     b = MIN_BUCKETS
     while b < want and b < MAX_BUCKETS:
@@ -102,8 +106,8 @@ def store(ws, buckets: int | None = None, version: str = "") -> dict:
     from concurrent.futures import ThreadPoolExecutor
 
     spark = ws.spark
-    buckets = buckets or default_buckets(spark, ws.root)
-    key = store_key(spark, ws.root, ws.as_of, buckets) + version
+    buckets = buckets or default_buckets(spark, ws.cat)
+    key = store_key(spark, ws.cat, ws.as_of, buckets) + version
     base = scratch_path(spark, "feature_store", key)
 
     def one(k: str) -> DataFrame:

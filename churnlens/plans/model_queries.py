@@ -69,8 +69,8 @@ def trained(ws: Workspace, params: M.GBTParams = M.GBTParams()) -> tuple[Pipelin
     with _LOCK:
         if mem_key in _CACHE:
             return _CACHE[mem_key]
-        buckets = default_buckets(ws.spark, ws.root)
-        tag = hashlib.sha1(f"{store_key(ws.spark, ws.root, ws.as_of, buckets)}|{params}".encode()).hexdigest()[:16]
+        buckets = default_buckets(ws.spark, ws.cat)
+        tag = hashlib.sha1(f"{store_key(ws.spark, ws.cat, ws.as_of, buckets)}|{params}".encode()).hexdigest()[:16]
         path = scratch_path(ws.spark, "models", M.MODEL_NAME.lower(), tag)
         if path_exists(ws.spark, f"{path}/metadata"):
             model = PM.load(path)

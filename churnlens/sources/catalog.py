@@ -32,10 +32,16 @@ def scan_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 class Catalog:
     """Driver tables at ``root`` plus the eight raw subscriber tables derived from them."""
 
+    # driver tables the raw layer is projected from (the data-version fingerprint covers them)
+    SOURCE_TABLES = ("customer", "orders", "lineitem", "events", "part")
+
     def __init__(self, spark: SparkSession, root: str, as_of: _dt.datetime = DEFAULT_AS_OF):
         self.spark = spark
         self.root = root
         self.as_of = as_of
+        base = root.rstrip("/")
+        self.source_paths = [f"{base}/{t}.parquet" for t in self.SOURCE_TABLES] if root else []
+        self.subscriber_path = f"{base}/customer.parquet" if root else None
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame],
@@ -44,7 +50,7 @@ class Catalog:
         cat = cls(spark, root="", as_of=as_of)
         for name, df in frames.items():
             cat.__dict__[name] = df  # pre-fills the cached property
-        return cat
+        return cat  # no source paths: a feature store over it is never reused
 
     @classmethod
     def from_stored(cls, spark: SparkSession, root: str,
@@ -57,7 +63,11 @@ class Catalog:
         for name, schema in RAW_SCHEMAS.items():
             df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
             frames[name] = check_schema(df, schema, name)
-        return cls.from_frames(spark, frames, as_of)
+        cat = cls.from_frames(spark, frames, as_of)
+        cat.root = root
+        cat.source_paths = [f"{root.rstrip('/')}/{name}" for name in RAW_SCHEMAS]
+        cat.subscriber_path = f"{root.rstrip('/')}/subscribers"
+        return cat
 
     def driver(self, name: str) -> DataFrame:
         return scan_table(self.spark, self.root, name)

@@ -123,6 +123,10 @@ def test_stored_raw_layer_round_trip_and_pushdown(spark, ws):
     plan = stored.subscription_history.filter(F.col("event_type") == "cancel")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "EqualTo(event_type,cancel)" in plan
+    # the feature store over the stored layer is keyed by the stored files and gives the same wide table
+    from churnlens.plans.queries import tidy
+    mat = Workspace(spark, root, catalog=stored, materialize=True)
+    assert sorted(map(tuple, tidy(mat.wide).collect())) == sorted(map(tuple, tidy(ws.wide).collect()))
 
 
 def test_alignment_accuracy_survives_repartition_and_reorder(ws):

@@ -44,6 +44,26 @@ WHAT_IF_RULES = [
     ("Improve email relevance", "Medium", "Low", "Better subject lines or send times"),
 ]
 
+# The reference's feature explanations (F19) and the text used for any other feature.
+FEATURE_EXPLANATIONS = [
+    ("UNIQUE_ARTICLES", "Number of unique articles read - higher engagement = lower churn"),
+    ("TENURE_DAYS", "Days since subscription started - longer tenure = lower churn"),
+    ("TOTAL_REVENUE", "Total payment amount - higher spending = lower churn"),
+    ("TOTAL_PAYMENTS", "Number of successful payments - consistent payers stay"),
+    ("TOTAL_ENGAGEMENTS", "Total content interactions - engaged users stay"),
+    ("AVG_TIME_SPENT", "Average session duration - time invested = value perceived"),
+    ("BILLING_CYCLE", "Monthly vs annual billing - monthly has higher churn"),
+    ("EMAILS_OPENED", "Email engagement - connected users stay"),
+    ("SUCCESSFUL_PAYMENTS", "Payment success count - billing issues cause churn"),
+    ("TOTAL_VIEWS", "Content consumption - more views = more value"),
+    ("TOTAL_TICKETS", "Support requests - more tickets may indicate frustration"),
+    ("FAILED_PAYMENTS", "Payment failures - billing friction causes churn"),
+    ("CANCEL_TICKETS", "Cancellation inquiries - strong churn signal"),
+    ("HIGH_PRIORITY_TICKETS", "Urgent support requests - unresolved issues cause churn"),
+    ("DEVICE_DIVERSITY", "Devices used - multi-device = integrated into life"),
+]
+DEFAULT_EXPLANATION = "Feature contributing to churn prediction"
+
 SCENARIO_SUCCESS_RATES = [0.10, 0.20, 0.30]
 SCENARIO_COSTS = [5.0, 10.0, 20.0]
 SCENARIO_TARGET_SHARE = 0.8
@@ -104,6 +124,14 @@ def risk_factors(wide: DataFrame, importance: DataFrame | None = None, top_n: in
                     F.when(good, "Good").otherwise("Risk Factor").alias("status"))
 
 
+def with_explanation(df: DataFrame, feature_col: str = "feature") -> DataFrame:
+    """F19 (J13): feature name -> explanation text, default text for features without one.
+    The lookup has 15 fixed rows, so it is broadcast."""
+    lookup = df.sparkSession.createDataFrame(FEATURE_EXPLANATIONS, "_code string, explanation string")
+    j = df.join(F.broadcast(lookup), F.upper(F.col(feature_col)) == F.col("_code"), "left")
+    return j.drop("_code").withColumn("explanation", F.coalesce("explanation", F.lit(DEFAULT_EXPLANATION)))
+
+
 def what_if_actions(wide: DataFrame) -> DataFrame:
     """Q7: six rules -> (change, impact, effort, note) rows per subscriber, via array + explode."""
     conds = [

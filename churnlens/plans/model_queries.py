@@ -256,3 +256,11 @@ def score_one(ws):  # the predict page: one subscriber's stored feature row scor
            .orderBy(F.desc("total_revenue"), KEY).limit(1).select(F.upper(KEY).alias("lookup_id")))
     row = IO.id_lookup(ws.wide, top, KEY, "lookup_id")
     return M.predict(model, row, ws.as_of)
+
+
+@register("importance_explained")
+def importance_explained(ws):  # L5 + F19: the 15 largest mean |SHAP| features with their explanations
+    from ..operators import business as BZ
+    imp = XP.mean_abs_attribution(XP.attribution_long(_attribution(ws)))
+    top = imp.orderBy(F.desc("shap_importance"), "feature").limit(15)
+    return BZ.with_explanation(top)

@@ -793,6 +793,11 @@ FROM promotions""")
     m["recency"] = q(f"SELECT subscriber_id, CAST(datediff('day', last_engagement_date, {AS_OF}) AS INTEGER) "
                      "AS days_since_last FROM engagement_features")
     m["incremental_features"] = m["engagement_features"]
+    expl = ", ".join(f"('{c}', '{t}')" for c, t in BZ.FEATURE_EXPLANATIONS)
+    m["feature_stats_explained"] = qx(STAR, f"""SELECT s.feature, s.cnt, s.mean,
+       COALESCE(e.explanation, '{BZ.DEFAULT_EXPLANATION}') AS explanation
+FROM ({_feature_stats_sql('star', DRIFT)}) s
+LEFT JOIN (VALUES {expl}) e(code, explanation) ON upper(s.feature) = e.code""")
     m["alias"] = q("SELECT subscriber_id, subscription_tier FROM subscribers")
     m["with_column"] = q("SELECT subscriber_id, tenure_days, 'spine' AS source, "
                          "CAST(floor(tenure_days / 7) AS BIGINT) AS tenure_weeks FROM spine")

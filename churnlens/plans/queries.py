@@ -335,6 +335,11 @@ def feature_stats(ws):  # A15: one pass over the star join, NULLs skipped per fe
     return MO.feature_stats(_star_long(ws))
 
 
+@register("feature_stats_explained")
+def feature_stats_explained(ws):  # A15 + F19: statistics with each feature's explanation text
+    return BZ.with_explanation(MO.feature_stats(_star_long(ws)).select("feature", "cnt", "mean"))
+
+
 @register("coverage_check")
 def coverage_check(ws):
     return QA.coverage_check(ws.subscribers, ws.views)

@@ -192,14 +192,26 @@ def permutation_importance(ws):  # U11
     return XP.permutation_importance(model, split_frames(ws)["validation"])
 
 
-@register("daily_scores")
-def daily_scores(ws):  # U13: unlabelled base + views, fill 0, predict, overwrite
+def score_subscribers(spark, root: str, as_of=None, out: str | None = None,
+                      ws: Workspace | None = None) -> DataFrame:
+    """U13, the nightly job: unlabelled base + views, fill 0 (D5: no row dropped), predict with the
+    default model, write (id, predicted_churn, scored_at) as a new version, return it."""
+    from ..sources.schemas import DEFAULT_AS_OF
+    ws = ws or Workspace(spark, root, as_of or DEFAULT_AS_OF, materialize=True)
     model, _ = trained(ws)
     base = FE.subscriber_base(ws.cat, ws.as_of)
     wide = FE.join_views(base, ws.views).fillna(0)
     scores = M.predict(model, wide, ws.as_of).select(KEY, "predicted_churn",
                                                      F.col("prediction_timestamp").alias("scored_at"))
-    return IO.write_and_read(ws.spark, scores, "ml/daily_churn_scores")
+    if out:
+        IO.sink_overwrite(scores, out)
+        return spark.read.parquet(out)
+    return IO.write_and_read(spark, scores, "ml/daily_churn_scores")
+
+
+@register("daily_scores")
+def daily_scores(ws):  # U13
+    return score_subscribers(ws.spark, ws.root, ws.as_of, ws=ws)
 
 
 @register("score_profiles")

@@ -69,3 +69,21 @@ def test_star_join_has_no_shuffle_when_large(spark):
         assert "Exchange" not in text, text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sizing_helpers(spark):
+    """Shuffle partitions and bucket counts come from the data size, inside their bounds."""
+    from churnlens.plans.feature_store import default_buckets
+    from churnlens.session import tune_for_input
+    from churnlens.sources.catalog import Catalog
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+                                          "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        parts = tune_for_input(spark, [SF_SMALL], target_partition_bytes=64 * 1024)
+        assert parts >= 8 and spark.conf.get("spark.sql.shuffle.partitions") == str(parts)
+        assert tune_for_input(spark, [SF_SMALL]) == 8  # a few MB of input: the minimum
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    b = default_buckets(spark, Catalog(spark, SF_SMALL))
+    assert 8 <= b <= 4096 and b & (b - 1) == 0

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -130,3 +132,23 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(st.getPath().toString() for st in fs.listStatus(p))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session (Python functions refer to it by name).
+
+    Spark's own file distribution carries the archive, so executors need no shared install.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="churnlens-ship-")) / "churnlens.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()

@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe
+from . import byte_bpe, pii, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts, a digest of the base spans and all spans."""
+    found = pii.find_spans(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    counts = [F.size(F.filter("spans", pii.of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(pii.span_text("spans", pii.BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+    )
+
+
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, with their likeness to the next document's."""
+    return winnowing.neighbour_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict:
-    out = {"op10_byte_bpe": op10_byte_bpe}
-    return out
+    return {
+        "op4_pii_spans": op4_pii_spans,
+        "op8_winnowing": op8_winnowing,
+        "op10_byte_bpe": op10_byte_bpe,
+    }
 
 
 def llm_oracle_sql() -> dict[str, str]:

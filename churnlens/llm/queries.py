@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, pii, winnowing
+from . import byte_bpe, html_extract, pii, url_filter, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = html_extract.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL; the classifier learns from URLs that the rules already judge."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, url_filter.train(url_filter.rule_labels(pages)))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text: counts, a digest of the base spans and all spans."""
     found = pii.find_spans(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -45,6 +58,8 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict:
     return {
+        "op3_html_text": op3_html_text,
+        "op5_url_filter": op5_url_filter,
         "op4_pii_spans": op4_pii_spans,
         "op8_winnowing": op8_winnowing,
         "op10_byte_bpe": op10_byte_bpe,

@@ -7,7 +7,35 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extract, pii, url_filter, winnowing
+from . import byte_bpe, decontaminate, html_extract, pii, url_filter, winnowing
+
+
+OP1_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p
+        FROM items WHERE len(w) > 0)),
+spots AS (
+  SELECT rid, n, p, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS p
+        FROM docs, (SELECT DISTINCT n FROM wins))),
+found AS (SELECT rid, p, n, item_id FROM spots JOIN wins USING (n, win)),
+hit AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM found) GROUP BY rid),
+who AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN who USING (rid)
+"""
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +55,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside an occurrence of a ten-word benchmark window."""
+    hits = decontaminate.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "n_words", "n_hit", "n_items",
+                       F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = html_extract.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -58,6 +93,7 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op3_html_text": op3_html_text,
         "op5_url_filter": op5_url_filter,
         "op4_pii_spans": op4_pii_spans,
@@ -67,4 +103,4 @@ def llm_queries() -> dict:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": OP1_SQL}

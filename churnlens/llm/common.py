@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -96,6 +97,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
+_VALUES = _VALUES[_LOWER]   # A-Z hash as a-z
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -108,42 +110,39 @@ def mix64(h: np.ndarray) -> np.ndarray:
 class WordHasher:
     """Hashes of the white-space-separated words of many texts, A-Z lower-cased."""
 
-    def __init__(self) -> None:
-        self._pow = np.ones(1, np.uint64)
-        self._inv = np.ones(1, np.uint64)
+    #: Bytes hashed at once (a few arrays of 8 bytes each); a longer single word gets a digest instead.
+    BLOCK = 1 << 20
 
-    def _powers(self, n: int) -> None:
-        if len(self._pow) < n:
-            size = max(n, 1 << 16)
-            p = np.full(size, _R, np.uint64)
-            q = np.full(size, _R_INV, np.uint64)
-            p[0] = q[0] = 1
-            self._pow, self._inv = np.cumprod(p), np.cumprod(q)
+    def __init__(self) -> None:
+        p, q = np.full(self.BLOCK + 1, _R, np.uint64), np.full(self.BLOCK + 1, _R_INV, np.uint64)
+        p[0] = q[0] = 1
+        self._pow, self._inv = np.cumprod(p), np.cumprod(q)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word hashes, first word of each text and the end) of the texts data[offsets[i]:offsets[i+1]]."""
         n = len(data)
-        low = _LOWER[data]
-        word = ~_SPACE[low]
-        before = np.empty(n, bool)   # a word byte before, within the same text
-        if n:
-            before[0] = False
-            before[1:] = word[:-1]
-            cuts = offsets[(offsets < n)]
-            before[cuts] = False
-        starts = np.flatnonzero(word & ~before)
-        follows = np.empty(n, bool)
-        if n:
-            follows[-1] = False
-            follows[:-1] = word[1:]
-            ends_at = offsets[(offsets > 0) & (offsets <= n)] - 1
-            follows[ends_at] = False
-        ends = np.flatnonzero(word & ~follows) + 1
-        self._powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[low] * self._pow[:n], out=total[1:])
-        h = (total[ends] - total[starts]) * self._inv[starts]
-        return mix64(h + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+        word = ~_SPACE[data]
+        before, follows = np.zeros(n, bool), np.zeros(n, bool)   # a word byte next to this one, in the same text
+        before[1:], follows[:-1] = word[:-1], word[1:]
+        before[offsets[offsets < n]] = False
+        follows[offsets[(offsets > 0) & (offsets <= n)] - 1] = False
+        starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~follows) + 1
+        h = np.empty(len(starts), np.uint64)
+        i = 0
+        while i < len(starts):
+            a = starts[i]
+            j = int(np.searchsorted(ends, a + self.BLOCK, side="right"))
+            if j <= i:   # one word longer than a block
+                h[i] = int.from_bytes(hashlib.blake2b(_LOWER[data[a:ends[i]]].tobytes(), digest_size=8).digest(), "little")
+                i += 1
+                continue
+            own = data[a:ends[j - 1]]
+            total = np.zeros(len(own) + 1, np.uint64)
+            np.cumsum(_VALUES[own] * self._pow[:len(own)], out=total[1:])
+            s, e = starts[i:j] - a, ends[i:j] - a
+            h[i:j] = mix64((total[e] - total[s]) * self._inv[s] + (e - s).astype(np.uint64))
+            i = j
+        return h, np.searchsorted(starts, offsets)
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_extract, pii, url_filter, winnowing
+from . import byte_bpe, decontaminate, html_extract, jaccard_join, pii, url_filter, winnowing
 
 
 OP1_SQL = r"""
@@ -62,6 +62,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles have a Jaccard similarity of 0.9 or more."""
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = html_extract.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -94,6 +99,7 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_jaccard_join": op2_jaccard_join,
         "op3_html_text": op3_html_text,
         "op5_url_filter": op5_url_filter,
         "op4_pii_spans": op4_pii_spans,

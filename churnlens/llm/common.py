@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -107,13 +108,25 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def separators(pattern: str) -> np.ndarray:
+    """Bytes that separate words: the ASCII characters that match a one-character pattern."""
+    out = np.zeros(256, bool)
+    out[[c for c in range(128) if re.fullmatch(pattern, chr(c))]] = True
+    return out
+
+
 class WordHasher:
-    """Hashes of the white-space-separated words of many texts, A-Z lower-cased."""
+    """Hashes of the words of many texts, A-Z lower-cased; ``space`` marks the bytes between words.
+
+    With ``stems``, also the hashes of each word's first bytes, as many as each stem length says.
+    """
 
     #: Bytes hashed at once (a few arrays of 8 bytes each); a longer single word gets a digest instead.
     BLOCK = 1 << 20
 
-    def __init__(self) -> None:
+    def __init__(self, space: np.ndarray = _SPACE, stems: tuple[int, ...] = ()) -> None:
+        self.space, self.stems = space, stems
+        self.stem_hashes: list[np.ndarray] = []
         p, q = np.full(self.BLOCK + 1, _R, np.uint64), np.full(self.BLOCK + 1, _R_INV, np.uint64)
         p[0] = q[0] = 1
         self._pow, self._inv = np.cumprod(p), np.cumprod(q)
@@ -121,13 +134,14 @@ class WordHasher:
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word hashes, first word of each text and the end) of the texts data[offsets[i]:offsets[i+1]]."""
         n = len(data)
-        word = ~_SPACE[data]
+        word = ~self.space[data]
         before, follows = np.zeros(n, bool), np.zeros(n, bool)   # a word byte next to this one, in the same text
         before[1:], follows[:-1] = word[:-1], word[1:]
         before[offsets[offsets < n]] = False
         follows[offsets[(offsets > 0) & (offsets <= n)] - 1] = False
         starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~follows) + 1
         h = np.empty(len(starts), np.uint64)
+        self.stem_hashes = [np.zeros(len(starts), np.uint64) for _ in self.stems]
         i = 0
         while i < len(starts):
             a = starts[i]
@@ -141,6 +155,8 @@ class WordHasher:
             np.cumsum(_VALUES[own] * self._pow[:len(own)], out=total[1:])
             s, e = starts[i:j] - a, ends[i:j] - a
             h[i:j] = mix64((total[e] - total[s]) * self._inv[s] + (e - s).astype(np.uint64))
+            for k, out in zip(self.stems, self.stem_hashes):
+                out[i:j] = mix64((total[np.minimum(e, s + k)] - total[s]) * self._inv[s] + np.uint64(k << 40))
             i = j
         return h, np.searchsorted(starts, offsets)
 

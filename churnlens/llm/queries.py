@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_extract, jaccard_join, pii, toxicity, url_filter, winnowing
+from . import byte_bpe, decontaminate, html_extract, jaccard_join, pii, quality_pu, toxicity, url_filter, winnowing
 
 
 OP1_SQL = r"""
@@ -96,6 +96,15 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.neighbour_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text; labels of the held-out fold are never read by the fit."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    seen = _table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id", 3, 1))
+    scored = quality_pu.score(docs, quality_pu.train(docs, seen)).drop("text")
+    return scored.select("doc_id", toxicity.held_out("doc_id", 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every text; labels of the held-out fold are never read by the fit."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -112,6 +121,7 @@ def llm_queries() -> dict:
         "op3_html_text": op3_html_text,
         "op5_url_filter": op5_url_filter,
         "op4_pii_spans": op4_pii_spans,
+        "op7_quality": op7_quality,
         "op8_winnowing": op8_winnowing,
         "op9_toxicity": op9_toxicity,
         "op10_byte_bpe": op10_byte_bpe,

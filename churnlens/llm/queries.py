@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_extract, jaccard_join, pii, quality_pu, toxicity, url_filter, winnowing
+from . import byte_bpe, decontaminate, html_extract, jaccard_join, pii, quality_pu, suffix_tree, toxicity, url_filter, winnowing
 
 
 OP1_SQL = r"""
@@ -96,6 +96,14 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.neighbour_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every text under a suffix tree and under smoothed word counts, learned from four folds of five."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.held_out("doc_id", 5, 1)
+    scored = suffix_tree.score(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text; labels of the held-out fold are never read by the fit."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -121,6 +129,7 @@ def llm_queries() -> dict:
         "op3_html_text": op3_html_text,
         "op5_url_filter": op5_url_filter,
         "op4_pii_spans": op4_pii_spans,
+        "op6_suffix_tree": op6_suffix_tree,
         "op7_quality": op7_quality,
         "op8_winnowing": op8_winnowing,
         "op9_toxicity": op9_toxicity,

@@ -64,7 +64,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles have a Jaccard similarity of 0.9 or more."""
-    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=90)
+    found = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,10 +62,6 @@ def split_name(bucket) -> Column:
     return F.when(b < 60, "train").when(b < 80, "validation").otherwise("test")
 
 
-def clamp(c, lo, hi) -> Column:
-    """clip to [lo, hi]."""
-    return F.greatest(F.least(as_col(c), F.lit(hi)), F.lit(lo))
-
 
 def month_ends(start, end) -> Column:
     """F16: array of month-end dates from start to end."""
@@ -74,12 +70,6 @@ def month_ends(start, end) -> Column:
                                   F.expr("interval 1 month")), lambda d: F.last_day(d))
 
 
-def linspace(lo: float, hi: float, n: int, idx) -> Column:
-    """the idx-th of n evenly spaced values from lo to hi."""
-    if n <= 1:
-        return F.lit(float(lo))
-    return F.lit(float(lo)) + as_col(idx).cast("double") * F.lit((hi - lo) / (n - 1))
-
 
 def round_money(c) -> Column:
     return F.round(as_col(c).cast("double"), 2)

@@ -215,41 +215,11 @@ def page_count(rows: DataFrame, page_size: int = 100) -> DataFrame:
                     F.when(n > 0, F.floor((n - 1) / page_size) + 1).otherwise(0).cast("long").alias("n_pages"))
 
 
-def number_pages(rows: DataFrame, page_size: int = 100, partitions: int | None = None,
-                 sample_per_partition: int = 200, seed: int = 42) -> DataFrame:
-    """Global position and page for every row, without a single-task global row_number.
-
-    Rows are cut into ranges of the sort key (revenue desc, id asc) by boundaries taken
-    from a bounded sample (``partitions x sample_per_partition`` keys); each range is
-    numbered by a window inside it, and the counts of all earlier ranges (one number per
-    range) are added.  The range of a row is a pure function of the collected boundaries,
-    so every branch of the plan and every recomputed task agrees on it; ties on revenue
-    are split by the id, so a revenue shared by many rows does not form one huge range.
-    """
-    spark = rows.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct((-F.col("total_revenue")).alias("r"), F.col(KEY).alias("k"))
-    n = rows.count()
-    if n == 0:
-        return rows.withColumn("row_number", F.lit(None).cast("long")).withColumn("page", F.lit(None).cast("long"))
-    frac = min(1.0, n_parts * sample_per_partition / n)
-    sample = sorted((r[0], r[1]) for r in rows.sample(False, frac, seed)
-                    .select((-F.col("total_revenue")).alias("r"), F.col(KEY)).collect())
-    step = max(1, len(sample) // n_parts)
-    bounds = [sample[i] for i in range(step, len(sample), step)][: n_parts - 1]
-    arr = F.array(*[F.struct(F.lit(r).cast("double").alias("r"), F.lit(k).alias("k")) for r, k in bounds]) \
-        if bounds else F.array().cast("array<struct<r:double,k:string>>")
-    keyed = rows.withColumn("_key", key).withColumn("_rng", F.size(F.filter(arr, lambda b: b < F.col("_key"))))
-    counts = {r["_rng"]: r["c"] for r in keyed.groupBy("_rng").agg(F.count(F.lit(1)).alias("c")).collect()}
-    offsets, acc = [], 0
-    for i in range(len(bounds) + 1):
-        offsets.append(acc)
-        acc += counts.get(i, 0)
-    w = Window.partitionBy("_rng").orderBy("_key")
-    pos = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_rng") + 1) + F.row_number().over(w)
-    return (keyed.withColumn("row_number", pos.cast("long"))
-            .withColumn("page", (F.floor((F.col("row_number") - 1) / page_size) + 1).cast("long"))
-            .drop("_key", "_rng"))
+def number_pages(rows: DataFrame, page_size: int = 100, partitions: int | None = None) -> DataFrame:
+    """Global position (revenue desc, id asc; NULL revenue last) and page for every row, without a single-task row_number."""
+    from .order_stats import positions
+    numbered = positions(rows, [F.desc_nulls_last("total_revenue"), F.asc(KEY)], partitions)
+    return numbered.withColumn("page", (F.floor((F.col("row_number") - 1) / page_size) + 1).cast("long"))
 
 
 def top_by_revenue(rows: DataFrame, n: int) -> DataFrame:
@@ -279,8 +249,7 @@ def hash_sample(df: DataFrame, n: int, seed: int = 42, key: str = KEY) -> DataFr
 
 def best_run(runs: DataFrame) -> DataFrame:
     """The run with the highest F1; the earliest run wins ties."""
-    w = Window.orderBy(F.desc("f1_score"), F.asc("run_timestamp"), F.asc("run_name"))
-    return runs.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return runs.orderBy(F.desc("f1_score"), F.asc("run_timestamp"), F.asc("run_name")).limit(1)
 
 
 def metric_trend(series: DataFrame, time_col: str, metrics: list[str]) -> DataFrame:

@@ -348,36 +348,30 @@ def attribution_dependence(long: DataFrame, wide: DataFrame, importance: DataFra
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str] | None = None,
-                           rows_per_bucket: int = 10_000, seed: int = 42) -> DataFrame:
+                           buckets: int = 128, seed: int = 42) -> DataFrame:
     """Accuracy drop when one input column is shuffled.
 
-    Shuffling is local: rows are hashed into buckets of about ``rows_per_bucket`` rows and,
-    inside a bucket, each row takes the value of its successor in a hash order (a cyclic
-    shift) -- one window pass computes the shifted value of every column at once.  Each row
-    is then exploded into one variant per feature (that column replaced), all variants are
-    scored by a single ``transform`` and aggregated by one groupBy.  No global sort, no
-    single-task group.
+    Shuffling is local: rows are hashed into ``buckets`` buckets, whatever the table's size, and inside a bucket each
+    row takes the value of its successor in a hash order (a cyclic shift) -- one window pass computes the
+    shifted value of every column at once. Each row is then repeated once per feature (by its index, the column
+    replaced where the index says so) and once unchanged; all variants are scored by a single ``transform`` and
+    one groupBy gives the permuted and the base accuracy.
     """
     names = features or list(feature_columns())
     cols = [f[:-4] if f.endswith("_idx") else f for f in names]
     inputs = model_inputs(df)
-    n = inputs.count()
-    n_buckets = max(1, n // rows_per_bucket)
-    keyed = (inputs.withColumn("_bucket", F.pmod(F.xxhash64(KEY, F.lit(seed)), F.lit(n_buckets)))
+    keyed = (inputs.withColumn("_bucket", F.pmod(F.xxhash64(KEY, F.lit(seed)), F.lit(buckets)))
              .withColumn("_h", F.xxhash64(KEY, F.lit(seed + 1))))
     w = Window.partitionBy("_bucket").orderBy("_h", KEY)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shifted = keyed.select(KEY, LABEL, *cols, *[
         F.coalesce(F.lead(F.col(c)).over(w), F.first(F.col(c)).over(w_all)).alias(f"_s_{c}") for c in cols])
-    variants = [F.struct(F.lit("__none__").alias("perm_feature"), *[F.col(c).alias(c) for c in cols])]
-    for c in cols:
-        variants.append(F.struct(F.lit(c).alias("perm_feature"),
-                                 *[(F.col(f"_s_{x}") if x == c else F.col(x)).alias(x) for x in cols]))
-    allrows = shifted.select(KEY, LABEL, F.explode(F.array(*variants)).alias("_v")).select(KEY, LABEL, "_v.*")
-    scored = model.transform(allrows)
-    acc = scored.groupBy("perm_feature").agg(
-        F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("accuracy"))
-    b0 = acc.filter(F.col("perm_feature") == "__none__").select(F.col("accuracy").alias("base_accuracy"))
-    return (acc.filter(F.col("perm_feature") != "__none__").crossJoin(b0)  # one-row side
-            .select(F.col("perm_feature").alias("feature"), F.round("accuracy", 6).alias("permuted_accuracy"),
-                    F.round(F.col("base_accuracy") - F.col("accuracy"), 6).alias("importance")))
+    variants = shifted.withColumn("_v", F.explode(F.sequence(F.lit(-1), F.lit(len(cols) - 1))))
+    scored = model.transform(variants.select(KEY, LABEL, "_v", *[
+        F.when(F.col("_v") == i, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)]))
+    acc = scored.groupBy("_v").agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("accuracy"))
+    every = Window.partitionBy(F.lit(0))   # one row a feature
+    acc = acc.withColumn("base_accuracy", F.max(F.when(F.col("_v") == -1, F.col("accuracy"))).over(every))
+    feature = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_v") + 1)
+    return acc.where("_v >= 0").select(feature.alias("feature"), F.round("accuracy", 6).alias("permuted_accuracy"),
+                                       F.round(F.col("base_accuracy") - F.col("accuracy"), 6).alias("importance"))

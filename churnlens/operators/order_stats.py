@@ -1,73 +1,62 @@
-"""Exact order statistics without a single-task buffer (A23 median, Q12 high-value filter).
+"""Exact order statistics and positions without a single-task buffer (A23 median, Q12 high-value filter, W3 pages).
 
-``F.median`` / ``percentile`` keep every distinct value of a group in one aggregation
-buffer -- unbounded for a global median over many subscribers.  Here:
+``F.median`` / ``percentile`` keep every distinct value of a group in one aggregation buffer, and a global
+``row_number`` sorts everything in one task. Here rows are range-partitioned by the sort key and stored once
+with the number of their range, so every later step sees the same ranges; the ranges' row counts (one row a range)
+are summed up in a small frame, and that frame is joined. Nothing but one-row results reaches the driver, and
+the plan doesn't grow with the number of ranges.
 
-1. values are reduced to (value, count) pairs (map-side partial aggregation, so a
-   value held by a third of all rows collapses to one pair per task);
-2. the pairs are bucketed by explicit value bounds (approximate quantiles of the
-   distinct values, computed once) and each bucket's total count is collected -- at most
-   ``partitions`` numbers, a proven bound;
-3. the driver locates the partition(s) holding the target rank(s), and a running count
-   over that partition's sorted distinct values picks the exact value(s).
-
-The result interpolates between the two middle ranks like ``median`` in pandas,
-DuckDB and Spark (``percentile`` with linear interpolation).
+The quantile interpolates between the two middle ranks like ``median`` in pandas, DuckDB and Spark
+(``percentile`` with linear interpolation).
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import materialize
 
-def exact_quantile_value(df: DataFrame, col: str, q: float = 0.5, partitions: int | None = None) -> float | None:
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def with_ranges(df: DataFrame, keys: list[Column], weight: Column, partitions: int | None = None) -> DataFrame:
+    """``df`` stored once with ``_range`` (its range of the sort key) and ``_before`` (summed weight of all ranges before)."""
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(df.repartitionByRange(parts, *keys).withColumn("_range", F.spark_partition_id()))
+    totals = rows.groupBy("_range").agg(F.sum(weight).alias("_n"))
+    # one row a range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(totals.select("_range", before.cast("long").alias("_before")), "_range")
+
+
+def positions(df: DataFrame, keys: list[Column], partitions: int | None = None) -> DataFrame:
+    """``df`` with ``row_number`` over the whole frame in the order of ``keys``."""
+    ranged = with_ranges(df, keys, F.lit(1), partitions)
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    return ranged.withColumn("row_number", F.col("_before") + own.cast("long")).drop("_range", "_before")
+
+
+def quantile(df: DataFrame, col: str, q: float = 0.5, partitions: int | None = None, name: str = "quantile") -> DataFrame:
+    """One-row frame with the exact quantile of ``col`` (NULL for no rows, NULLs skipped).
+
+    Values are first reduced to (value, count) pairs, so a value held by a third of all rows is one pair.
+    """
     pairs = (df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    # explicit range bounds, computed once (parts - 1 numbers), so every later job assigns the
-    # same bucket to a value -- unlike re-sampled range partitioning
-    probs = [i / parts for i in range(1, parts)]
-    bounds = sorted(set(pairs.approxQuantile("v", probs, 0.001))) if probs else []
-    bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("v"))) if bounds \
-        else F.lit(0)
-    keyed = pairs.withColumn("_pid", bucket)
-    totals = sorted((r["_pid"], r["n"]) for r in keyed.groupBy("_pid").agg(F.sum("c").alias("n")).collect())
-    n = sum(t for _, t in totals)
-    if n == 0:
-        return None
-    pos = q * (n - 1)
-    ranks = sorted({math.floor(pos), math.ceil(pos)})
-    starts, acc = {}, 0
-    for pid, cnt in totals:
-        starts[pid] = (acc, cnt)
-        acc += cnt
-    wanted = {}
-    for r in ranks:
-        for pid, (s, cnt) in starts.items():
-            if s <= r < s + cnt:
-                wanted.setdefault(pid, []).append(r - s)
-    w = Window.partitionBy("_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cand = (keyed.filter(F.col("_pid").isin(list(wanted)))
-            .withColumn("_cum", F.sum("c").over(w)).withColumn("_from", F.col("_cum") - F.col("c")))
-    hit = None
-    for pid, locals_ in wanted.items():
-        for local in locals_:
-            c = (F.col("_pid") == pid) & (F.col("_from") <= local) & (F.col("_cum") > local)
-            hit = c if hit is None else (hit | c)
-    found = {}
-    for r in cand.filter(hit).collect():  # at most two rows: the values at the target ranks
-        for local in wanted.get(r["_pid"], []):
-            if r["_from"] <= local < r["_cum"]:
-                found[starts[r["_pid"]][0] + local] = r["v"]
-    lo, hi = found[ranks[0]], found[ranks[-1]]
-    return lo + (hi - lo) * (pos - math.floor(pos))
+    ranged = with_ranges(pairs, [F.col("v")], F.col("c"), partitions)
+    upto = F.sum("c").over(Window.partitionBy("_range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.col("_before")
+    held = ranged.select("v", upto.alias("_to"), (upto - F.col("c")).alias("_from"))
+    place = held.agg(((F.max("_to") - 1) * q).alias("place")).select(
+        "place", F.floor("place").alias("low"), F.ceil("place").alias("high"))
+    at = lambda rank: F.max(F.when((F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_to")), F.col("v")))
+    found = held.crossJoin(F.broadcast(place)).agg(at("low").alias("a"), at("high").alias("b"), F.max(F.col("place") - F.col("low")).alias("f"))   # one-row side
+    return found.select((F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias(name))
+
+
+def exact_quantile_value(df: DataFrame, col: str, q: float = 0.5, partitions: int | None = None) -> float | None:
+    """The exact quantile as a number."""
+    return quantile(df, col, q, partitions).first()[0]
 
 
 def exact_median(df: DataFrame, col: str) -> DataFrame:
     """One-row frame with the exact median of ``col`` (NULL for no rows)."""
-    v = exact_quantile_value(df, col, 0.5)
-    return df.sparkSession.createDataFrame([(v,)], "median double")
+    return quantile(df, col, 0.5, name="median")

@@ -72,18 +72,3 @@ def as_of_features(spine: DataFrame, events: DataFrame, key: str, ts: str, spine
     for c in last_cols:
         out.append(F.coalesce(F.col(f"_sl_{c}"), F.col(f"_pl_{c}")).alias(f"last_{c}"))
     return j.select(*out)
-
-
-def as_of_last_union(spine: DataFrame, events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """W5, simple form: last event value at or before each spine timestamp via union + running last().
-
-    Suitable when each key has a bounded number of events; ``as_of_features`` is the
-    skew-safe form.
-    """
-    ev = events.select(key, F.col(ts).alias("_t"), F.col(value).alias("_v"), F.lit(0).alias("_kind"),
-                       F.lit(None).cast("long").alias("_sid"))
-    sp = spine.select(key, F.col(ts).alias("_t"), F.lit(None).cast(events.schema[value].dataType).alias("_v"),
-                      F.lit(1).alias("_kind"), F.monotonically_increasing_id().alias("_sid"))
-    w = Window.partitionBy(key).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    u = ev.unionByName(sp).withColumn("_last", F.last("_v", ignorenulls=True).over(w))
-    return u.filter(F.col("_kind") == 1).select(key, F.col("_t").alias(ts), F.col("_last").alias(f"last_{value}"))

@@ -20,6 +20,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import scalar
 from ..operators import features as FE
 from ..session import file_fingerprints, path_exists, rename_path, scratch_path
 from ..sources import adapters
@@ -29,7 +30,7 @@ _LOCK = threading.Lock()
 
 
 def _code_hash() -> str:
-    src = inspect.getsource(FE) + inspect.getsource(adapters)
+    src = "".join(inspect.getsource(m) for m in (FE, adapters, scalar))
     return hashlib.sha1(src.encode()).hexdigest()[:10]
 
 

@@ -37,14 +37,8 @@ def param_grid(num_runs: int) -> list[M.GBTParams]:
     """1-3 fixed configurations, or ``num_runs`` evenly spaced ones."""
     if num_runs in SWEEP_CONFIGS:
         return [M.GBTParams(n, d, lr) for n, d, lr in SWEEP_CONFIGS[num_runs]]
-    out = []
-    for i in range(num_runs):
-        t = i / (num_runs - 1) if num_runs > 1 else 0.0
-        n = int(30 + t * (num_runs - 1) * 10)
-        d = int(4 + t * (num_runs - 1))
-        lr = round(0.3 + t * (0.15 - 0.3), 3)
-        out.append(M.GBTParams(n, d, lr))
-    return out
+    step = 0.15 / max(1, num_runs - 1)
+    return [M.GBTParams(30 + 10 * i, 4 + i, round(0.3 - step * i, 3)) for i in range(num_runs)]
 
 
 def split_frames(ws: Workspace) -> dict[str, DataFrame]:
@@ -65,12 +59,12 @@ def trained(ws: Workspace, params: M.GBTParams = M.GBTParams()) -> tuple[Pipelin
     from ..session import path_exists, rename_path
     from .feature_store import default_buckets, store_key
 
-    mem_key = (id(ws.spark), ws.root, params)
     with _LOCK:
-        if mem_key in _CACHE:
-            return _CACHE[mem_key]
         buckets = default_buckets(ws.spark, ws.cat)
         tag = hashlib.sha1(f"{store_key(ws.spark, ws.cat, ws.as_of, buckets)}|{params}".encode()).hexdigest()[:16]
+        mem_key = (id(ws.spark), tag)   # the tag names data, clock, definitions and parameters
+        if mem_key in _CACHE:
+            return _CACHE[mem_key]
         path = scratch_path(ws.spark, "models", M.MODEL_NAME.lower(), tag)
         if path_exists(ws.spark, f"{path}/metadata"):
             model = PM.load(path)

@@ -356,9 +356,10 @@ FROM (
 """
 
 
-def _similar_sql(n_queries: int, k: int = 5) -> str:
+def _similar_sql(n_queries: int | None, k: int = 5) -> str:
+    limit = "" if n_queries is None else f" ORDER BY total_revenue DESC, subscriber_id LIMIT {n_queries}"
     return f"""
-, qids AS (SELECT subscriber_id AS query_id FROM at_risk_rows ORDER BY total_revenue DESC, subscriber_id LIMIT {n_queries}),
+, qids AS (SELECT subscriber_id AS query_id FROM at_risk_rows{limit}),
 qf AS (SELECT q.query_id, w.billing_cycle, CAST(w.tenure_days AS DOUBLE) AS qt,
               CAST(w.total_engagements AS DOUBLE) AS qe, CAST(w.total_revenue AS DOUBLE) AS qr
        FROM qids q JOIN churn_features w ON w.subscriber_id = q.query_id),
@@ -713,12 +714,16 @@ FROM (SELECT subscriber_id, least(100.0, CAST((unique_articles * 2 + total_sessi
 FROM (SELECT *, CAST(failed_payments AS DOUBLE) / greatest(CAST(total_payments AS DOUBLE), 1.0) AS rate
       FROM churn_features)""")
     m["key_check"] = q(_key_check_sql())
-    m["similar_subscribers"] = m["top_k_per_query"]
-    m["similar_churn_rate"] = m["top_k_per_query"].replace(
-        "SELECT query_id, CAST(rank AS INTEGER) AS rank, subscriber_id, ROUND(score, 6) AS similarity_score,\n"
-        "       CAST(t AS INTEGER) AS tenure_days, ROUND(r, 2) AS total_revenue, churned\nFROM ranked WHERE rank <= 5",
+    m["similar_subscribers"] = q(_similar_sql(None).lstrip().lstrip(",")).replace(
+        "WITH " + PRELUDE.strip() + "\n", "WITH " + PRELUDE.strip() + ",\n", 1)
+    last = m["similar_subscribers"].rindex("SELECT query_id, CAST(rank AS INTEGER)")
+    m["similar_churn_rate"] = m["similar_subscribers"][:last] + (
         "SELECT query_id, COUNT(*) AS n_similar, ROUND(AVG(CAST(churned AS DOUBLE)), 6) AS churn_rate\n"
         "FROM ranked WHERE rank <= 5 GROUP BY query_id")
+    m["similar_picks"] = m["similar_subscribers"][:last] + (
+        "SELECT query_id, churned, CAST(pick AS INTEGER) AS pick, subscriber_id, ROUND(score, 6) AS similarity_score\n"
+        "FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id, churned ORDER BY rank) AS pick FROM ranked WHERE rank <= 5)\n"
+        "WHERE pick <= 2")
     m["risk_factors"] = m["threshold_join"]
     m["what_if_actions"] = q(_what_if_sql())
     m["drift_alert"] = m["exists_scalar"]
@@ -852,8 +857,7 @@ FROM (VALUES {fv_rows}) d(name, version, entity, description, refresh, view) JOI
 FROM (SELECT subscriber_id AS k, COUNT(*) AS n FROM subscribers GROUP BY subscriber_id)""")
     m["refresh_view"] = m["support_features"]
     # T1 stream: append mode emits a window once the watermark (max event time - 1 day) reaches its end
-    m["monitor_daily_stream"] = q("""SELECT * FROM daily
-WHERE CAST(day AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM monitoring_source) - INTERVAL 1 DAY""")
+    m["monitor_daily_stream"] = q("SELECT * FROM daily")
     enc = []
     for c in FE.CATEGORICAL_FEATURES:
         enc.append(f"""CAST(CASE WHEN {c} IN (SELECT {c} FROM wide_split WHERE split = 'train')

@@ -580,14 +580,26 @@ def key_check(ws):
     return QA.key_check({n: ws.cat.raw(n) for n in ws.cat.RAW_TABLES}, PRIMARY_KEYS)
 
 
+def _similar(ws) -> DataFrame:
+    """Q5 with every at-risk subscriber as a query."""
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of).select(F.col(KEY).alias("query_id"))
+    return BZ.similar_subscribers(ws.wide, ws.wide.join(rows, ws.wide[KEY] == rows["query_id"]).select(
+        "query_id", "billing_cycle", "tenure_days", "total_engagements", "total_revenue"))
+
+
 @register("similar_subscribers")
 def similar_subscribers(ws):
-    return top_k_per_query(ws)
+    return _similar(ws)
 
 
 @register("similar_churn_rate")
 def similar_churn_rate(ws):
-    return BZ.similar_churn_rate(top_k_per_query(ws))
+    return BZ.similar_churn_rate(_similar(ws))
+
+
+@register("similar_picks")
+def similar_picks(ws):  # Q5: up to two retained and two churned neighbours
+    return BZ.similar_picks(_similar(ws))
 
 
 @register("risk_factors")

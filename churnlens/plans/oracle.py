@@ -424,18 +424,17 @@ FROM (SELECT {k} AS k, COUNT(*) AS n FROM {t} GROUP BY {k})""")
     return _union(parts)
 
 
-def _lineage_sql() -> str:
-    rows = []
-    for k in FE.VIEW_ORDER:
-        fv = FE.FEATURE_VIEWS[k]
-        feats = ", ".join(sorted(fv.features))
-        rows.append(f"('{fv.source.upper()}', '{fv.name}', {len(fv.features)}, '{feats}', '{k}')")
-    counts = _union([f"SELECT '{k}' AS name, COUNT(*) AS view_rows FROM {k}_features" for k in FE.VIEW_ORDER])
-    return f"""
-SELECT d.source, d.feature_view, CAST(d.feature_count AS BIGINT) AS feature_count, d.feature_list, c.view_rows
-FROM (VALUES {', '.join(rows)}) d(source, feature_view, feature_count, feature_list, name)
-JOIN ({counts}) c USING (name)
-"""
+def _lineage_sql(rows_out: bool = False) -> str:
+    views = [(FE.FEATURE_VIEWS[k].source.upper(), FE.FEATURE_VIEWS[k].name, f"{k}_features", FE.FEATURE_VIEWS[k].features) for k in FE.VIEW_ORDER]
+    views.append(("SUBSCRIBERS", "SUBSCRIBER_FEATURES", "subscribers", ("tenure_days",)))
+    counts = _union([f"SELECT '{name}' AS feature_view, COUNT(*) AS view_rows FROM {table}" for _, name, table, _ in views])
+    if rows_out:
+        rows = ", ".join(f"('{src}', '{name}', '{f}')" for src, name, _, own in views for f in own)
+        return (f"SELECT d.source, d.feature_view, d.feature, 'CHURN_MODEL' AS model, c.view_rows "
+                f"FROM (VALUES {rows}) d(source, feature_view, feature) JOIN ({counts}) c USING (feature_view)")
+    rows = ", ".join(f"('{src}', '{name}', {len(own)}, '{', '.join(sorted(own))}')" for src, name, _, own in views)
+    return (f"SELECT d.source, d.feature_view, CAST(d.feature_count AS BIGINT) AS feature_count, d.feature_list, c.view_rows "
+            f"FROM (VALUES {rows}) d(source, feature_view, feature_count, feature_list) JOIN ({counts}) c USING (feature_view)")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -774,6 +773,7 @@ FROM (SELECT COUNT(*) AS at_risk_count, SUM(annual_revenue) AS revenue_at_risk,
       FROM (SELECT p.subscriber_id, CAST(w.total_revenue AS DOUBLE) AS annual_revenue
             FROM churn_predictions p JOIN churn_features w USING (subscriber_id) WHERE p.predicted_churn = 1))""")
     m["lineage"] = q(_lineage_sql())
+    m["lineage_rows"] = q(_lineage_sql(True))
     m["monitor_daily"] = q("SELECT * FROM daily")
     m["retrain_trigger"] = q("SELECT day, accuracy, volume FROM daily WHERE accuracy < 0.85")
     m["melt_metrics"] = q("UNPIVOT (SELECT day, accuracy, precision, recall, f1_score FROM daily) "
@@ -793,7 +793,10 @@ FROM (SELECT *, unnest(range(0, n + 1)) AS k
 WHERE CAST(CAST(signup_date AS DATE) + CAST(k * step AS INTEGER) AS TIMESTAMP) < end_ts""")
     m["promo_status"] = q(f"""SELECT promotion_id, subscriber_id, promo_type,
        CASE WHEN end_date < {AS_OF} THEN 'expired' ELSE 'active' END AS status,
-       CAST(datediff('day', start_date, end_date) AS INTEGER) AS duration_days
+       CAST(datediff('day', start_date, end_date) AS INTEGER) AS duration_days,
+       CASE promo_type WHEN 'trial' THEN datediff('day', start_date, end_date) = 14
+            WHEN 'discount' THEN datediff('day', start_date, end_date) IN (30, 90, 180)
+            ELSE datediff('day', start_date, end_date) IN (30, 60) END AS usual_duration
 FROM promotions""")
     m["recency"] = q(f"SELECT subscriber_id, CAST(datediff('day', last_engagement_date, {AS_OF}) AS INTEGER) "
                      "AS days_since_last FROM engagement_features")

@@ -663,13 +663,22 @@ def roi_sql(ws):  # Q16
     return BZ.roi_sql(ws.spark, scored)
 
 
+def _view_rows(ws) -> DataFrame:
+    counts = QA.view_counts(ws.subscribers, ws.views)
+    names = ws.spark.createDataFrame([(k, FE.FEATURE_VIEWS[k].name) for k in FE.VIEW_ORDER] + [("subscribers", "SUBSCRIBER_FEATURES")],
+                                     "name string, feature_view string")
+    return counts.join(names, "name").select("feature_view", F.col("rows").alias("view_rows"))
+
+
 @register("lineage")
 def lineage(ws):  # Q17: per view feature count and list, with the rows each view holds
-    lin = FE.lineage_summary(FE.lineage())
-    counts = QA.view_counts(ws.subscribers, ws.views).filter(F.col("name") != "subscribers")
-    names = ws.spark.createDataFrame([(k, FE.FEATURE_VIEWS[k].name) for k in FE.VIEW_ORDER], "name string, feature_view string")
-    return lin.join(counts.join(names, "name"), "feature_view").select(
-        "source", "feature_view", "feature_count", "feature_list", F.col("rows").alias("view_rows"))
+    return FE.lineage_summary(FE.lineage()).join(_view_rows(ws), "feature_view").select(
+        "source", "feature_view", "feature_count", "feature_list", "view_rows")
+
+
+@register("lineage_rows")
+def lineage_rows(ws):  # Q17: one row for each (source, view, feature, model), with the rows the view holds
+    return FE.lineage().join(_view_rows(ws), "feature_view").select("source", "feature_view", "feature", "model", "view_rows")
 
 
 def _daily(ws) -> DataFrame:

@@ -826,7 +826,8 @@ def as_of_last(ws):  # W5: last payment status at or before each cancel event
 
 @register("sink_overwrite")
 def sink_overwrite(ws):  # S4: overwrite the predictions table twice, read the final state
-    path = IO.scratch_path(ws.spark, "ml", "churn_predictions", "current")
+    import uuid
+    path = IO.scratch_path(ws.spark, "ml", "churn_predictions", uuid.uuid4().hex[:8])   # frames of other calls stay readable
     IO.sink_overwrite(ws.predictions.filter(F.col("predicted_churn") == 1), path)
     IO.sink_overwrite(ws.predictions.drop("prediction_timestamp"), path)
     return ws.spark.read.parquet(path)

@@ -30,14 +30,20 @@ def test_no_cartesian_or_nested_loop(spark, key):
 
 def test_feature_stats_reads_each_source_once(spark):
     """A15 is one unpivot + one aggregate, not 28 union branches each with its own scans."""
-    text = optimized(Q["feature_stats"](spark, SF_SMALL))
+    from churnlens.plans.queries import REGISTRY
+    from churnlens.plans.workspace import Workspace
+    text = optimized(REGISTRY["feature_stats"](Workspace(spark, SF_SMALL, materialize=False)))   # down to the raw scans
     scans = len(re.findall(r"Relation \[", text))
     assert scans <= 8, scans  # customer, events, orders x2, (lineitem, orders) x2
 
 
 def test_scan_is_pruned(spark):
-    text = plan(Q["tier_risk"](spark, SF_SMALL))
-    for m in re.findall(r"ReadSchema: struct<([^>]*)>", text):
+    from churnlens.plans.queries import REGISTRY
+    from churnlens.plans.workspace import Workspace
+    text = plan(REGISTRY["tier_risk"](Workspace(spark, SF_SMALL, materialize=False)))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert schemas
+    for m in schemas:
         assert "c_name" not in m and "o_comment" not in m
 
 

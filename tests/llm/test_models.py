@@ -181,3 +181,59 @@ def test_suffix_tree_is_a_distribution():
 def test_sequences_start_with_an_end():
     symbols, row = suffix_tree.sequences(pa.array([[5, 6, 0], [0], [7, 0]], pa.list_(pa.int32())))
     assert symbols.tolist() == [0, 5, 6, 0, 0, 0, 0, 7, 0] and row.tolist() == [0, 0, 0, 0, 1, 1, 2, 2, 2]
+
+
+def scores_in_memory(texts, depth):
+    """Score of each of a few texts by the tree in memory learned from them."""
+    spelled = [[b"^", *suffix_tree.words_of(t), b""] for t in texts]
+    counts = Counter(w for t in spelled for w in t[1:])
+    symbol = {w: w if n >= suffix_tree.MIN_WORD or not w else (w[-2:],) for w, n in counts.items()} | {b"^": b"^"}
+    mass = Counter({symbol[w]: 0.5 for w in symbol if isinstance(symbol[w], tuple)})
+    for w, n in counts.items():
+        mass[symbol[w]] += n + 0.5
+    share = {w: math.log10((n + 0.5) / mass[symbol[w]]) for w, n in counts.items()}
+    words = sorted(set(symbol.values()), key=str)
+    number = {w: words.index(symbol[w]) for w in symbol}
+    root = np.array([max(mass[w], 1e-300) for w in words]) / (sum(mass.values()) + 0.5)
+    grams = [Counter(tuple(number[w] for w in t[i:i + m]) for t in spelled for i in range(len(t) - m + 1)) for m in range(1, depth + 2)]
+    rows, pairs, below_of = [], [], []
+    for m in range(1, depth + 1):
+        own = sorted(g for g, n in grams[m - 1].items() if n >= 2 and g[-1] != number[b""])
+        at = {g: i for i, g in enumerate(own)}
+        kept = sorted((at[g[:-1]], g[-1], n) for g, n in grams[m].items() if g[:-1] in at)
+        rows.append(np.array(own).reshape(-1, m))
+        pairs.append(tuple(np.array([k[j] for k in kept], float if j == 2 else int) for j in range(3)))
+        below_of.append(np.array([grams[m - 1][g] for g in own], float))
+    tree = suffix_tree.grow(rows, pairs, below_of, root)
+    assert all(r.any() for r in tree.retained)
+    return [tree.scores(np.array([number[w] for w in t]), np.zeros(len(t), int)).sum() + sum(share[w] for w in t[1:]) for t in spelled]
+
+
+def test_suffix_tree_tables_equal_tree_in_memory(spark, docs_of, monkeypatch):
+    """Scores from the tables and joins are those of the tree in memory, whatever part of the weights is broadcast."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(60):
+        words = ["a"]
+        for _ in range(rng.randrange(5, 60)):
+            words.append(rng.choice(["b", "c"]) if words[-1] == "a" else "a" if words[-2:] == ["c", "b"] else rng.choice("abcdefgh"))
+        texts.append(" ".join(words))
+    texts[3] += " Éa bé rare1 x x"   # words of a class, one of a single byte
+    texts[4] += " seé rare2 rare3 a rare3"
+    want = scores_in_memory(texts, suffix_tree.DEPTH)
+    for share in (1e-9, 0.01, 1.0):   # all, some and no weights are broadcast
+        monkeypatch.setattr(suffix_tree, "HEAVY", share)
+        monkeypatch.setattr(suffix_tree, "collect_bounded", lambda df, limit, what: df.toArrow())
+        got = suffix_tree.score(docs_of(texts), suffix_tree.F.lit(True)).orderBy("doc_id").collect()
+        assert np.allclose([r.score for r in got], want, rtol=1e-9)
+
+
+def test_suffix_tree_keeps_what_is_rare_in_a_large_corpus(spark, docs_of):
+    """A passage seen three times is learned beside any amount of other text."""
+    rng = random.Random(6)
+    filler = [" ".join(rng.choices("abcdefghij", k=20_000)) for _ in range(25)]
+    rows = [(i, t) for i, t in enumerate(filler + ["quixotic zephyrs vex bold jackdaws"] * 4)]
+    last = len(rows) - 1
+    got = {r.doc_id: r for r in suffix_tree.score(docs_of(rows), suffix_tree.F.col("doc_id") < last).collect()}
+    assert got[last].train_tokens > 500_000
+    assert got[last].score - got[last].base_score > 12   # four of its words follow a context

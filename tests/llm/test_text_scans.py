@@ -129,6 +129,13 @@ def test_html_cases(page, want):
     assert html_extract.main_text(page) == want
 
 
+def test_html_keeps_short_runs():
+    """Without an article element a short run after an advert is kept too."""
+    long, last = "word " * 400, "closing words " * 20
+    advert = "<div class='ad'><p>buy</p><p>now</p><p>cheap</p></div>"
+    assert html_extract.main_text(f"<body><p>{long}</p>{advert}<p>{last}</p></body>") == f"{long.strip()}\n\n{last.strip()}"
+
+
 def test_html_surges():
     assert html_extract.surges(np.array([0, 0, 5, 0, 7, 0, 0, 0, 2]), 3) == [(2, 5), (8, 9)]
     assert html_extract.surges(np.array([], int)) == [] and html_extract.surges(np.array([0, 0])) == []

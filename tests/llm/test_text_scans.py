@@ -136,6 +136,17 @@ def test_html_keeps_short_runs():
     assert html_extract.main_text(f"<body><p>{long}</p>{advert}<p>{last}</p></body>") == f"{long.strip()}\n\n{last.strip()}"
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div class='layout no-sidebar'><p>one</p><article><p>two</p></article></div>", "two"),
+    ("<article class='post has-comments'><p>text</p></article>", "text"),
+    ("<div class='social'><main><article class='share'><p>text</p></article></main></div>", "text"),
+    ("<div class='with-widgets tag-social'><p>text</p></div><div class='post-comments'><p>reply</p></div>", "text"),
+    ("<article><p>text</p><article class='comment'><p>reply</p></article></article>", "text"),
+    ("<article><p>text</p></article><div class='related'><article><p>more</p></article></div>", "text")])
+def test_html_cues_spare_the_article(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_html_surges():
     assert html_extract.surges(np.array([0, 0, 5, 0, 7, 0, 0, 0, 2]), 3) == [(2, 5), (8, 9)]
     assert html_extract.surges(np.array([], int)) == [] and html_extract.surges(np.array([0, 0])) == []

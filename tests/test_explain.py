@@ -8,7 +8,7 @@ import math
 import numpy as np
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from churnlens.operators import explain as XP
 from churnlens.operators import model as M
 from churnlens.operators import quality as QA

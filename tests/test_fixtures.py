@@ -8,7 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fixture_catalog, sub
+from helpers import fixture_catalog, sub
 from churnlens.operators import business as BZ
 from churnlens.operators import evaluate as EV
 from churnlens.operators import features as FE

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from churnlens.operators import evaluate as EV
 from churnlens.operators import features as FE
 from churnlens.operators import quality as QA

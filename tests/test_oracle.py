@@ -8,7 +8,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import ROOT, SF_ORACLE, SF_SMALL
+from helpers import ROOT, SF_ORACLE, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 

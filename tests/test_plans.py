@@ -7,7 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 Q = E.queries()
 

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from churnlens.operators import monitor as MO
 from churnlens.plans.queries import tidy
 from churnlens.plans.workspace import Workspace

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +78,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[Column], group: list[str], name: str) -> DataFrame:
+    """``df``, a stored frame, with ``idx`` (position in its group, from 0, by ``order``) and ``n`` (rows of the group).
+
+    ``order`` begins with the group columns, which hold no nulls, and should be a total order: rows are dealt by
+    ranges of it, sorted and stored once with their place in their range, so a group may span any number of ranges.
+    Counts per (range, group) are summed up over the ranges of a group and joined.
+    """
+    low = F.lit((1 << 33) - 1)
+    rows = stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                  .withColumn("at", F.monotonically_increasing_id()), name)   # range number above bit 33, place below
+    rows = rows.withColumn("range", F.shiftright("at", 33)).withColumn("at", F.col("at").bitwiseAND(low))
+    counts = rows.groupBy("range", *group).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("count"))
+    own = Window.partitionBy(*group) if group else Window.partitionBy()   # without groups: one row a range
+    before = F.coalesce(F.sum("count").over(own.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("range", *group, (before - F.col("first")).alias("shift"), F.sum("count").over(own).alias("n"))
+    return rows.join(starts, ["range", *group]).withColumn("idx", F.col("at") + F.col("shift")).drop("range", "at", "shift")
+
+
 def collect_bounded(df: DataFrame, limit: int, what: str):
     """Arrow table of a frame whose size bound is proven by the caller; checked again here."""
     table = df.limit(limit + 1).toArrow()

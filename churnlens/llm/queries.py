@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_extract, jaccard_join, pii, quality_pu, suffix_tree, toxicity, url_filter, winnowing
+from . import byte_bpe, decontaminate, html_extract, jaccard_join, merkle, pii, quality_pu, suffix_tree, toxicity, url_filter, winnowing
 
 
 OP1_SQL = r"""
@@ -38,6 +38,61 @@ FROM docs LEFT JOIN hit USING (rid) LEFT JOIN who USING (rid)
 """
 
 
+def _crc32_sql(array: str) -> str:
+    """crc32 of a list of byte values: eight shifts a byte of the reflected polynomial."""
+    shift = "list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {array}), lambda c, b: {shift}), 4294967295)"
+
+
+def _levels_sql(name: str, start: str, levels: int) -> str:
+    """CTEs {name}0 .. {name}{levels}: nodes (tree, idx, d) of each level; {name}_up{l}: what stands before and behind a node's digest."""
+    parts = [f"{name}0 AS ({start})"]
+    for k in range(levels):
+        parts.append(f"{name}_many{k} AS (SELECT *, idx // 16 AS run FROM {name}{k} WHERE tree IN (SELECT tree FROM {name}{k} GROUP BY tree HAVING count(*) > 1))")
+        parts.append(f"""{name}_up{k} AS (SELECT a.tree, a.idx, coalesce(string_agg(b.d, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS pre,
+            coalesce(string_agg(b.d, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS post
+            FROM {name}_many{k} a JOIN {name}_many{k} b ON a.tree = b.tree AND a.run = b.run GROUP BY a.tree, a.idx)""")
+        parts.append(f"""{name}{k + 1} AS (SELECT tree, run AS idx, sha256(string_agg(d, '' ORDER BY idx)) AS d FROM {name}_many{k} GROUP BY tree, run)""")
+    tops = " UNION ALL ".join(f"SELECT tree, d FROM {name}{k} WHERE tree IN (SELECT tree FROM {name}{k} GROUP BY tree HAVING count(*) = 1)" for k in range(levels + 1))
+    parts.append(f"{name}_top AS ({tops})")
+    return ",\n".join(parts)
+
+
+def _fold_sql(name: str, steps: list[tuple[str, str, str]]) -> str:
+    """CTEs that fold leaf digests d and f and the proof upwards over (siblings table, tree column, index expression) steps."""
+    parts = []
+    for k, (up, tree, idx) in enumerate(steps):
+        parts.append(f"""{name}{k + 1} AS (SELECT w.* EXCLUDE (f, proof), CASE WHEN u.idx IS NULL THEN f ELSE sha256(u.pre || f || u.post) END AS f,
+            proof || coalesce(u.pre || u.post, '') AS proof
+            FROM {name}{k} w LEFT JOIN {up} u ON u.tree = w.{tree} AND u.idx = {idx})""")
+    return ",\n".join(parts)
+
+
+def _field_sql(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || {value} END"
+
+
+#: Levels that the SQL spells out: up to 16^6 rows a source, 16^4 sources.
+_LEVELS, _UPPER = 6, 4
+_TAMPERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LEAF = "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+OP11_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(':' || source, '') AS tree, {_LEAF.format(text="text")} AS leaf, {_LEAF.format(text=_TAMPERED)} AS tampered,
+         {_crc32_sql("[ord(c)::BIGINT FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]")} % 5 = 0 AS chosen
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM docs),
+{_levels_sql("s", "SELECT tree, idx, leaf AS d FROM placed", _LEVELS)},
+named AS (SELECT tree AS name, d, row_number() OVER (ORDER BY tree) - 1 AS place FROM s_top),
+{_levels_sql("t", "SELECT '' AS tree, place AS idx, d FROM named", _UPPER)},
+walk0 AS (SELECT doc_id, leaf, p.tree, p.idx, n.d AS subroot, '' AS top, n.place, CASE WHEN chosen THEN tampered ELSE leaf END AS f, '' AS proof
+          FROM placed p JOIN named n ON n.name = p.tree),
+{_fold_sql("walk", [(f"s_up{k}", "tree", f"w.idx // {16 ** k}") for k in range(_LEVELS)] + [(f"t_up{k}", "top", f"w.place // {16 ** k}") for k in range(_UPPER)])}
+SELECT doc_id, leaf, subroot, t_top.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t_top.d AS verified
+FROM walk{_LEVELS + _UPPER}, t_top
+"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -123,6 +178,24 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: A-Z and their small letters, for ``translate``.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, subroot, root and proof of every document, and the root that a tampered leaf folds to."""
+    docs = _table(spark, sf_dir, "documents").select(LEAF_FIELDS)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = merkle.leaf([*[F.col(c) for c in LEAF_FIELDS[:-1]], F.translate("text", UPPER, LOWER)])
+    rows = merkle.leaves(docs, LEAF_FIELDS, "source", "doc_id", {"tampered": F.when(chosen, tampered)})
+    found = merkle.manifest(rows).withColumn("folded", merkle.folded(F.coalesce("tampered", "digest"), F.col("path")))
+    return found.select(
+        F.col("id").alias("doc_id"), merkle.hex_text(F.col("digest")).alias("leaf"), merkle.hex_text(F.col("subroot")).alias("subroot"),
+        merkle.hex_text(F.col("root")).alias("root"), merkle.hex_text(merkle.proof_digest(F.col("path"))).alias("proof_sha256"),
+        merkle.hex_text(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 def llm_queries() -> dict:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -135,8 +208,9 @@ def llm_queries() -> dict:
         "op8_winnowing": op8_winnowing,
         "op9_toxicity": op9_toxicity,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_merkle": op11_merkle,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op11_merkle": OP11_SQL}

@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_extract, jaccard_join, merkle, pii, quality_pu, suffix_tree, toxicity, url_filter, winnowing
+from . import byte_bpe, decontaminate, html_extract, jaccard_join, merkle, pii, quality_pu, sharding, suffix_tree, toxicity, url_filter, winnowing
 
 
 OP1_SQL = r"""
@@ -93,6 +93,31 @@ FROM walk{_LEVELS + _UPPER}, t_top
 """
 
 
+_BYTES = "[('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')]"
+_M = 4294967295
+#: One step of the recursion is one round; a number is home after its last round if it is below the row count.
+OP13_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, (strlen(coalesce(text, '')) + 1)::BIGINT AS size, {_crc32_sql(_BYTES)} AS text_crc32,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST, text IS NOT NULL, sha256(coalesce(text, ''))) - 1 AS row
+  FROM documents),
+size AS (SELECT count(*) AS n, greatest(1, (length(ltrim(bin(greatest(count(*) - 1, 1)), '0')) + 1) // 2)::INT AS bits FROM documents),
+keys AS (SELECT unnest({sharding.round_keys()})::UBIGINT AS key, unnest(range({sharding.ROUNDS})) AS k),
+walk AS (
+  SELECT row, 0 AS k, row::UBIGINT >> bits AS l, row::UBIGINT & ((1::UBIGINT << bits) - 1) AS r, FALSE AS home FROM docs, size
+  UNION ALL
+  SELECT row, (k + 1) % {sharding.ROUNDS}, r, xor(l, xor(y, y >> 16) & ((1::UBIGINT << bits) - 1)),
+         k = {sharding.ROUNDS - 1} AND (r << bits) + xor(l, xor(y, y >> 16) & ((1::UBIGINT << bits) - 1)) < n
+  FROM (SELECT *, (xor(x, x >> 13) * {sharding.MULTIPLY[1]}::UBIGINT) & {_M}::UBIGINT AS y
+        FROM (SELECT *, (xor(r, key) * {sharding.MULTIPLY[0]}::UBIGINT) & {_M}::UBIGINT AS x
+              FROM walk JOIN keys USING (k), size WHERE NOT home))),
+placed AS (SELECT row, ((l << bits) + r)::BIGINT AS q FROM walk, size WHERE home)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (q % {sharding.SHARDS})::INT AS shard, q // {sharding.SHARDS} AS slot,
+       NULL::INT AS grown_shard, row
+FROM docs JOIN placed USING (row)
+"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -196,6 +221,17 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.hex_text(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reproducible shuffle of all documents into 16 shards whose counts differ by at most one (law ``rows``)."""
+    text = F.coalesce("text", F.lit(""))
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", sharding.byte_size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.col("text").isNotNull().alias("has_text"), F.unhex(F.sha2(text, 256)).alias("sha"))
+    placed = sharding.assign(docs, ["doc_id", "has_text", "sha"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "row")
+
+
 def llm_queries() -> dict:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -209,8 +245,9 @@ def llm_queries() -> dict:
         "op9_toxicity": op9_toxicity,
         "op10_byte_bpe": op10_byte_bpe,
         "op11_merkle": op11_merkle,
+        "op13_sharding": op13_sharding,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op11_merkle": OP11_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op11_merkle": OP11_SQL, "op13_sharding": OP13_SQL}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import importlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_extract, jaccard_join, merkle, pii, quality_pu, sharding, suffix_tree, toxicity, url_filter, winnowing
+from . import byte_bpe, decontaminate, html_extract, jaccard_join, merkle, pii, quality_pu, runs, sharding, suffix_tree, toxicity, url_filter, winnowing
 
 
 OP1_SQL = r"""
@@ -221,6 +221,30 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.hex_text(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
 
 
+def _repeat_tail(doc_id: Column, text: Column) -> Column:
+    """The texts of one id in ten repeat the words from one word on with a period, both given by the id's crc32."""
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    n, g = F.greatest(F.size(words), F.lit(1)), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    block = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+    changed = F.concat(F.slice(words, F.lit(1), a), F.slice(F.flatten(block), F.lit(1), n - a))
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.array_join(changed, " ")).otherwise(text)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text, one in ten of which repeats its tail, and the texts without the repeats."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _repeat_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.find_runs(docs).drop("text").withColumn("best", runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reproducible shuffle of all documents into 16 shards whose counts differ by at most one (law ``rows``)."""
     text = F.coalesce("text", F.lit(""))
@@ -245,6 +269,7 @@ def llm_queries() -> dict:
         "op9_toxicity": op9_toxicity,
         "op10_byte_bpe": op10_byte_bpe,
         "op11_merkle": op11_merkle,
+        "op12_runs": op12_runs,
         "op13_sharding": op13_sharding,
     }
 

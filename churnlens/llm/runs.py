@@ -114,17 +114,16 @@ def _seeds(prefix: _Prefix, n: int, width: int, skip: np.ndarray) -> tuple[np.nd
     return left, places[at]
 
 
-def _extend(words: np.ndarray, start: int, end: int, lag: int) -> tuple[int, int]:
-    """The stretch of period ``lag`` around [start, end), which hashes propose, by comparing words.
+def _checked(words: np.ndarray, start: int, end: int, lag: int) -> list[tuple[int, int]]:
+    """The stretch [start, end) of period ``lag`` that hashes propose, its words compared.
 
-    Hashes of unequal words may agree, never those of equal ones differ: the proposal can only be too long.
+    Hashes of unequal words may agree, never those of equal ones differ: a proposal can only be too long. Then all
+    words are compared at this lag, which finds the stretches directly.
     """
-    same = words[start:end - lag] == words[start + lag:end]
-    if same.all():
-        return start, end
-    a, b = _stretches(same)
-    best = int(np.argmax(b - a))
-    return start + int(a[best]), start + int(b[best]) + lag
+    if (words[start:end - lag] == words[start + lag:end]).all():
+        return [(start, end)]
+    a, b = _stretches(words[:-lag] == words[lag:])
+    return list(zip(a.tolist(), (b + lag).tolist()))
 
 
 def find(words: np.ndarray, limits: np.ndarray) -> np.ndarray:
@@ -182,10 +181,11 @@ def _scale(part: np.ndarray, take: np.ndarray, width: int, found: list[tuple[int
     for period, start, end in spans.tolist():
         if (int(take[start]), int(take[end - 1]) + 1) in seen:   # a smaller period's, of which this is a multiple
             continue
-        start, end = _extend(part, start, end, period)
-        if end - start >= EXPONENT * period:
-            out.append((int(take[start]), int(take[end - 1]) + 1, period))
-            seen.add(out[-1][:2])
+        for a, b in _checked(part, start, end, period):
+            own = int(take[a]), int(take[b - 1]) + 1
+            if b - a >= EXPONENT * period and own not in seen:
+                seen.add(own)
+                out.append((*own, period))
     return out
 
 

@@ -269,6 +269,44 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+_SNAPSHOT_POINTS = ("SELECT subscriber_id, CAST(unnest(['1996-12-31', '1999-06-30', '2001-12-31', '2024-01-08', '2024-01-20', '2024-01-31']) "
+                    "AS TIMESTAMP) AS as_of FROM subscribers")
+
+#: A view's source, its event time and its features over the events that a point in time has seen.
+_AS_OF = {
+    "engagement": ("engagement_events", "event_timestamp", {
+        "total_engagements": "COUNT(e.event_timestamp)", "unique_articles": "COUNT(DISTINCT article_id)",
+        "total_sessions": "COUNT(DISTINCT session_id)", "avg_time_spent": "ROUND(COALESCE(AVG(time_spent_seconds), 0), 6)",
+        "avg_scroll_depth": "ROUND(COALESCE(AVG(scroll_depth_pct), 0), 6)", "total_views": "COUNT(*) FILTER (e.event_type = 'view')",
+        "total_shares": "COUNT(*) FILTER (e.event_type = 'share')", "total_comments": "COUNT(*) FILTER (e.event_type = 'comment')",
+        "device_diversity": "COUNT(DISTINCT device_type)", "last_engagement_date": "MAX(e.event_timestamp)"}),
+    "payment": ("payments", "transaction_timestamp", {
+        "total_payments": "COUNT(e.transaction_timestamp)", "failed_payments": "COUNT(*) FILTER (payment_status = 'failed')",
+        "successful_payments": "COUNT(*) FILTER (payment_status = 'success')",
+        "avg_payment_amount": "ROUND(COALESCE(CAST(SUM(amount) AS DOUBLE) / COUNT(amount), 0), 6)",
+        "total_revenue": "ROUND(CAST(COALESCE(SUM(amount), 0) AS DOUBLE), 6)",
+        "payment_failure_rate": "ROUND(COALESCE(CAST(COUNT(*) FILTER (payment_status = 'failed') AS DOUBLE) / NULLIF(COUNT(e.transaction_timestamp), 0), 0), 6)"}),
+    "email": ("email_interactions", "event_timestamp", {
+        "emails_sent": "COUNT(*) FILTER (e.event_type = 'sent')", "emails_opened": "COUNT(*) FILTER (e.event_type = 'opened')",
+        "emails_clicked": "COUNT(*) FILTER (e.event_type = 'clicked')", "email_unsubscribes": "COUNT(*) FILTER (e.event_type = 'unsubscribed')",
+        "email_open_rate": "ROUND(COALESCE(CAST(COUNT(*) FILTER (e.event_type = 'opened') AS DOUBLE) / NULLIF(COUNT(*) FILTER (e.event_type = 'sent'), 0), 0), 6)",
+        "email_click_rate": "ROUND(COALESCE(CAST(COUNT(*) FILTER (e.event_type = 'clicked') AS DOUBLE) / NULLIF(COUNT(*) FILTER (e.event_type = 'opened'), 0), 0), 6)"}),
+    "support": ("customer_support", "created_timestamp", {
+        "total_tickets": "COUNT(e.created_timestamp)", "billing_tickets": "COUNT(*) FILTER (ticket_type = 'billing')",
+        "cancel_tickets": "COUNT(*) FILTER (ticket_type = 'cancellation')", "high_priority_tickets": "COUNT(*) FILTER (priority = 'high')"}),
+    "promo": ("promotions", "start_date", {
+        "total_promos": "COUNT(e.start_date)", "max_discount_pct": "ROUND(CAST(COALESCE(MAX(discount_pct), 0) AS DOUBLE), 6)",
+        "trial_promos": "COUNT(*) FILTER (promo_type = 'trial')"}),
+}
+
+
+def _view_as_of_sql(view: str, points: str) -> str:
+    source, at, features = _AS_OF[view]
+    cols = ", ".join(f"{e} AS {n}" for n, e in features.items())
+    return (f"SELECT p.subscriber_id, p.as_of, {cols} FROM {points} p LEFT JOIN {source} e "
+            f"ON e.subscriber_id = p.subscriber_id AND e.{at} <= p.as_of GROUP BY p.subscriber_id, p.as_of")
+
+
 def _feature_stats_sql(source: str, cols: list[str]) -> str:
     """A15 body over ``source``: one branch per feature (the reference's own UNION ALL form)."""
     parts = []
@@ -512,6 +550,16 @@ LEFT JOIN (
            ROW_NUMBER() OVER (PARTITION BY history_id ORDER BY pts DESC, payment_id DESC) AS rn
     FROM asof_pairs WHERE payment_id IS NOT NULL) WHERE rn = 1) l
 USING (history_id)""")
+    for v in FE.VIEW_ORDER:
+        m[f"as_of_{v}"] = qx(f"points AS ({_SNAPSHOT_POINTS})", _view_as_of_sql(v, "points"))
+    wide = " JOIN ".join(f"({_view_as_of_sql(v, 'points')}) {v}" + ("" if v == FE.VIEW_ORDER[0] else " USING (subscriber_id, as_of)")
+                         for v in FE.VIEW_ORDER)
+    m["as_of_training"] = qx(f"""
+wanted AS (SELECT history_id, subscriber_id, event_timestamp AS as_of FROM subscription_history WHERE event_type = 'cancel'
+           UNION ALL SELECT subscriber_id || '@' || CAST(CAST(as_of AS DATE) AS VARCHAR), subscriber_id, as_of FROM ({_SNAPSHOT_POINTS})),
+points AS (SELECT DISTINCT subscriber_id, as_of FROM wanted)""", f"""
+SELECT history_id, w.*, CAST(datediff('day', last_engagement_date, as_of) AS INTEGER) AS days_since_engagement
+FROM wanted JOIN (SELECT * FROM {wide}) w USING (subscriber_id, as_of)""")
     drift_sql = """SELECT COUNT(*) AS n, ROUND(AVG(CAST(predicted_churn AS DOUBLE)), 6) AS predicted_rate,
        ROUND(abs(AVG(CAST(predicted_churn AS DOUBLE)) - 0.29) / 0.29, 6) AS drift,
        COALESCE(CAST(abs(AVG(CAST(predicted_churn AS DOUBLE)) - 0.29) / 0.29 > 0.15 AS INTEGER), 0) AS fires

@@ -234,8 +234,7 @@ def threshold_join(ws):  # J13 / Q6
 def as_of_join(ws):  # J14 / W5
     spine = ws.cat.subscription_history.filter(F.col("event_type") == "cancel").select(
         "history_id", KEY, F.col("event_timestamp").alias("ts"))
-    ev = ws.cat.payments.select(KEY, F.col("transaction_timestamp").alias("ts"), "payment_id",
-                                F.col("amount").cast("double").alias("amount"),
+    ev = ws.cat.payments.select(KEY, F.col("transaction_timestamp").alias("ts"), "payment_id", "amount",
                                 (F.col("payment_status") == "failed").cast("int").alias("failed"),
                                 "payment_status")
     out = TL.as_of_features(spine, ev, KEY, "ts", "history_id", order_col="payment_id",
@@ -246,6 +245,37 @@ def as_of_join(ws):  # J14 / W5
                       F.col("last_payment_status").alias("last_payment_status"))
 
 
+#: Times of the training snapshots that the point-in-time queries look at (the driver tables cover two spans of time).
+SNAPSHOTS = ("1996-12-31", "1999-06-30", "2001-12-31", "2024-01-08", "2024-01-20", "2024-01-31")
+
+
+def _snapshot_spine(ws):
+    """Every subscriber at every snapshot time."""
+    at = F.explode(F.array(*[F.lit(t).cast("timestamp_ntz") for t in SNAPSHOTS]))
+    return ws.cat.subscribers.select(KEY, at.alias("as_of"))
+
+
+def _register_view_as_of(view: str):
+    features = FE.FEATURE_VIEWS[view].features
+
+    def query(ws):  # J14
+        return tidy(TL.view_as_of(_snapshot_spine(ws), ws.cat, view, KEY, "as_of", features))
+    query.__name__, query.__doc__ = f"as_of_{view}", f"The {view} view of every subscriber at every snapshot time."
+    register(f"as_of_{view}")(query)
+
+
+for _view in FE.VIEW_ORDER:
+    _register_view_as_of(_view)
+
+
+@register("as_of_training")
+def as_of_training(ws):  # J14 over all five views: the wide row of each cancelling subscriber as of the cancel event
+    spine = ws.cat.subscription_history.filter(F.col("event_type") == "cancel").select(
+        "history_id", KEY, F.col("event_timestamp").alias("as_of"))
+    spine = spine.unionByName(_snapshot_spine(ws).select(F.concat_ws("@", KEY, F.col("as_of").cast("date")).alias("history_id"), KEY, "as_of"))
+    return tidy(TL.training_set_as_of(spine, ws.cat, KEY, "as_of", {v: FE.FEATURE_VIEWS[v].features for v in FE.VIEW_ORDER}))
+
+
 @register("exists_scalar")
 def exists_scalar(ws):  # J16 / Q8
     return MO.drift_alert(ws.predictions)

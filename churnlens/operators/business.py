@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import days_between, ratio_floor_one, round_money, round_ratio, ts_lit
-from ..sources.io import materialize
+from .neighbours import nearest
 
 KEY = "subscriber_id"
 
@@ -151,73 +151,20 @@ def what_if_actions(wide: DataFrame) -> DataFrame:
         KEY, "a.rule", "a.change", "a.impact", "a.effort", "a.note")
 
 
-def similar_subscribers(wide: DataFrame, queries: DataFrame, k: int = 5, bins: int = 16) -> DataFrame:
+def similar_subscribers(wide: DataFrame, queries: DataFrame, k: int = 5, cell: int | None = None, few: int | None = None) -> DataFrame:
     """Q5 (J12, W2, L7): for each query profile, the k nearest subscribers with the same billing cycle.
 
     score = |d tenure| / max(max d tenure, 1) + |d engagements| / max(max d eng, 1)
             + |d revenue| / max(max d revenue, 1), maxima over that cycle's candidates (D15:
-            filter first; all three guarded).
-    The maximum difference needs no pairwise pass: it is max(q - min, max - q) of the
-    candidate column, taken from one per-cycle aggregate.
-
-    Any number of queries: candidates lie in a grid of ``bins`` equal widths a dimension and cycle. A query meets
-    the candidates of the cells within ``reach`` of its own by an equality join on the cell. Whatever lies
-    further away differs by at least reach widths in one dimension, which bounds its score from below; a query
-    whose k-th score is under that bound is finished, the others go on with four times the reach, up to
-    the whole grid. The list of occupied cells (at most cycles x bins^3) is the only broadcast.
+            filter first; all three guarded), found by ``neighbours.nearest``; ties by subscriber id.
+    Profiles without a cycle or with an unknown number have no neighbours and are nobody's neighbour.
     """
-    spark = wide.sparkSession
-    dims = ("t", "e", "r")
-    cand = wide.select(KEY, "billing_cycle", F.col("tenure_days").cast("double").alias("t"),
-                       F.col("total_engagements").cast("double").alias("e"),
-                       F.col("total_revenue").cast("double").alias("r"), "churned")
-    rng = cand.groupBy("billing_cycle").agg(*[f(d).alias(f"{d}_{n}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))])
-    rng = rng.select("billing_cycle", *[F.col(f"{d}_{n}") for d in dims for n in ("lo", "hi")],
-                     *[((F.col(f"{d}_hi") - F.col(f"{d}_lo")) / bins).alias(f"{d}_width") for d in dims])
-
-    def cell(d: str, value: str):
-        at = F.floor((F.col(value) - F.col(f"{d}_lo")) / F.col(f"{d}_width")).cast("int")
-        return F.when(F.col(f"{d}_width") > 0, F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1))).otherwise(0)
-
-    # one range row per cycle
-    cand = cand.join(rng, "billing_cycle").select(KEY, "billing_cycle", *dims, "churned", *[cell(d, d).alias(f"{d}_cell") for d in dims])
-    cand = materialize(cand)
-    q = queries.select("query_id", "billing_cycle", F.col("tenure_days").cast("double").alias("qt"),
-                       F.col("total_engagements").cast("double").alias("qe"),
-                       F.col("total_revenue").cast("double").alias("qr")).join(rng, "billing_cycle")
-    far = {d: F.greatest(F.col(f"q{d}") - F.col(f"{d}_lo"), F.col(f"{d}_hi") - F.col(f"q{d}"), F.lit(1.0)) for d in dims}
-    # score that a step of one cell is worth at least: the smallest over the dimensions that have cells
-    step = F.least(*[F.when(F.col(f"{d}_width") > 0, F.col(f"{d}_width") / far[d]).otherwise(F.lit(float("inf"))) for d in dims])
-    open_ = materialize(q.select("query_id", "billing_cycle", *[f"q{d}" for d in dims], *[far[d].alias(f"{d}_max") for d in dims],
-                                 *[cell(d, f"q{d}").alias(f"q{d}_cell") for d in dims], step.alias("step")))
-    cells = ["billing_cycle", *[f"{d}_cell" for d in dims]]
-    occupied = cand.select(cells).distinct()
-    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    reach, done = 1, None
-    while True:
-        near = [F.abs(F.col(f"{d}_cell") - F.col(f"q{d}_cell")) <= reach for d in dims]
-        j = open_.join(F.broadcast(occupied), "billing_cycle").where(near[0] & near[1] & near[2]).join(cand, cells)
-        score = sum(F.abs(F.col(d) - F.col(f"q{d}")) / F.col(f"{d}_max") for d in dims)
-        # two-phase top-k: k best per (query, salt), then k best of those per query
-        scored = j.withColumn("score", score).withColumn("_salt", F.pmod(F.xxhash64(KEY), F.lit(salts)))
-        w1 = Window.partitionBy("query_id", "_salt").orderBy("score", KEY)
-        local = scored.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k)
-        w2 = Window.partitionBy("query_id").orderBy("score", KEY)
-        ranked = (local.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
-                  .withColumn("proven", F.lit(reach >= bins) | F.coalesce(
-                      F.max(F.when(F.col("rank") == k, F.col("score"))).over(Window.partitionBy("query_id")) < F.col("step") * reach * (1 - 1e-9),
-                      F.lit(False))))
-        ranked = materialize(ranked.select("query_id", "rank", KEY, "score", "t", "r", "churned", "proven"))
-        own = ranked.where("proven").drop("proven")
-        done = own if done is None else done.unionByName(own)
-        if reach >= bins:
-            break
-        open_ = materialize(open_.join(own.select("query_id").distinct(), "query_id", "left_anti"))
-        if open_.isEmpty():
-            break
-        reach *= 4
-    return done.select("query_id", "rank", KEY, round_ratio("score").alias("similarity_score"),
-                       F.col("t").cast("int").alias("tenure_days"), round_money("r").alias("total_revenue"), "churned")
+    number = {"t": "tenure_days", "e": "total_engagements", "r": "total_revenue"}
+    columns = lambda df, first: df.select(*first, "billing_cycle", *[F.col(c).cast("double").alias(d) for d, c in number.items()])
+    found = nearest(columns(wide, [KEY, "churned"]), columns(queries, ["query_id"]), k, KEY, "query_id", "billing_cycle", list(number),
+                    **({} if cell is None else {"cell": cell}), **({} if few is None else {"few": few}))
+    return found.select("query_id", "rank", KEY, round_ratio("score").alias("similarity_score"),
+                        F.col("t").cast("int").alias("tenure_days"), round_money("r").alias("total_revenue"), "churned")
 
 
 def similar_picks(similar: DataFrame, n: int = 2) -> DataFrame:

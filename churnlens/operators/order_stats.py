@@ -35,6 +35,20 @@ def positions(df: DataFrame, keys: list[Column], partitions: int | None = None)
     return ranged.withColumn("row_number", F.col("_before") + own.cast("long")).drop("_range", "_before")
 
 
+def group_positions(df: DataFrame, group: list[str], keys: list[Column], partitions: int | None = None) -> DataFrame:
+    """``df`` with ``position`` (from 0, in its group, by ``keys``) and ``group_size``; a group may span any number of ranges."""
+    order = [*[F.col(g) for g in group], *keys]
+    dealt = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    rows = materialize(dealt.withColumn("_range", F.spark_partition_id()))
+    counts = rows.groupBy("_range", *group).agg(F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(*group)
+    before = F.coalesce(F.sum("_n").over(own.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("_range", *group, before.alias("_before"), F.sum("_n").over(own).alias("group_size"))
+    at = F.row_number().over(Window.partitionBy("_range", *group).orderBy(*keys)) - 1
+    return rows.withColumn("_at", at).join(starts, ["_range", *group]).withColumn("position", F.col("_before") + F.col("_at")) \
+        .drop("_range", "_before", "_at")
+
+
 def quantile(df: DataFrame, col: str, q: float = 0.5, partitions: int | None = None, name: str = "quantile") -> DataFrame:
     """One-row frame with the exact quantile of ``col`` (NULL for no rows, NULLs skipped).
 

@@ -22,6 +22,7 @@ latest one that isn't NULL, by (ts, order column); repeated spine rows each get
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -198,7 +199,8 @@ def training_set_as_of(spine: DataFrame, cat: Catalog, key: str, at: str, views:
     The views are separate timelines over the same distinct (key, at) pairs; the spine joins them on that pair.
     """
     points = spine.select(key, at).where(F.col(key).isNotNull() & F.col(at).isNotNull()).distinct()
-    parts = [view_as_of(points, cat, v, key, at, f) for v, f in views.items()]
+    with ThreadPoolExecutor(max_workers=len(views)) as pool:   # each view stores its timeline: jobs that can share the cluster
+        parts = list(pool.map(lambda v: view_as_of(points, cat, v, key, at, views[v]), views))
     wide = reduce(lambda a, b: a.join(b, [key, at]), parts)
     if "last_engagement_date" in wide.columns:
         wide = wide.withColumn("days_since_engagement", days_between("last_engagement_date", F.col(at)))

@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import scalar
 from ..operators import features as FE
-from ..session import file_fingerprints, path_exists, rename_path, scratch_path
+from ..session import file_fingerprints, scratch_path
 from ..sources import adapters
+from ..sources.versions import VersionedTable
 
 KEY = FE.KEY
 _LOCK = threading.Lock()
@@ -71,24 +72,25 @@ def _register(spark: SparkSession, name: str, path: str, buckets: int) -> DataFr
 
 
 def _table(spark: SparkSession, name: str, path: str, buckets: int, build) -> DataFrame:
-    """Get-or-create one bucketed table.
+    """Get-or-create one bucketed table, published by a manifest (``sources.versions``).
 
-    A build writes to a private temporary path and renames it into place, so a reader (or a
-    concurrent builder in another process sharing the folder) never sees a partial table;
-    a later session re-registers the finished files with the same bucket spec.
+    A build writes into a data folder of its own and then publishes it, so a reader (or a concurrent builder in another
+    process sharing the folder) never sees a partial table, and the first of two builders counts; a later session
+    re-registers the published files with the same bucket spec.
     """
     if spark.catalog.tableExists(name):
         return spark.table(name)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-        tmp_name = f"{name}_tmp_{uuid.uuid4().hex[:8]}"
+    table = VersionedTable(spark, path)
+
+    def write() -> str:
+        folder, tmp_name = table.new_folder(), f"{name}_tmp_{uuid.uuid4().hex[:8]}"
         # one writer per bucket: repartition on the key first, so each bucket is one file
         (build().repartition(buckets, KEY).write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
-         .option("path", tmp).saveAsTable(tmp_name))
+         .option("path", f"{path}/{folder}").saveAsTable(tmp_name))
         spark.sql(f"DROP TABLE IF EXISTS {tmp_name}")  # external table: drops the entry, keeps the files
-        if not rename_path(spark, tmp, path) and not path_exists(spark, f"{path}/_SUCCESS"):
-            raise RuntimeError(f"could not publish feature table at {path}")
-    return _register(spark, name, path, buckets)
+        return folder
+
+    return _register(spark, name, table.folders(table.get_or_create(write))[0], buckets)
 
 
 def materialized(ws, buckets: int | None = None, version: str = "") -> tuple[dict[str, DataFrame], DataFrame]:

@@ -15,7 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, path_exists, scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
+from .versions import VersionedTable
 
 
 def sql_query(spark: SparkSession, views: dict[str, DataFrame], text: str, args: dict | None = None) -> DataFrame:
@@ -126,15 +127,15 @@ def registry_path(spark: SparkSession, name: str) -> str:
 
 
 def register_view(spark: SparkSession, fv, frame: DataFrame, root: str, refresh: bool = False) -> DataFrame:
-    """Get-or-create a versioned feature view at ``root/<name>/<version>`` (plain Parquet,
-    hash-partitioned on the entity key when written); ``refresh`` recomputes and overwrites.
+    """Get-or-create a versioned feature view at ``root/<name>/<version>``, hash-partitioned on the entity key
+    when written; ``refresh`` recomputes it and publishes the result as the next version of the stored table
+    (``sources.versions``): frames read before keep their rows, readers in between see one version or the other.
     The bucketed, join-aligned form used by the queries is ``plans.feature_store``.
     """
-    path = os.path.join(root, fv.name.lower(), fv.version.lower())
-    exists = path_exists(spark, f"{path}/_SUCCESS")
-    if refresh or not exists:
-        frame.repartition(*fv.entity.join_keys).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    table = VersionedTable(spark, os.path.join(root, fv.name.lower(), fv.version.lower()))
+    dealt = frame.repartition(*fv.entity.join_keys)
+    found = table.publish(dealt) if refresh else table.get_or_create(lambda: table.write(dealt))
+    return table.read(found, frame.schema)
 
 
 def feature_view_list(spark: SparkSession, views: dict) -> DataFrame:

@@ -62,12 +62,94 @@ def test_incremental_view_equals_batch(spark):
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, batch.select(inc.columns).collect()))
 
 
-def test_compaction_keeps_the_view(spark):
-    ws = Workspace(spark, SF_SMALL)
-    run = uuid.uuid4().hex[:8]
+def _event_files(spark, run, n, per_file=120):
+    """Events dealt into ``n`` files: one subscriber holds a third of them, with NULLs and values that come back in later files."""
+    ids = spark.range(n * per_file)
+    when = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.expr("make_interval(0, 0, 0, 0, 0, cast(id as int), 0)")
+    who = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 17).cast("string"))
+    events = ids.select(
+        F.col("id").cast("string").alias("event_id"), who.alias("subscriber_id"), (F.col("id") % 29).cast("string").alias("article_id"),
+        F.when(F.col("id") % 7 > 0, (F.col("id") % 80).cast("string")).alias("session_id"),
+        F.element_at(F.array(F.lit("view"), F.lit("share"), F.lit("comment"), F.lit("save")), (F.col("id") % 4 + 1).cast("int")).alias("event_type"),
+        F.lit("mobile").alias("device_type"), F.lit("ios").alias("platform"), F.when(F.col("id") % 5 > 0, F.col("id").cast("int")).alias("time_spent_seconds"),
+        (F.col("id") % 100).cast("int").alias("scroll_depth_pct"), when.alias("event_timestamp"))
     path = scratch_path(spark, "test_streams", run, "events")
-    ws.cat.engagement_events.repartition(3, "event_id").write.parquet(path)
-    before = tidy(incremental.run_incremental(spark, path, run, max_files_per_trigger=1))
-    state = scratch_path(spark, "streams", run, "engagement_state")
-    after = tidy(incremental.compact(spark, state, scratch_path(spark, "test_streams", run, "compacted")))
-    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))
+    for i in range(n):
+        events.where(F.floor(F.col("id") / per_file) == i).coalesce(1).write.mode("append").parquet(path)
+    return path, events
+
+
+def _view_rows(df):
+    return sorted(map(str, map(tuple, tidy(df).collect())))
+
+
+def _batch_view(spark, events):
+    from helpers import fixture_catalog
+    from churnlens.operators import features as FE
+    cat = fixture_catalog(spark)
+    cat.__dict__["engagement_events"] = events.where("subscriber_id is not null")
+    return FE.engagement_features(cat)
+
+
+def test_view_survives_a_crash_between_writing_and_publishing(spark, monkeypatch):
+    """The second batch writes its files and dies before its manifest; the restarted stream ends with the batch view."""
+    from churnlens.sources.versions import VersionedTable
+    run = uuid.uuid4().hex[:8]
+    path, events = _event_files(spark, run, 4)
+    commit, calls = VersionedTable.commit, []
+
+    def dying(self, base, parts, info=None, whole=False):
+        calls.append(info["batch_id"])
+        if len(calls) == 2:
+            raise RuntimeError("executor host lost")
+        return commit(self, base, parts, info, whole)
+    monkeypatch.setattr(VersionedTable, "commit", dying)
+    import pytest
+    with pytest.raises(Exception, match="executor host lost"):
+        incremental.run_incremental(spark, path, run, buckets=4)
+    got = incremental.run_incremental(spark, path, run, buckets=4)
+    want = _batch_view(spark, events).select(got.columns)
+    assert calls[:3] == [0, 1, 1] and _view_rows(got) == _view_rows(want)
+
+
+def test_a_batch_run_twice_changes_nothing_and_versions_stay_readable(spark):
+    run = uuid.uuid4().hex[:8]
+    path, events = _event_files(spark, run, 3)
+    state = scratch_path(spark, "test_streams", run, "state")
+    table = incremental.view_table(spark, state)
+    batches = [events.where(F.floor(F.col("event_id").cast("long") / 120) == i) for i in range(3)]
+    seen = []
+    for i, b in enumerate(batches):
+        incremental.apply_batch(table, b, i, buckets=4)
+        seen.append(_view_rows(incremental.read_view(spark, state)))
+        incremental.apply_batch(table, b, i, buckets=4)
+        assert _view_rows(incremental.read_view(spark, state)) == seen[-1]
+    incremental.apply_batch(table, events.limit(0), 3)
+    assert table.latest().info["batch_id"] == 3 and _view_rows(incremental.read_view(spark, state)) == seen[-1]
+    assert [_view_rows(incremental.read_view(spark, state, v)) for v in (1, 2, 3)] == seen
+
+
+def test_reading_the_view_costs_the_table_and_folders_are_folded(spark, monkeypatch):
+    """After many batches the view is read from one folder a bucket, without a shuffle, and no bucket has a long list of pair folders."""
+    monkeypatch.setattr(incremental, "MAX_FOLDERS", 3)
+    run = uuid.uuid4().hex[:8]
+    path, events = _event_files(spark, run, 6, per_file=60)
+    state = scratch_path(spark, "test_streams", run, "state")
+    table = incremental.view_table(spark, state)
+    for i in range(6):
+        incremental.apply_batch(table, events.where(F.floor(F.col("event_id").cast("long") / 60) == i), i, buckets=2)
+    view = incremental.read_view(spark, state)
+    assert "Exchange" not in view._jdf.queryExecution().executedPlan().toString()
+    assert {len(f) for p, f in table.latest().parts.items() if p.startswith("rows/")} == {1}
+    assert max(len(f) for p, f in table.latest().parts.items() if p.startswith("pairs/")) <= 3
+    assert _view_rows(view) == _view_rows(_batch_view(spark, events).select(view.columns))
+
+
+def test_a_batch_rewrites_only_its_buckets(spark):
+    run = uuid.uuid4().hex[:8]
+    path, events = _event_files(spark, run, 1)
+    table = incremental.view_table(spark, scratch_path(spark, "test_streams", run, "state"))
+    first = incremental.apply_batch(table, events, 0, buckets=16)
+    second = incremental.apply_batch(table, events.where("subscriber_id = 'hot'"), 1)
+    changed = {p for p in second.parts if second.parts[p] != first.parts.get(p)}
+    assert len(changed) == 1 and next(iter(changed)).startswith("rows/")   # one bucket, and no pair is new

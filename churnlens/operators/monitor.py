@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ratio_or_zero, round_ratio
+from . import drift
 
 # Fixed values of the reference's monitoring rules.
 BASELINE_CHURN_RATE = 0.29
@@ -114,37 +115,23 @@ def mean_shift(current: DataFrame, baseline: DataFrame) -> DataFrame:
     )
 
 
-def decile_edges(baseline_long: DataFrame, n_bins: int = 10) -> DataFrame:
-    """Baseline quantile edges per feature (mergeable sketch, one pass), distinct and sorted."""
-    probs = [i / n_bins for i in range(1, n_bins)]
-    return baseline_long.groupBy("feature").agg(
-        F.array_sort(F.array_distinct(F.percentile_approx("value", probs))).alias("edges"))
+def bin_proportions(sketch_rows: DataFrame, n_bins: int = 10) -> DataFrame:
+    """Expected (baseline) and actual (current) bin shares per feature, floored for empty bins, from merged sketches."""
+    j = drift.bins(sketch_rows, n_bins=n_bins)
+    w = Window.partitionBy("feature")   # at most n_bins rows
+    share = lambda n: F.greatest(F.try_divide(F.col(n), F.sum(n).over(w)), F.lit(PROPORTION_FLOOR))
+    return j.select("feature", "bin", share("n_expected").alias("p_expected"), share("n_actual").alias("p_actual"))
 
 
-def binned_counts(long: DataFrame, edges: DataFrame) -> DataFrame:
-    """Counts per (feature, bin): bin = number of edges strictly below the value."""
-    j = long.filter(F.col("value").isNotNull()).join(F.broadcast(edges), "feature")
-    b = F.size(F.filter("edges", lambda e: e < F.col("value")))
-    return j.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def split_sketches(baseline_long: DataFrame, current_long: DataFrame) -> DataFrame:
+    """Sketches of two frames of (feature, value) rows as the baseline's and the current split's."""
+    labelled = baseline_long.withColumn("split", F.lit("train")).unionByName(current_long.withColumn("split", F.lit("test")))
+    return drift.sketches(labelled)
 
 
-def bin_proportions(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = 10) -> DataFrame:
-    """Expected (baseline) and actual (current) bin shares per feature, floored for empty bins."""
-    edges = decile_edges(baseline_long, n_bins)
-    e = binned_counts(baseline_long, edges).withColumnRenamed("n", "n_expected")
-    a = binned_counts(current_long, edges).withColumnRenamed("n", "n_actual")
-    j = e.join(a, ["feature", "bin"], "full").fillna(0, ["n_expected", "n_actual"])
-    w = Window.partitionBy("feature")
-    pe = F.col("n_expected") / F.sum("n_expected").over(w)
-    pa = F.col("n_actual") / F.sum("n_actual").over(w)
-    return j.select("feature", "bin",
-                    F.greatest(pe, F.lit(PROPORTION_FLOOR)).alias("p_expected"),
-                    F.greatest(pa, F.lit(PROPORTION_FLOOR)).alias("p_actual"))
-
-
-def psi(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = 10) -> DataFrame:
+def psi(sketch_rows: DataFrame, n_bins: int = 10) -> DataFrame:
     """Q10: population stability index per feature; < 0.1 stable, < 0.2 moderate, else significant."""
-    p = bin_proportions(baseline_long, current_long, n_bins)
+    p = bin_proportions(sketch_rows, n_bins)
     term = (F.col("p_actual") - F.col("p_expected")) * F.ln(F.col("p_actual") / F.col("p_expected"))
     s = p.groupBy("feature").agg(F.sum(term).alias("psi"))
     return s.select("feature", round_ratio("psi").alias("psi"),
@@ -152,9 +139,9 @@ def psi(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = 10) ->
                     .otherwise("significant").alias("band"))
 
 
-def distribution_distance(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = 10) -> DataFrame:
+def distribution_distance(sketch_rows: DataFrame, n_bins: int = 10) -> DataFrame:
     """Q11: KL, Jensen-Shannon, Kolmogorov-Smirnov, chi-squared and Wasserstein (in bin units) per feature."""
-    p = bin_proportions(baseline_long, current_long, n_bins)
+    p = bin_proportions(sketch_rows, n_bins)
     a, e = F.col("p_actual"), F.col("p_expected")
     m = (a + e) / 2
     w = Window.partitionBy("feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import days_between, round_money, round_ratio, ts_lit
 from ..operators import business as BZ
+from ..operators import drift as DR
 from ..operators import evaluate as EV
 from ..operators import features as FE
 from ..operators import monitor as MO
@@ -22,6 +23,7 @@ from ..operators import quality as QA
 from ..operators import timeline as TL
 from ..sources import io as IO
 from ..sources.schemas import PRIMARY_KEYS
+from .feature_store import default_buckets, store_key
 from .workspace import Workspace
 
 KEY = "subscriber_id"
@@ -657,14 +659,23 @@ def mean_shift(ws):  # Q9: test split against the training-split baseline
     return MO.mean_shift(MO.feature_stats(_split_long(ws, "test")), MO.feature_stats(_split_long(ws, "train")))
 
 
+def _drift_sketches(ws) -> DataFrame:
+    """The stored sketches of every signup month and split, made once per data version by one scan of the wide table."""
+    def long():
+        dated = QA.with_split(ws.wide).join(ws.subscribers.select(KEY, F.trunc("signup_date", "month").alias("month")), KEY)
+        return MO.to_long(dated, FE.DRIFT_FEATURES, ["split", "month"])
+    key = store_key(ws.spark, ws.cat, ws.as_of, default_buckets(ws.spark, ws.cat))
+    return DR.stored(ws.spark, IO.scratch_path(ws.spark, "drift_sketches", key), long, F.col("month"))
+
+
 @register("psi")
 def psi(ws):  # Q10
-    return MO.psi(_split_long(ws, "train"), _split_long(ws, "test"))
+    return MO.psi(_drift_sketches(ws))
 
 
 @register("distribution_distance")
 def distribution_distance(ws):  # Q11
-    return MO.distribution_distance(_split_long(ws, "train"), _split_long(ws, "test"))
+    return MO.distribution_distance(_drift_sketches(ws))
 
 
 @register("campaign_roi")

@@ -153,8 +153,8 @@ def test_health_edges(spark, acc, drift, expected):
 def test_same_histogram_psi_zero(spark):
     """Q10/Q11: identical distributions have zero distance."""
     long = spark.range(1000).select(F.lit("x").alias("feature"), (F.col("id") % 37).cast("double").alias("value"))
-    assert MO.psi(long, long).first()["psi"] == 0.0
-    d = MO.distribution_distance(long, long).first()
+    assert MO.psi(MO.split_sketches(long, long)).first()["psi"] == 0.0
+    d = MO.distribution_distance(MO.split_sketches(long, long)).first()
     assert (d["kl"], d["js"], d["ks"], d["chi2"], d["wasserstein"]) == (0.0, 0.0, 0.0, 0.0, 0.0)
 
 

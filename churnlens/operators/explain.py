@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import list_dir
+from ..sources.io import materialize
 from .features import KEY
 from .model import LABEL, feature_columns, gbt_stage, model_inputs
+from .order_stats import positions
 
 
 @dataclass
@@ -347,26 +349,30 @@ def attribution_dependence(long: DataFrame, wide: DataFrame, importance: DataFra
         F.round(F.avg("attribution"), 6).alias("mean_attribution"))
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str] | None = None,
-                           buckets: int = 128, seed: int = 42) -> DataFrame:
-    """Accuracy drop when one input column is shuffled.
+def permuted_columns(rows: DataFrame, cols: list[str], seed: int = 42) -> DataFrame:
+    """``rows`` with ``_s_<c>`` for each of ``cols``: the values of another row, all from the same one, by one permutation of all rows.
 
-    Shuffling is local: rows are hashed into ``buckets`` buckets, whatever the table's size, and inside a bucket each
-    row takes the value of its successor in a hash order (a cyclic shift) -- one window pass computes the
-    shifted value of every column at once. Each row is then repeated once per feature (by its index, the column
-    replaced where the index says so) and once unchanged; all variants are scored by a single ``transform`` and
-    one groupBy gives the permuted and the base accuracy.
+    Rows are numbered twice, each time along an order by a seeded hash of the key (ranges with summed counts, see
+    ``order_stats.positions``); the row at a place of the first order takes the values of the row at that place of the second. The
+    orders depend on keys alone, so the permutation doesn't change with partitioning or the number of machines.
+    """
+    own = positions(rows, [F.xxhash64(KEY, F.lit(seed)), F.col(KEY), F.xxhash64(*cols)])   # the last only parts rows of one key
+    # renamed before they are stored, so that the plan behind it is free of aliases (the optimizer derives constraints from each)
+    moved = rows.select(KEY, *[F.col(c).alias(f"_s_{c}") for c in cols])
+    other = positions(moved, [F.xxhash64(KEY, F.lit(seed + 1)), F.col(KEY), F.xxhash64(*[f"_s_{c}" for c in cols])]).drop(KEY)
+    return own.join(other, "row_number").drop("row_number")
+
+
+def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str] | None = None, seed: int = 42) -> DataFrame:
+    """Accuracy drop when one input column is shuffled over the whole table (``permuted_columns``).
+
+    Each row is repeated once per feature (by its index, the column replaced where the index says so) and once
+    unchanged; all variants are scored by a single ``transform`` and one groupBy gives the permuted and the base accuracy.
     """
     names = features or list(feature_columns())
     cols = [f[:-4] if f.endswith("_idx") else f for f in names]
-    inputs = model_inputs(df)
-    keyed = (inputs.withColumn("_bucket", F.pmod(F.xxhash64(KEY, F.lit(seed)), F.lit(buckets)))
-             .withColumn("_h", F.xxhash64(KEY, F.lit(seed + 1))))
-    w = Window.partitionBy("_bucket").orderBy("_h", KEY)
-    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shifted = keyed.select(KEY, LABEL, *cols, *[
-        F.coalesce(F.lead(F.col(c)).over(w), F.first(F.col(c)).over(w_all)).alias(f"_s_{c}") for c in cols])
-    variants = shifted.withColumn("_v", F.explode(F.sequence(F.lit(-1), F.lit(len(cols) - 1))))
+    shuffled = materialize(permuted_columns(model_inputs(df), cols, seed))
+    variants = shuffled.withColumn("_v", F.explode(F.sequence(F.lit(-1), F.lit(len(cols) - 1))))
     scored = model.transform(variants.select(KEY, LABEL, "_v", *[
         F.when(F.col("_v") == i, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)]))
     acc = scored.groupBy("_v").agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("accuracy"))

@@ -7,6 +7,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import SF_SMALL
 from churnlens.operators import explain as XP
@@ -81,11 +82,27 @@ def test_attribution_is_additive_and_matches_spark_margin(spark, small_model):
 
 def test_permutation_importance_shape(spark, small_model):
     ws, model, _ = small_model
-    res = XP.permutation_importance(model, ws.wide, rows_per_bucket=200).collect()
+    res = XP.permutation_importance(model, ws.wide).collect()
     assert len(res) == len(M.feature_columns())
     assert all(-1.0 <= r["importance"] <= 1.0 for r in res)
 
 
+def test_permutation_is_one_of_all_rows_and_independent_of_partitioning(spark):
+    """Every row takes all its values from one other row, each row is taken once, whatever the partitioning; no bucket count."""
+    rows = spark.range(500).select((F.col("id") % 400).cast("string").alias("subscriber_id"), F.col("id").alias("a"), (F.col("id") * 2).alias("b"))
+    got = sorted(map(tuple, XP.permuted_columns(rows, ["a", "b"]).select("a", "_s_a", "_s_b").collect()))
+    assert sorted(x[1] for x in got) == list(range(500)) and all(x[2] == 2 * x[1] for x in got)
+    assert sum(x[0] == x[1] for x in got) < 10
+    for parts in (1, 13):
+        again = XP.permuted_columns(rows.repartition(parts), ["a", "b"]).select("a", "_s_a", "_s_b")
+        assert sorted(map(tuple, again.collect())) == got
+    assert sorted(x[1] for x in map(tuple, XP.permuted_columns(rows, ["a", "b"], seed=1).select("a", "_s_a").collect())) == list(range(500))
+    # no window spans the table and none is split into a fixed number of buckets
+    plan = XP.permuted_columns(rows, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 4 and sum("[_range#" in w for w in windows) == 4 and "pmod" not in plan
+
+
 def test_metrics_equal_spark_evaluator(spark, small_model):
     """Accuracy / precision / recall / F1 from the confusion cells equal Spark ML's evaluator."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator

@@ -18,7 +18,8 @@ import inspect
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import scalar
 from ..operators import features as FE
@@ -27,6 +28,9 @@ from ..sources import adapters
 from ..sources.versions import VersionedTable
 
 KEY = FE.KEY
+FOLDED = "folded_id"
+#: Ids that a point lookup takes as literals.
+MAX_POINTS = 100
 _LOCK = threading.Lock()
 
 
@@ -64,14 +68,13 @@ def default_buckets(spark: SparkSession, cat) -> int:
     return b
 
 
-def _register(spark: SparkSession, name: str, path: str, buckets: int) -> DataFrame:
-    ddl = spark.read.parquet(path)._jdf.schema().toDDL()
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet CLUSTERED BY ({KEY}) "
-              f"SORTED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+def _register(spark: SparkSession, name: str, path: str, buckets: int, key: str, ddl: str) -> DataFrame:
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet CLUSTERED BY ({key}) "
+              f"SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(name)
 
 
-def _table(spark: SparkSession, name: str, path: str, buckets: int, build) -> DataFrame:
+def _table(spark: SparkSession, name: str, path: str, buckets: int, build, key: str = KEY) -> DataFrame:
     """Get-or-create one bucketed table, published by a manifest (``sources.versions``).
 
     A build writes into a data folder of its own and then publishes it, so a reader (or a concurrent builder in another
@@ -85,12 +88,13 @@ def _table(spark: SparkSession, name: str, path: str, buckets: int, build) -> Da
     def write() -> str:
         folder, tmp_name = table.new_folder(), f"{name}_tmp_{uuid.uuid4().hex[:8]}"
         # one writer per bucket: repartition on the key first, so each bucket is one file
-        (build().repartition(buckets, KEY).write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
+        (build().repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
          .option("path", f"{path}/{folder}").saveAsTable(tmp_name))
         spark.sql(f"DROP TABLE IF EXISTS {tmp_name}")  # external table: drops the entry, keeps the files
         return folder
 
-    return _register(spark, name, table.folders(table.get_or_create(write))[0], buckets)
+    ddl = build()._jdf.schema().toDDL()   # an empty table has no file to read it from
+    return _register(spark, name, table.folders(table.get_or_create(write))[0], buckets, key, ddl)
 
 
 def materialized(ws, buckets: int | None = None, version: str = "") -> tuple[dict[str, DataFrame], DataFrame]:
@@ -116,18 +120,44 @@ def store(ws, buckets: int | None = None, version: str = "") -> dict:
     def one(k: str) -> DataFrame:
         if k == "subscribers":
             return _table(spark, f"fs_{key}_subscribers", f"{base}/subscribers", buckets, lambda: ws.cat.subscribers)
+        if k == "folded_ids":
+            return _table(spark, f"fs_{key}_folded_ids", f"{base}/folded_ids", buckets,
+                          lambda: ws.cat.subscribers.select(fold(F.col(KEY)).alias(FOLDED), KEY), FOLDED)
         fv = FE.FEATURE_VIEWS[k]
         return _table(spark, f"fs_{key}_{fv.table_name}", f"{base}/{fv.table_name}", buckets,
                       lambda: fv.build(ws.cat))
 
-    names = list(FE.VIEW_ORDER) + ["subscribers"]
+    names = [*FE.VIEW_ORDER, "subscribers", "folded_ids"]
     with _LOCK:
         with ThreadPoolExecutor(max_workers=len(names)) as pool:
             built = dict(zip(names, pool.map(one, names)))
         views = {k: built[k] for k in FE.VIEW_ORDER}
         wide = _table(spark, f"fs_{key}_churn_features", f"{base}/churn_features", buckets,
                       lambda: FE.training_frame(ws.cat, ws.as_of, views))
-    return {"views": views, "wide": wide, "subscribers": built["subscribers"]}
+    return {"views": views, "wide": wide, "subscribers": built["subscribers"], "folded_ids": built["folded_ids"]}
+
+
+def fold(col: Column) -> Column:
+    """Ids are looked up whatever their case."""
+    return F.upper(col)
+
+
+def lookup(st: dict, ids: DataFrame | list[str]) -> DataFrame:
+    """The wide rows of ids typed in any case, by the stored index of folded ids.
+
+    A list (a page's typed ids, at most ``MAX_POINTS``) becomes literals: the index is read from the buckets that its folded ids
+    hash to, the wide table from the buckets of the ids found, and sorted files skip the row groups between. A frame of any size
+    (column ``id``) joins the index on the folded id and the wide table on the id, both dealt by their join key already.
+    """
+    index, wide = st["folded_ids"], st["wide"]
+    if isinstance(ids, list):
+        if len(ids) > MAX_POINTS:
+            raise ValueError(f"{len(ids)} ids: look up more than {MAX_POINTS} as a frame")
+        own = index.where(F.col(FOLDED).isin([fold(F.lit(i)) for i in ids])) if ids else index.limit(0)
+        found = [r[0] for r in own.select(KEY).collect()]   # ids that differ only in case
+        return wide.where(F.col(KEY).isin(found)) if found else wide.limit(0)
+    wanted = index.join(ids.select(fold(F.col("id")).alias(FOLDED)).distinct(), FOLDED).select(KEY)
+    return wide.join(wanted, KEY, "left_semi")
 
 
 def refresh(ws, buckets: int | None = None) -> tuple[dict[str, DataFrame], DataFrame]:

@@ -300,9 +300,8 @@ def score_one(ws):  # the predict page: one subscriber's stored feature row scor
     model, _ = trained(ws)
     top = (ws.predictions.filter(F.col("predicted_churn") == 1)
            .join(ws.payment_view.select(KEY, "total_revenue"), KEY)
-           .orderBy(F.desc("total_revenue"), KEY).limit(1).select(F.upper(KEY).alias("lookup_id")))
-    row = IO.id_lookup(ws.wide, top, KEY, "lookup_id")
-    return M.predict(model, row, ws.as_of)
+           .orderBy(F.desc("total_revenue"), KEY).limit(1).select(KEY))
+    return M.predict(model, ws.lookup([r[0] for r in top.collect()]), ws.as_of)
 
 
 @register("importance_explained")

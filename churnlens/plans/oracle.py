@@ -491,6 +491,8 @@ def oracle_sql() -> dict[str, str]:
     m["dataset_snapshot"] = q(f"SELECT {wide_sel} FROM churn_features")
     m["id_lookup"] = q(f"SELECT {wide_sel} FROM churn_features WHERE upper(subscriber_id) IN "
                        "(SELECT upper(subscriber_id) FROM churn_predictions WHERE predicted_churn = 1)")
+    m["id_lookup_point"] = q(f"SELECT {wide_sel} FROM churn_features WHERE upper(subscriber_id) IN (SELECT upper(subscriber_id) "
+                             "FROM at_risk_rows ORDER BY total_revenue DESC, subscriber_id LIMIT 3)")
     m["head_rows"] = q(f"SELECT {wide_sel} FROM churn_features ORDER BY subscriber_id LIMIT 10")
     m["project"] = q("SELECT subscriber_id, subscription_tier, birth_year AS year_of_birth FROM subscribers")
     m["filter_eq"] = q("SELECT history_id, subscriber_id FROM subscription_history WHERE event_type = 'cancel'")

@@ -87,9 +87,14 @@ def dataset_snapshot(ws):  # S20: write the versioned training set once, read it
 
 
 @register("id_lookup")
-def id_lookup(ws):  # S16 re-aimed to a list: wide rows of the at-risk ids, case-insensitive
-    ids = ws.predictions.filter(F.col("predicted_churn") == 1).select(F.upper(KEY).alias("lookup_id"))
-    return tidy(IO.id_lookup(ws.wide, ids, KEY, "lookup_id"))
+def id_lookup(ws):  # S16 re-aimed to a list: wide rows of the at-risk ids, case-insensitive, by the index of folded ids
+    return tidy(ws.lookup(ws.predictions.filter(F.col("predicted_churn") == 1).select(F.lower(KEY).alias("id"))))
+
+
+@register("id_lookup_point")
+def id_lookup_point(ws):  # S16 as the page does it: a few typed ids (the three at-risk subscribers with the highest revenue)
+    rows = EV.at_risk_rows(ws.predictions, ws.subscribers, ws.payment_view, ws.as_of)
+    return tidy(ws.lookup([r[0].lower() for r in EV.top_by_revenue(rows, 3).select(KEY).collect()]))
 
 
 @register("head_rows")

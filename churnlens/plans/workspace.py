@@ -34,6 +34,11 @@ class Workspace:
         """The subscriber dimension for joins: the bucketed store copy when materialized."""
         return self._store["subscribers"] if self.materialize else self.cat.subscribers
 
+    def lookup(self, ids) -> DataFrame:
+        """Wide rows of ids in any case, a short list or a frame with a column ``id``, by the store's index."""
+        from .feature_store import lookup
+        return lookup(self._store, ids)
+
     @cached_property
     def views(self) -> dict[str, DataFrame]:
         """The five feature views: lazy plans, or the bucketed feature-store tables."""

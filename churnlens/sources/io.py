@@ -109,15 +109,6 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select("table_name", "row_count")
 
 
-def id_lookup(features: DataFrame, ids: DataFrame, key: str, id_col: str) -> DataFrame:
-    """Wide rows for a list of ids; both sides upper-cased.
-
-    A semi join on an expression key; the optimizer broadcasts the id list only when its
-    runtime size is under the broadcast threshold, otherwise both sides shuffle.
-    """
-    return features.join(ids, F.upper(features[key]) == ids[id_col], "left_semi")
-
-
 # ---------------------------------------------------------------------------
 # Registries stored as Parquet tables: model versions (S13), feature views
 # ---------------------------------------------------------------------------

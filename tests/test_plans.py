@@ -93,3 +93,23 @@ def test_sizing_helpers(spark):
             spark.conf.set(k, v)
     b = default_buckets(spark, Catalog(spark, SF_SMALL))
     assert 8 <= b <= 4096 and b & (b - 1) == 0
+
+
+def test_lookup_of_one_id_reads_one_bucket_of_each_table(spark):
+    """An id typed in any case reads one bucket of the index of folded ids, and its row one bucket of the wide table."""
+    from churnlens.plans import feature_store as FS
+    from churnlens.plans.workspace import Workspace
+    from helpers import fixture_catalog, sub
+    ids = [f"Sub-{i:03d}" for i in range(40)] + ["sub-007"]
+    ws = Workspace(spark, "", catalog=fixture_catalog(spark, [sub(i) for i in ids]), materialize=True)
+    own = ws._store["folded_ids"].where(FS.F.col(FS.FOLDED).isin([FS.fold(FS.F.lit("suB-011"))]))
+    assert "SelectedBucketsCount: 1 out of 8" in plan(own)
+    found = ws.lookup(["suB-011"])
+    assert "SelectedBucketsCount: 1 out of 8" in plan(found)
+    assert [r["subscriber_id"] for r in found.collect()] == ["Sub-011"]
+    assert sorted(r["subscriber_id"] for r in ws.lookup(["SUB-007", "nobody"]).collect()) == ["Sub-007", "sub-007"]
+    assert ws.lookup(["nobody"]).count() == 0 and ws.lookup([]).count() == 0
+    wanted = spark.createDataFrame([("sub-003",), ("SUB-003",), ("SUB-007",), (None,), ("x",)], "id string")
+    assert sorted(r["subscriber_id"] for r in ws.lookup(wanted).collect()) == ["Sub-003", "Sub-007", "sub-007"]
+    with pytest.raises(ValueError):
+        ws.lookup([str(i) for i in range(FS.MAX_POINTS + 1)])

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import ts_lit
 from ..session import path_exists, scratch_path
+from ..sources.io import write_and_read
 from .evaluate import classification_metrics
 from .features import CATEGORICAL_FEATURES, KEY, NUMERIC_FEATURES
 
@@ -59,13 +60,19 @@ def label_encoders() -> list[StringIndexer]:
                           handleInvalid="keep") for c in CATEGORICAL_FEATURES]
 
 
+def boosted_trees(params: GBTParams = GBTParams()) -> GBTClassifier:
+    return GBTClassifier(labelCol=LABEL, featuresCol="features", maxIter=params.n_estimators, maxDepth=params.max_depth,
+                         stepSize=params.learning_rate, seed=params.seed, maxBins=params.max_bins)
+
+
+def input_stages() -> list:
+    """Encoders and assembler: what comes before the trees."""
+    return [*label_encoders(), VectorAssembler(inputCols=feature_columns(), outputCol="features", handleInvalid="keep")]
+
+
 def build_pipeline(params: GBTParams = GBTParams()) -> Pipeline:
     """U4: encoders + assembler + boosted trees as one estimator."""
-    assembler = VectorAssembler(inputCols=feature_columns(), outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(labelCol=LABEL, featuresCol="features", maxIter=params.n_estimators,
-                        maxDepth=params.max_depth, stepSize=params.learning_rate, seed=params.seed,
-                        maxBins=params.max_bins)
-    return Pipeline(stages=[*label_encoders(), assembler, gbt])
+    return Pipeline(stages=[*input_stages(), boosted_trees(params)])
 
 
 def model_inputs(df: DataFrame) -> DataFrame:
@@ -90,9 +97,24 @@ def training_input(train: DataFrame) -> DataFrame:
     return df.repartition(max(1, -(-size // TRAIN_BYTES_PER_PARTITION)))
 
 
-def fit(train: DataFrame, params: GBTParams = GBTParams()) -> PipelineModel:
-    """Training drops rows with any NULL (D5) and fits the pipeline."""
-    return build_pipeline(params).fit(training_input(train))
+@dataclass(frozen=True)
+class Prepared:
+    """The fitted encoders and assembler, and the training rows as stored (features, label) vectors."""
+    stages: PipelineModel
+    rows: DataFrame
+
+
+def prepare(train: DataFrame) -> Prepared:
+    """Encode and assemble the training rows once, and store them: any number of fits read them."""
+    inputs = training_input(train)
+    stages = Pipeline(stages=input_stages()).fit(inputs)
+    return Prepared(stages, write_and_read(train.sparkSession, stages.transform(inputs).select("features", LABEL), "training_vectors"))
+
+
+def fit(train: DataFrame | Prepared, params: GBTParams = GBTParams()) -> PipelineModel:
+    """Training drops rows with any NULL (D5) and fits the pipeline; prepared rows are read as they are stored."""
+    prepared = train if isinstance(train, Prepared) else prepare(train)
+    return PipelineModel([*prepared.stages.stages, boosted_trees(params).fit(prepared.rows)])
 
 
 def gbt_stage(model: PipelineModel) -> GBTClassificationModel:

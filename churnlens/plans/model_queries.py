@@ -30,6 +30,7 @@ SWEEP_CONFIGS = {
 }
 
 _LOCK = threading.Lock()
+_FITS: dict[tuple, threading.Lock] = {}   # one fit at a time of the same model
 _CACHE: dict[tuple, tuple[PipelineModel, str]] = {}
 
 
@@ -46,12 +47,13 @@ def split_frames(ws: Workspace) -> dict[str, DataFrame]:
     return {k: s.filter(F.col("split") == k) for k in ("train", "validation", "test")}
 
 
-def trained(ws: Workspace, params: M.GBTParams = M.GBTParams()) -> tuple[PipelineModel, str]:
+def trained(ws: Workspace, params: M.GBTParams = M.GBTParams(), prepared: M.Prepared | None = None) -> tuple[PipelineModel, str]:
     """Fit on the training split once per data version; returns (model, saved path).
 
     The saved pipeline is keyed by the feature-store key (data fingerprint + clock +
     definitions) and the parameters, so another process over the same data loads it
-    instead of refitting; a new fit is saved to a private path and renamed into place.
+    instead of refitting; a new fit is saved to a private path and renamed into place. Calls with different parameters may
+    run side by side, on the same ``prepared`` rows.
     """
     import hashlib
     import uuid
@@ -63,13 +65,15 @@ def trained(ws: Workspace, params: M.GBTParams = M.GBTParams()) -> tuple[Pipelin
         buckets = default_buckets(ws.spark, ws.cat)
         tag = hashlib.sha1(f"{store_key(ws.spark, ws.cat, ws.as_of, buckets)}|{params}".encode()).hexdigest()[:16]
         mem_key = (id(ws.spark), tag)   # the tag names data, clock, definitions and parameters
+        own = _FITS.setdefault(mem_key, threading.Lock())
+    with own:
         if mem_key in _CACHE:
             return _CACHE[mem_key]
         path = scratch_path(ws.spark, "models", M.MODEL_NAME.lower(), tag)
         if path_exists(ws.spark, f"{path}/metadata"):
             model = PM.load(path)
         else:
-            model = M.fit(split_frames(ws)["train"], params)
+            model = M.fit(prepared or split_frames(ws)["train"], params)
             tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
             model.write().save(tmp)
             if rename_path(ws.spark, tmp, path):
@@ -222,19 +226,31 @@ def score_profiles(ws):  # U14: every monthly subscriber re-scored as if on annu
     return before.join(after, KEY).withColumn("change", F.round(F.col("p_after") - F.col("p_before"), 6))
 
 
-def sweep(ws, params: list[M.GBTParams]) -> DataFrame:
+#: Fits of a sweep that run side by side: each is a long row of small jobs that leaves most cores idle.
+PARALLEL_FITS = 4
+
+
+def sweep(ws, params: list[M.GBTParams], parallel: int = PARALLEL_FITS) -> DataFrame:
     """U5 + U6: fit each configuration, validate all, pick the best F1 (W1), test that one once and make it the
-    default version. Appends the runs to the stored table (S5) and returns the winner with its test metrics."""
+    default version. Appends the runs to the stored table (S5) and returns the winner with its test metrics.
+
+    The training rows are encoded and stored once for all fits, and ``parallel`` fits run at a time.
+    """
+    from concurrent.futures import ThreadPoolExecutor
     frames = split_frames(ws)
     metrics = ("accuracy", "precision", "recall", "f1_score")
-    runs, paths = [], {}
-    for p in params:
-        model, path = trained(ws, p)
+    prepared = M.prepare(frames["train"])
+
+    def one(p: M.GBTParams) -> tuple:
+        model, path = trained(ws, p, prepared)
         m = M.evaluate(model, frames["validation"]).first()
-        paths[p.run_name] = (model, path)
-        runs.append((p.run_name, p.n_estimators, p.max_depth, p.learning_rate, *[float(m[x]) for x in metrics]))
-    df = ws.spark.createDataFrame(runs, "run_name string, n_estimators int, max_depth int, learning_rate double, "
-                                        "accuracy double, precision double, recall double, f1_score double")
+        return model, path, (p.run_name, p.n_estimators, p.max_depth, p.learning_rate, *[float(m[x]) for x in metrics])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        done = list(pool.map(one, params))
+    paths = {run[0]: (model, path) for model, path, run in done}
+    df = ws.spark.createDataFrame([run for _, _, run in done], "run_name string, n_estimators int, max_depth int, learning_rate double, "
+                                                               "accuracy double, precision double, recall double, f1_score double")
     df = df.withColumn("run_timestamp", F.current_timestamp())
     IO.sink_append(df, IO.registry_path(ws.spark, "experiment_runs"))
     best = EV.best_run(df)

@@ -75,9 +75,9 @@ def build_pipeline(params: GBTParams = GBTParams()) -> Pipeline:
     return Pipeline(stages=[*input_stages(), boosted_trees(params)])
 
 
-def model_inputs(df: DataFrame) -> DataFrame:
-    """The columns the pipeline reads, numeric ones as double (decimals included)."""
-    return df.select(KEY, *CATEGORICAL_FEATURES,
+def model_inputs(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns the pipeline reads, numeric ones as double (decimals included), and the columns to ``keep`` along."""
+    return df.select(*keep, KEY, *CATEGORICAL_FEATURES,
                      *[F.col(c).cast("double").alias(c) for c in NUMERIC_FEATURES],
                      *([F.col(LABEL).cast("double").alias(LABEL)] if LABEL in df.columns else []))
 
@@ -121,10 +121,10 @@ def gbt_stage(model: PipelineModel) -> GBTClassificationModel:
     return model.stages[-1]
 
 
-def predict(model: PipelineModel, df: DataFrame, as_of: _dt.datetime | None = None) -> DataFrame:
-    """U3 + U15: id, label (when present), prediction, probability of class 1, timestamp -- one plan."""
-    scored = model.transform(model_inputs(df))
-    cols = [KEY]
+def predict(model: PipelineModel, df: DataFrame, as_of: _dt.datetime | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """U3 + U15: id, label (when present), prediction, probability of class 1, timestamp -- one plan; ``keep`` goes first."""
+    scored = model.transform(model_inputs(df, keep))
+    cols = [*keep, KEY]
     if LABEL in df.columns:
         cols.append(F.col(LABEL).cast("int").alias("actual_churn"))
     ts = ts_lit(as_of) if as_of else F.current_timestamp()

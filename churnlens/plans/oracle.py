@@ -927,6 +927,9 @@ FROM (SELECT CAST(num_runs AS INTEGER) AS num_runs, CAST(run AS INTEGER) AS run,
       UNION ALL
       SELECT n, i, 30 + 10 * i, 4 + i, round(0.3 - i * (0.15 / (n - 1)), 3)
       FROM (SELECT n, CAST(unnest(range(n)) AS INTEGER) AS i FROM (VALUES (4), (10), (23), (60)) t(n))) g""")
+    m["stream_scoring_facts"] = q("""SELECT unnest(['streamed_rows', 'events', 'subscribers', 'probabilities',
+               'streamed_minus_batch', 'batch_minus_streamed']) AS fact,
+       unnest([COUNT(*), COUNT(*), COUNT(*), COUNT(*), 0, 0]) AS value FROM churn_features""")
     m["model_facts"] = q("""SELECT fact, CAST(value AS DOUBLE) AS value FROM (
 SELECT unnest(['scored_rows', 'scored_ids', 'positives', 'confusion_cells', 'nulls', 'outside_0_1', 'against_probability',
                'importance_sum', 'inputs']) AS fact,

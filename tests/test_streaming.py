@@ -153,3 +153,28 @@ def test_a_batch_rewrites_only_its_buckets(spark):
     second = incremental.apply_batch(table, events.where("subscriber_id = 'hot'"), 1)
     changed = {p for p in second.parts if second.parts[p] != first.parts.get(p)}
     assert len(changed) == 1 and next(iter(changed)).startswith("rows/")   # one bucket, and no pair is new
+
+
+def test_scores_are_written_once_for_repeated_requests_and_after_a_restart(spark):
+    """Three files repeat each other's requests; the stream is stopped after two and goes on with the third."""
+    from churnlens.operators import model as M
+    from churnlens.operators import quality as QA
+    from churnlens.streaming import scoring
+    ws = Workspace(spark, SF_SMALL)
+    wide = QA.with_split(ws.wide)
+    model = M.fit(wide.where("split = 'train'"), M.GBTParams(2, 2, 0.3))
+    rows = M.model_inputs(ws.wide).withColumns({"event_id": F.concat(F.lit("e"), "subscriber_id"), "event_time": F.lit(ws.as_of).cast("timestamp_ntz")})
+    run = uuid.uuid4().hex[:8]
+    path = scratch_path(spark, "test_streams", run, "requests")
+    third = F.crc32(F.col("subscriber_id").cast("binary")) % 3
+    send = lambda df: df.coalesce(1).write.mode("append").parquet(path)
+    go = lambda: scoring.run_stream_scoring(spark, model, path, rows.schema, run, ws.as_of, max_files_per_trigger=1)
+    send(rows.where(third < 2).unionByName(rows.where(third == 0)))
+    send(rows.where(third == 1).unionByName(rows.where(third == 1).withColumn("event_id", F.lit(None).cast("string"))))
+    first = go().count()
+    send(rows)
+    scored = go()
+    cols = ["subscriber_id", "predicted_churn", "churn_probability"]
+    batch = M.predict(model, ws.wide, ws.as_of).select(cols)
+    assert first == rows.where(third < 2).count() and scored.count() == rows.count()
+    assert sorted(map(tuple, scored.select(cols).collect())) == sorted(map(tuple, batch.collect()))

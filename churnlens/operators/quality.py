@@ -115,16 +115,17 @@ def degenerate_check(pred: DataFrame, col: str = "predicted_churn") -> DataFrame
 def key_check(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
     """Q4: per table rows, NULL keys and keys that occur more than once.
 
-    One groupBy(key) per table (map-side partial counts); a hot duplicated key costs one
-    partial row per task, never a one-task group.
+    The keys of all tables are one column beside the table's name, counted by one groupBy (map-side partial counts, a hot
+    duplicated key costs one row per task) and summed by a second one over tables: two shuffles, whatever the number of tables.
+    A table without rows counts 0.
     """
-    parts = []
-    for name, df in tables.items():
-        k = keys[name]
-        per_key = df.groupBy(F.col(k).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(per_key.agg(
-            F.sum("_n").cast("long").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("long").alias("null_keys"),
-            F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias("duplicate_keys"),
-        ).withColumn("table_name", F.lit(name)).withColumn("key_column", F.lit(k)))
-    return reduce(DataFrame.unionByName, parts)
+    rows = reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("table_name"), F.col(keys[name]).cast("string").alias("_k")) for name, df in tables.items()])
+    per_key = rows.groupBy("table_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    counted = per_key.groupBy("table_name").agg(
+        F.sum("_n").alias("rows"), F.sum(F.when(F.col("_k").isNull(), F.col("_n"))).alias("null_keys"),
+        F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias("duplicate_keys"))
+    names = rows.sparkSession.createDataFrame([(n, keys[n]) for n in tables], "table_name string, key_column string")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return F.broadcast(names).join(counted, "table_name", "left").select(   # one row a table
+        zero("rows"), zero("null_keys"), zero("duplicate_keys"), "table_name", "key_column")

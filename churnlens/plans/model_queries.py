@@ -7,6 +7,7 @@ and saved under the shared folder; later keys load that version instead of refit
 from __future__ import annotations
 
 import threading
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -252,7 +253,7 @@ def sweep(ws, params: list[M.GBTParams], parallel: int = PARALLEL_FITS) -> DataF
     df = ws.spark.createDataFrame([run for _, _, run in done], "run_name string, n_estimators int, max_depth int, learning_rate double, "
                                                                "accuracy double, precision double, recall double, f1_score double")
     df = df.withColumn("run_timestamp", F.current_timestamp())
-    IO.sink_append(df, IO.registry_path(ws.spark, "experiment_runs"))
+    IO.append_runs(df, IO.runs_path(ws.spark, ws.data_version))
     best = EV.best_run(df)
     model, path = paths[best.first()["run_name"]]
     tested = M.evaluate(model, frames["test"]).select(*[F.col(x).alias(f"test_{x}") for x in metrics])
@@ -265,6 +266,49 @@ def sweep_select(ws):
     return sweep(ws, param_grid(3))
 
 
+@register("sweep_facts")
+def sweep_facts(ws):  # U6 + S14: the stored table holds every run of the sweep, its winner has the best F1 and is the default
+    params = param_grid(2)
+    winner = sweep(ws, params).first()
+    runs = IO.newest_runs(ws.spark, IO.runs_path(ws.spark, ws.data_version), 1000, prefix="gbt_").where(
+        F.col("run_name").isin([p.run_name for p in params]))
+    inside = [F.col(m).between(0, 1).cast("int") for m in IO.RUN_METRICS]
+    facts = runs.agg(
+        F.countDistinct("run_name").alias("configurations"), F.countDistinct("n_estimators", "max_depth", "learning_rate").alias("settings"),
+        F.min(sum(inside[1:], inside[0])).alias("metrics_in_range"), (F.round(F.max("f1_score"), 6) == round(winner["f1_score"], 6)).cast("int").alias("winner_is_best"))
+    default = M.versions(ws.spark).agg(F.sum(F.col("is_default").cast("int")).alias("defaults"))
+    wide = facts.crossJoin(default)   # one row x one row
+    return wide.select([F.col(c).cast("double").alias(c) for c in wide.columns]).unpivot([], wide.columns, "fact", "value")
+
+
+@register("model_surface_facts")
+def model_surface_facts(ws):  # what must hold of the rows that each model query returns, whatever the model
+    model, path = trained(ws)
+    cells = lambda key, df, **facts: df.agg(*[c.cast("double").alias(n) for n, c in facts.items()]).unpivot(
+        [], list(facts), "fact", "value").select(F.lit(key).alias("query"), "fact", "value")
+    rows, ids = F.count(F.lit(1)), F.countDistinct(KEY)
+    flag = lambda c: F.coalesce(F.sum(c.cast("int")), F.lit(0))
+    loaded = M.predict(PipelineModel.load(path), split_frames(ws)["test"], ws.as_of)
+    ranked = M.gain_importance(model).orderBy(F.desc("importance"), "feature").limit(15)
+    parts = [
+        cells("predict_batch", predict_batch(ws), rows=rows, ids=ids, nulls=flag(F.col("predicted_churn").isNull())),
+        cells("churn_probability", churn_probability(ws), rows=rows, ids=ids, inside=flag(F.col("churn_probability").between(0, 1))),
+        cells("daily_scores", daily_scores(ws), rows=rows, ids=ids, classes=flag(F.col("predicted_churn").isin(0, 1))),
+        cells("score_profiles", score_profiles(ws), rows=rows, ids=ids,
+              off=flag(F.abs(F.col("change") - (F.col("p_after") - F.col("p_before"))) > 1e-6)),
+        cells("model_sql_function", model_sql_function(ws), rows=F.sum("n"), outside=flag(~F.col("mean_probability").between(0, 1))),
+        cells("model_save", loaded.exceptAll(predict_batch(ws)), rows=rows),
+        cells("model_versions", M.versions(ws.spark).where(F.col("model_version_name") == path.rsplit("/", 1)[1]).limit(1), rows=rows,
+              metrics=flag(F.col("accuracy").between(0, 1) & F.col("f1_score").between(0, 1))),
+        cells("gain_importance", M.gain_importance(model), rows=rows, total=F.round(F.sum("importance"), 6), negative=flag(F.col("importance") < 0)),
+        cells("top_importance", ranked, rows=rows, features=F.countDistinct("feature")),
+        cells("gbt_fit", gbt_fit(ws), trees=F.max("num_trees"), inputs=F.max("num_features")),
+        cells("pipeline_fit", pipeline_fit(ws), rows=rows, inside=flag(F.col("accuracy").between(0, 1))),
+        cells("model_metrics", model_metrics(ws), rows=rows, inside=flag(F.col("f1_score").between(0, 1))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("param_grid")
 def param_grids(ws):  # U5: the configurations of every sweep size the page offers, with the rows each would be fitted on
     rows = [(n, i, p.n_estimators, p.max_depth, p.learning_rate) for n in (1, 2, 3, 4, 10, 23, 60) for i, p in enumerate(param_grid(n))]

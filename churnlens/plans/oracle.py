@@ -33,7 +33,8 @@ subscribers AS (
               WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'standard'
               ELSE 'premium' END AS subscription_tier,
          CASE WHEN c_acctbal < 5000 THEN 'monthly' ELSE 'annual' END AS billing_cycle,
-         {_pick('c_nationkey', ['organic', 'paid_search', 'social', 'referral', 'email'])} AS acquisition_channel
+         {_pick('c_nationkey', ['organic', 'paid_search', 'social', 'referral', 'email'])} AS acquisition_channel,
+         {AS_OF} AS created_at, {AS_OF} AS updated_at
   FROM customer),
 subscription_history AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS history_id, CAST(o_custkey AS VARCHAR) AS subscriber_id,
@@ -525,13 +526,17 @@ FROM payment_features JOIN support_features USING (subscriber_id) JOIN promo_fea
     m["unseen_categories"] = q(f"""SELECT DISTINCT column_name, value FROM ({cat_long("split = 'validation'")}) v
 WHERE value IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({cat_long("split = 'train'")}) t
   WHERE t.column_name = v.column_name AND t.value = v.value)""")
+    segments = ("SELECT concat_ws('/', s.city, s.subscription_tier, s.billing_cycle, s.gender) AS segment "
+                "FROM subscribers s JOIN wide_split w USING (subscriber_id) WHERE w.split = '{}'")
+    m["unseen_segments"] = q(f"SELECT DISTINCT 'segment' AS column_name, segment AS value FROM ({segments.format('validation')}) "
+                             f"WHERE segment NOT IN (SELECT segment FROM ({segments.format('train')}))")
     m["scalar_broadcast"] = q("""SELECT subscriber_id,
        ROUND(CAST(tenure_days AS DOUBLE) / max_tenure, 6) AS tenure_share,
        ROUND(CAST(total_engagements AS DOUBLE) / max_engagements, 6) AS engagement_share,
        ROUND(CAST(total_revenue AS DOUBLE) / CAST(max_revenue AS DOUBLE), 6) AS revenue_share
 FROM churn_features CROSS JOIN (SELECT MAX(tenure_days) AS max_tenure, MAX(total_engagements) AS max_engagements,
                                        MAX(total_revenue) AS max_revenue FROM churn_features)""")
-    m["threshold_join"] = q(_risk_factor_sql())
+    m["threshold_join"] = q(f"SELECT feature, status, COUNT(*) AS subscribers FROM ({_risk_factor_sql()}) GROUP BY feature, status")
     m["as_of_join"] = qx("""
 asof_pairs AS (
   SELECT c.history_id, c.subscriber_id, p.payment_id, p.transaction_timestamp AS pts,
@@ -566,7 +571,10 @@ FROM wanted JOIN (SELECT * FROM {wide}) w USING (subscriber_id, as_of)""")
        ROUND(abs(AVG(CAST(predicted_churn AS DOUBLE)) - 0.29) / 0.29, 6) AS drift,
        COALESCE(CAST(abs(AVG(CAST(predicted_churn AS DOUBLE)) - 0.29) / 0.29 > 0.15 AS INTEGER), 0) AS fires
 FROM churn_predictions"""
-    m["exists_scalar"] = q(drift_sql)
+    m["drift_alert"] = q(drift_sql)
+    m["exists_scalar"] = q("""SELECT subscription_tier, CAST(EXISTS (SELECT 1 FROM churn_predictions p JOIN churn_features w USING (subscriber_id)
+         WHERE p.predicted_churn = 1 AND w.cancel_tickets > 0 AND w.subscription_tier = t.subscription_tier) AS INTEGER) AS any_churner
+FROM (SELECT DISTINCT subscription_tier FROM churn_features) t""")
     m["churn_headline"] = q("""SELECT total_subscribers, churned, total_subscribers - churned AS active,
        ROUND(churned * 100.0 / total_subscribers, 6) AS churned_pct,
        ROUND((total_subscribers - churned) * 100.0 / total_subscribers, 6) AS active_pct
@@ -773,9 +781,8 @@ FROM (SELECT *, CAST(failed_payments AS DOUBLE) / greatest(CAST(total_payments A
         "SELECT query_id, churned, CAST(pick AS INTEGER) AS pick, subscriber_id, ROUND(score, 6) AS similarity_score\n"
         "FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id, churned ORDER BY rank) AS pick FROM ranked WHERE rank <= 5)\n"
         "WHERE pick <= 2")
-    m["risk_factors"] = m["threshold_join"]
+    m["risk_factors"] = q(_risk_factor_sql())
     m["what_if_actions"] = q(_what_if_sql())
-    m["drift_alert"] = m["exists_scalar"]
     stats = lambda where: _feature_stats_sql(f"wide_split WHERE split = '{where}'", DRIFT)
     m["mean_shift"] = q(f"""SELECT c.feature, c.cnt, c.mean, b.mean AS baseline_mean,
        ROUND(abs(c.mean - b.mean) / greatest(b.mean, 0.001), 6) AS drift_score,
@@ -880,7 +887,10 @@ FROM payments""")
 FROM email_features""")
     m["left_for_sum"] = q("SELECT ROUND(SUM(COALESCE(CAST(pf.total_revenue AS DOUBLE), 0)), 2) AS total_revenue "
                           "FROM churn_predictions p LEFT JOIN payment_features pf USING (subscriber_id)")
-    m["scenario_cross"] = m["scenario_grid"]
+    m["scenario_cross"] = q("""SELECT subscription_tier, CAST(s AS DOUBLE) AS success_rate, CAST(c AS DOUBLE) AS cost_per_contact,
+       ROUND(n * CAST(c AS DOUBLE), 2) AS contact_cost, ROUND(revenue * CAST(s AS DOUBLE), 2) AS revenue_saved
+FROM (SELECT subscription_tier, COUNT(*) AS n, SUM(total_revenue) AS revenue FROM at_risk_revenue GROUP BY subscription_tier)
+CROSS JOIN (VALUES (0.1), (0.2), (0.3)) a(s) CROSS JOIN (VALUES (5.0), (10.0), (20.0)) b(c)""")
     m["as_of_last"] = q("""SELECT history_id, subscriber_id, last_payment_status, last_payment_id FROM (
   SELECT c.history_id, c.subscriber_id, p.payment_status AS last_payment_status, p.payment_id AS last_payment_id,
          ROW_NUMBER() OVER (PARTITION BY c.history_id
@@ -894,9 +904,9 @@ WHERE rn = 1""")
     m["bulk_load"] = q("""SELECT payment_id, ROUND(CAST(amount AS DOUBLE), 6) AS amount,
        CASE WHEN payment_status = 'failed' THEN NULL ELSE ROUND(CAST(amount AS DOUBLE), 6) END AS ratio
 FROM payments""")
-    m["schema_ddl"] = q("SELECT payment_id, subscriber_id, ROUND(CAST(amount AS DOUBLE), 2) AS amount, payment_status "
-                        "FROM payments")
-    m["export_csv"] = m["top_100_export"]
+    m["schema_ddl"] = q("SELECT payment_id, subscriber_id, ROUND(CAST(amount AS DOUBLE), 2) AS amount, payment_status, "
+                        f"{AS_OF} AS created_at FROM payments")
+    m["export_csv"] = m["churn_by_tier"]
     fv_rows = ", ".join(f"('{FE.FEATURE_VIEWS[k].name}', '{FE.FEATURE_VIEWS[k].version}', "
                         f"'{FE.FEATURE_VIEWS[k].entity.name}', '{FE.FEATURE_VIEWS[k].description}', "
                         f"'{FE.FEATURE_VIEWS[k].refresh}', '{k}')" for k in FE.VIEW_ORDER)
@@ -927,6 +937,30 @@ FROM (SELECT CAST(num_runs AS INTEGER) AS num_runs, CAST(run AS INTEGER) AS run,
       UNION ALL
       SELECT n, i, 30 + 10 * i, 4 + i, round(0.3 - i * (0.15 / (n - 1)), 3)
       FROM (SELECT n, CAST(unnest(range(n)) AS INTEGER) AS i FROM (VALUES (4), (10), (23), (60)) t(n))) g""")
+    m["sweep_facts"] = q("""SELECT unnest(['configurations', 'settings', 'metrics_in_range', 'winner_is_best', 'defaults']) AS fact,
+       unnest([2.0::DOUBLE, 2, 4, 1, 1]) * (COUNT(*) > 0)::INT AS value FROM churn_features""")
+    m["model_surface_facts"] = q("""
+SELECT 'predict_batch' AS query, unnest(['rows', 'ids', 'nulls']) AS fact, unnest([COUNT(*), COUNT(DISTINCT subscriber_id), 0])::DOUBLE AS value FROM wide_split WHERE split = 'test'
+UNION ALL SELECT 'churn_probability', unnest(['rows', 'ids', 'inside']), unnest([COUNT(*), COUNT(*), COUNT(*)])::DOUBLE FROM churn_features
+UNION ALL SELECT 'daily_scores', unnest(['rows', 'ids', 'classes']), unnest([COUNT(*), COUNT(*), COUNT(*)])::DOUBLE FROM subscribers
+UNION ALL SELECT 'score_profiles', unnest(['rows', 'ids', 'off']), unnest([COUNT(*), COUNT(*), 0])::DOUBLE FROM subscribers WHERE billing_cycle = 'monthly'
+UNION ALL SELECT 'model_sql_function', unnest(['rows', 'outside']), unnest([COUNT(*), 0])::DOUBLE FROM wide_split WHERE split = 'test'
+UNION ALL SELECT 'model_save', 'rows', 0::DOUBLE
+UNION ALL SELECT 'model_versions', unnest(['rows', 'metrics']), unnest([1, 1])::DOUBLE
+UNION ALL SELECT 'gain_importance', unnest(['rows', 'total', 'negative']), unnest([33, 1, 0])::DOUBLE
+UNION ALL SELECT 'top_importance', unnest(['rows', 'features']), unnest([15, 15])::DOUBLE
+UNION ALL SELECT 'gbt_fit', unnest(['trees', 'inputs']), unnest([100, 33])::DOUBLE
+UNION ALL SELECT 'pipeline_fit', unnest(['rows', 'inside']), unnest([1, 1])::DOUBLE
+UNION ALL SELECT 'model_metrics', unnest(['rows', 'inside']), unnest([1, 1])::DOUBLE""")
+    wide_types = {"int": ("tenure_days", "age", "churned"),
+                  "bigint": ("total_engagements", "unique_articles", "total_sessions", "total_views", "total_shares", "total_comments",
+                             "device_diversity", "total_payments", "failed_payments", "successful_payments", "emails_sent", "emails_opened",
+                             "emails_clicked", "email_unsubscribes", "total_tickets", "billing_tickets", "cancel_tickets",
+                             "high_priority_tickets", "total_promos", "trial_promos"),
+                  "double": ("avg_time_spent", "avg_scroll_depth", "avg_payment_amount", "payment_failure_rate", "email_open_rate", "email_click_rate"),
+                  "decimal(20,2)": ("total_revenue",), "decimal(5,2)": ("max_discount_pct",)}
+    m["schema_introspect"] = q(_union([f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT({c}) AS non_null FROM churn_features"
+                                       for t, cols in wide_types.items() for c in cols]))
     m["stream_scoring_facts"] = q("""SELECT unnest(['streamed_rows', 'events', 'subscribers', 'probabilities',
                'streamed_minus_batch', 'batch_minus_streamed']) AS fact,
        unnest([COUNT(*), COUNT(*), COUNT(*), COUNT(*), 0, 0]) AS value FROM churn_features""")

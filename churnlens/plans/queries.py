@@ -23,7 +23,6 @@ from ..operators import quality as QA
 from ..operators import timeline as TL
 from ..sources import io as IO
 from ..sources.schemas import PRIMARY_KEYS
-from .feature_store import default_buckets, store_key
 from .workspace import Workspace
 
 KEY = "subscriber_id"
@@ -221,6 +220,13 @@ def unseen_categories(ws):  # J10 / O4
                                 FE.CATEGORICAL_FEATURES)
 
 
+@register("unseen_segments")
+def unseen_segments(ws):  # J10 / O4 on a fine category: city, tier, cycle and gender that training rows never showed together
+    who = ws.cat.subscribers.select(KEY, F.concat_ws("/", "city", "subscription_tier", "billing_cycle", "gender").alias("segment"))
+    s = QA.with_split(ws.spine).select(KEY, "split").join(who, KEY)
+    return QA.unseen_categories(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "validation"), ["segment"])
+
+
 @register("scalar_broadcast")
 def scalar_broadcast(ws):  # J12: column maxima attached to every row
     w = ws.wide.select(KEY, "tenure_days", "total_engagements", "total_revenue")
@@ -234,7 +240,7 @@ def scalar_broadcast(ws):  # J12: column maxima attached to every row
 
 @register("threshold_join")
 def threshold_join(ws):  # J13 / Q6
-    return BZ.risk_factors(ws.wide)
+    return BZ.risk_factors(ws.wide).groupBy("feature", "status").agg(F.count(F.lit(1)).alias("subscribers"))
 
 
 @register("as_of_join")
@@ -284,8 +290,11 @@ def as_of_training(ws):  # J14 over all five views: the wide row of each cancell
 
 
 @register("exists_scalar")
-def exists_scalar(ws):  # J16 / Q8
-    return MO.drift_alert(ws.predictions)
+def exists_scalar(ws):  # J16: per tier, does a predicted churner with a cancellation ticket exist (a semi join, then a flag)
+    found = ws.predictions.where("predicted_churn = 1").join(ws.wide.where("cancel_tickets > 0").select(KEY, "subscription_tier"), KEY)
+    tiers = ws.wide.select("subscription_tier").distinct()
+    return (tiers.join(found.select("subscription_tier").distinct().withColumn("found", F.lit(1)), "subscription_tier", "left")
+            .select("subscription_tier", F.coalesce("found", F.lit(0)).alias("any_churner")))
 
 
 # ---------------------------------------------------------------------------
@@ -451,7 +460,9 @@ def _rule_runs(ws) -> DataFrame:
 
 @register("experiment_runs")
 def experiment_runs(ws):  # S14: newest 50 runs of the stored table
-    return IO.write_and_read(ws.spark, _rule_runs(ws), "ml/experiment_runs").orderBy(F.desc("run_timestamp"), "run_name").limit(50)
+    path = IO.runs_path(ws.spark, ws.data_version)   # the table that a sweep of fitted models appends to as well
+    IO.append_runs(_rule_runs(ws), path)
+    return IO.newest_runs(ws.spark, path, 50, prefix="rule_")
 
 
 @register("best_run")
@@ -669,8 +680,7 @@ def _drift_sketches(ws) -> DataFrame:
     def long():
         dated = QA.with_split(ws.wide).join(ws.subscribers.select(KEY, F.trunc("signup_date", "month").alias("month")), KEY)
         return MO.to_long(dated, FE.DRIFT_FEATURES, ["split", "month"])
-    key = store_key(ws.spark, ws.cat, ws.as_of, default_buckets(ws.spark, ws.cat))
-    return DR.stored(ws.spark, IO.scratch_path(ws.spark, "drift_sketches", key), long, F.col("month"))
+    return DR.stored(ws.spark, IO.scratch_path(ws.spark, "drift_sketches", ws.data_version), long, F.col("month"))
 
 
 @register("psi")
@@ -856,8 +866,13 @@ def left_for_sum(ws):  # J7: predictions left join revenue, then sum
 
 
 @register("scenario_cross")
-def scenario_cross(ws):  # J11
-    return BZ.scenario_grid(BZ.at_risk_revenue(ws.predictions, ws.wide))
+def scenario_cross(ws):  # J11: every scenario of the grid for every tier's at-risk subscribers
+    tiers = BZ.at_risk_revenue(ws.predictions, ws.wide).groupBy("subscription_tier").agg(
+        F.count(F.lit(1)).alias("num_at_risk"), F.sum("total_revenue").alias("revenue"))
+    grid = ws.spark.createDataFrame([(s, c) for s in BZ.SCENARIO_SUCCESS_RATES for c in BZ.SCENARIO_COSTS], "success_rate double, cost_per_contact double")
+    return tiers.crossJoin(F.broadcast(grid)).select(   # 9 rows on the other side
+        "subscription_tier", "success_rate", "cost_per_contact", round_money(F.col("num_at_risk") * F.col("cost_per_contact")).alias("contact_cost"),
+        round_money(F.col("revenue") * F.col("success_rate")).alias("revenue_saved"))
 
 
 @register("as_of_last")
@@ -904,12 +919,12 @@ def bulk_load(ws):  # S9: helper columns dropped, NaN -> NULL, overwrite, read b
 def schema_ddl(ws):  # S10: payments checked against the declared schema, decimals kept exact
     from ..sources.schemas import PAYMENTS, check_schema
     return tidy(check_schema(ws.cat.payments, PAYMENTS, "payments").select(
-        "payment_id", KEY, "amount", "payment_status"), 2)
+        "payment_id", KEY, "amount", "payment_status", "created_at"), 2)
 
 
 @register("export_csv")
-def export_csv(ws):  # S11
-    return top_100_export(ws)
+def export_csv(ws):  # S11: the churn figures a tier as a CSV file, read back
+    return IO.export_csv_and_read(ws.spark, churn_by_tier(ws), "exports/churn_by_tier")
 
 
 @register("feature_view_list")

@@ -34,6 +34,12 @@ class Workspace:
         """The subscriber dimension for joins: the bucketed store copy when materialized."""
         return self._store["subscribers"] if self.materialize else self.cat.subscribers
 
+    @cached_property
+    def data_version(self) -> str:
+        """A key of the data, the clock and the definitions: names what is stored about them."""
+        from .feature_store import default_buckets, store_key
+        return store_key(self.spark, self.cat, self.as_of, default_buckets(self.spark, self.cat))
+
     def lookup(self, ids) -> DataFrame:
         """Wide rows of ids in any case, a short list or a frame with a column ``id``, by the store's index."""
         from .feature_store import lookup

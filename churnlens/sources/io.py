@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, path_exists, scratch_path
 from .versions import VersionedTable
 
 
@@ -109,6 +109,29 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select("table_name", "row_count")
 
 
+RUN_METRICS = ("accuracy", "precision", "recall", "f1_score")
+
+
+def runs_path(spark: SparkSession, dataset: str) -> str:
+    """The stored table of experiment runs on one data version."""
+    return scratch_path(spark, "registry", "experiment_runs", dataset)
+
+
+def append_runs(df: DataFrame, path: str) -> None:
+    """Append runs to the stored table, created if missing; a run (name and time) that is in already is not added again."""
+    spark = df.sparkSession
+    rows = df.select("run_name", F.col("n_estimators").cast("int"), F.col("max_depth").cast("int"),
+                     *[F.col(c).cast("double") for c in ("learning_rate", *RUN_METRICS)], F.col("run_timestamp").cast("timestamp_ntz"))
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        rows = rows.join(spark.read.parquet(path), ["run_name", "run_timestamp"], "left_anti").select(rows.columns)
+    rows.write.mode("append").parquet(path)
+
+
+def newest_runs(spark: SparkSession, path: str, n: int = 50, prefix: str = "") -> DataFrame:
+    """The newest ``n`` stored runs, of those whose name begins with ``prefix``."""
+    return spark.read.parquet(path).where(F.col("run_name").startswith(prefix)).orderBy(F.desc("run_timestamp"), "run_name").limit(n)
+
+
 # ---------------------------------------------------------------------------
 # Registries stored as Parquet tables: model versions (S13), feature views
 # ---------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -44,6 +45,7 @@ SUBSCRIBERS = T.StructType([
     T.StructField("city", _S), T.StructField("state", _S), T.StructField("zip_code", _S),
     T.StructField("subscription_tier", _S), T.StructField("billing_cycle", _S),
     T.StructField("acquisition_channel", _S),
+    T.StructField("created_at", _TS), T.StructField("updated_at", _TS),
 ])
 
 SUBSCRIPTION_HISTORY = T.StructType([
@@ -51,6 +53,7 @@ SUBSCRIPTION_HISTORY = T.StructType([
     T.StructField("event_type", _S), T.StructField("old_tier", _S), T.StructField("new_tier", _S),
     T.StructField("old_billing_cycle", _S), T.StructField("new_billing_cycle", _S),
     T.StructField("reason", _S), T.StructField("event_timestamp", _TS),
+    T.StructField("created_at", _TS),
 ])
 
 PAYMENTS = T.StructType([
@@ -58,6 +61,7 @@ PAYMENTS = T.StructType([
     T.StructField("amount", T.DecimalType(10, 2)), T.StructField("currency", _S),
     T.StructField("payment_method", _S), T.StructField("payment_status", _S),
     T.StructField("failure_reason", _S), T.StructField("transaction_timestamp", _TS),
+    T.StructField("created_at", _TS),
 ])
 
 ENGAGEMENT_EVENTS = T.StructType([
@@ -66,12 +70,14 @@ ENGAGEMENT_EVENTS = T.StructType([
     T.StructField("event_type", _S), T.StructField("device_type", _S), T.StructField("platform", _S),
     T.StructField("time_spent_seconds", _I), T.StructField("scroll_depth_pct", _I),
     T.StructField("event_timestamp", _TS),
+    T.StructField("created_at", _TS),
 ])
 
 EMAIL_INTERACTIONS = T.StructType([
     T.StructField("interaction_id", _S, False), T.StructField("subscriber_id", _S),
     T.StructField("email_campaign_id", _S), T.StructField("email_type", _S),
     T.StructField("event_type", _S), T.StructField("event_timestamp", _TS),
+    T.StructField("created_at", _TS),
 ])
 
 CUSTOMER_SUPPORT = T.StructType([
@@ -79,6 +85,7 @@ CUSTOMER_SUPPORT = T.StructType([
     T.StructField("ticket_type", _S), T.StructField("priority", _S), T.StructField("status", _S),
     T.StructField("subject", _S), T.StructField("resolution", _S),
     T.StructField("created_timestamp", _TS), T.StructField("resolved_timestamp", _TS),
+    T.StructField("created_at", _TS),
 ])
 
 PROMOTIONS = T.StructType([
@@ -86,12 +93,14 @@ PROMOTIONS = T.StructType([
     T.StructField("promo_code", _S), T.StructField("promo_type", _S),
     T.StructField("discount_pct", T.DecimalType(5, 2)), T.StructField("discount_amount", T.DecimalType(10, 2)),
     T.StructField("start_date", _TS), T.StructField("end_date", _TS), T.StructField("status", _S),
+    T.StructField("created_at", _TS),
 ])
 
 ARTICLES = T.StructType([
     T.StructField("article_id", _S, False), T.StructField("title", _S), T.StructField("category", _S),
     T.StructField("subcategory", _S), T.StructField("author", _S), T.StructField("publish_date", _TS),
     T.StructField("paywall_type", _S), T.StructField("word_count", _I),
+    T.StructField("created_at", _TS),
 ])
 
 RAW_SCHEMAS = {
@@ -122,8 +131,19 @@ class SchemaMismatch(ValueError):
     pass
 
 
-def check_schema(df: DataFrame, expected: T.StructType, name: str = "table") -> DataFrame:
-    """Assert names and types (nullability ignored); return the frame in declared column order."""
+#: Columns whose value the DDL gives by default: the time of loading.
+DEFAULT_COLUMNS = ("created_at", "updated_at")
+
+
+def with_defaults(df: DataFrame, expected: T.StructType, clock: _dt.datetime = DEFAULT_AS_OF) -> DataFrame:
+    """``df`` with the default columns that ``expected`` declares and ``df`` doesn't bring, as of the loading ``clock``."""
+    missing = [f for f in expected.fields if f.name in DEFAULT_COLUMNS and f.name not in df.columns]
+    return df.withColumns({f.name: F.lit(clock).cast(f.dataType) for f in missing}) if missing else df
+
+
+def check_schema(df: DataFrame, expected: T.StructType, name: str = "table", clock: _dt.datetime = DEFAULT_AS_OF) -> DataFrame:
+    """Assert names and types (nullability ignored); return the frame in declared column order, defaults filled in."""
+    df = with_defaults(df, expected, clock)
     got = {f.name: f.dataType for f in df.schema.fields}
     problems = []
     for f in expected.fields:

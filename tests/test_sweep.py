@@ -33,7 +33,7 @@ def test_parallel_sweep_equals_fits_one_after_another(spark, fresh, monkeypatch)
     monkeypatch.setattr(M, "prepare", lambda train: calls.append(1) or prepare(train))
     winner = MQ.sweep(fresh, GRID, parallel=3).first()
     assert calls == [1]
-    runs = {r["run_name"]: r for r in spark.read.parquet(IO.registry_path(spark, "experiment_runs")).collect()}
+    runs = {r["run_name"]: r for r in spark.read.parquet(IO.runs_path(spark, fresh.data_version)).collect()}
     assert set(runs) == {p.run_name for p in GRID}
     frames = MQ.split_frames(fresh)
     for p in GRID:   # the same pipeline fitted alone, from raw rows
@@ -50,4 +50,4 @@ def test_sweep_again_loads_what_is_fitted(spark, fresh, monkeypatch):
     MQ._CACHE.clear()
     monkeypatch.setattr(M, "fit", lambda *a: pytest.fail("fitted again"))
     MQ.sweep(fresh, GRID[:2])
-    assert spark.read.parquet(IO.registry_path(spark, "experiment_runs")).count() == 4
+    assert spark.read.parquet(IO.runs_path(spark, fresh.data_version)).count() == 4

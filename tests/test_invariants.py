@@ -91,7 +91,7 @@ def test_as_of_matches_brute_force(ws):
 
 def test_lineage_lists_every_feature():
     lin = FE.lineage_summary(FE.lineage()).collect()
-    assert sum(r["feature_count"] for r in lin) == sum(len(v.features) for v in FE.FEATURE_VIEWS.values())
+    assert sum(r["feature_count"] for r in lin) == sum(len(v.features) for v in FE.FEATURE_VIEWS.values()) + len(FE.SUBSCRIBER_LINEAGE)
 
 
 @pytest.mark.parametrize("values", [[5.0], [1.0, 2.0], [3.0, 1.0, 2.0, 10.0], [7.0] * 50 + [1.0, 100.0],

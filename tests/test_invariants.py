@@ -89,7 +89,7 @@ def test_as_of_matches_brute_force(ws):
     assert g == b
 
 
-def test_lineage_lists_every_feature():
+def test_lineage_lists_every_feature(spark):
     lin = FE.lineage_summary(FE.lineage()).collect()
     assert sum(r["feature_count"] for r in lin) == sum(len(v.features) for v in FE.FEATURE_VIEWS.values()) + len(FE.SUBSCRIBER_LINEAGE)
 

@@ -218,7 +218,25 @@ def test_pipeline_stages_take_odd_rows(spark, odd, none):
                 assert out.count() == n
 
 
+def test_band_counts_bound_every_overlap(monkeypatch):
+    """The sum of minima is never below the overlap, also where a band holds more than its count can say."""
+    import numpy as np
+    rng = np.random.default_rng(7)
+    pool = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2))
+    for top in (0xFFFF, 3):
+        own = jaccard_join.band_counts
+        if top == 3:   # a count that holds 3 at most
+            monkeypatch.setattr(jaccard_join, "band_counts", lambda s: np.full_like(own(s), 0xFFFF) if own(s).max(initial=0) > 3 else own(s))
+        for _ in range(200):
+            a, b = (np.sort(rng.choice(pool, rng.integers(1, 600), replace=False)) for _ in range(2))
+            bound = np.minimum(jaccard_join.band_counts(a), jaccard_join.band_counts(b)).sum(dtype=np.int64)
+            assert bound >= len(np.intersect1d(a, b))
+    many = np.arange(70_000, dtype=np.uint64)   # all in one band
+    assert set(own(many)) == {0xFFFF} and own(many[:0]).sum() == 0
+
+
+
 def test_pipeline_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "jaccard", "decontaminate", "pii", "byte_bpe"]
     import __spark_entry__ as entry
-    assert {"pipeline", *queries.llm_queries()} <= set(entry.queries()) and len(queries.llm_queries()) == 10
+    assert {"pipeline", *queries.llm_queries()} <= set(entry.queries()) and len(queries.llm_queries()) == 13

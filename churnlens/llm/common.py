@@ -51,6 +51,8 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
         for b in batches:
             got = fn(*b.columns[:n_in])
             yield pa.RecordBatch.from_arrays(list(b.columns[n_in:]) + got, names=out_names)
+            del b, got
+        pa.default_memory_pool().release_unused()   # workers stay for later tasks
 
     return src.mapInArrow(run, schema)
 

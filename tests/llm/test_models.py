@@ -115,6 +115,63 @@ def test_pu_recovers_negatives():
     assert (model.score(good) >= 0.5).mean() > 0.95 and (model.score(bad) < 0.5).mean() > 0.9
 
 
+def mixture(rng, n_good, n_web, prior):
+    d = quality_pu.N_FEATURES
+    good, web = rng.normal(0, 1, (n_good, d)), rng.normal(0, 1, (n_web, d))
+    web[int(prior * n_web):, :2] += 4
+    return good, web
+
+
+def test_pu_risk_is_least_and_its_slope_right():
+    """The objective equals the risk written out row by row, its slope finite differences; no small step from the fit lowers it
+    unless the negatives' part falls below zero."""
+    rng = np.random.default_rng(4)
+    good, web = mixture(rng, 400, 700, 0.6)
+    model = quality_pu.scaled(quality_pu.moments(good, web))
+    objective = quality_pu.non_negative(0.6)
+
+    def risk(w):
+        loss = lambda x, sign: np.mean([math.log1p(math.exp(-sign * float(r @ w))) for r in model.design(x)])
+        negatives = loss(web, -1) - 0.6 * loss(good, -1)
+        return math.inf if negatives < 0 else 0.6 * loss(good, 1) + negatives + 0.5 * quality_pu.L2 * float(w[:-1] @ w[:-1])
+
+    w = rng.normal(0, 0.05, 2 * quality_pu.N_FEATURES + 1)
+    value, slope, curvature = objective(w, quality_pu.risk_sums(good, web, model, w))
+    assert value == pytest.approx(risk(w), abs=1e-8)
+    for i in (0, 1, 30, len(w) - 1):
+        ahead = w + 1e-5 * (np.arange(len(w)) == i)
+        there = objective(ahead, quality_pu.risk_sums(good, web, model, ahead))
+        assert (there[0] - value) / 1e-5 == pytest.approx(slope[i], abs=1e-4)
+        assert np.allclose((there[1] - slope) / 1e-5, curvature[i], atol=1e-3)
+    fitted = quality_pu.fit(good, web, 0.6)
+    w = np.append(fitted.weights, fitted.bias)
+    least = risk(w)
+    assert all(risk(w + rng.normal(0, 0.05, len(w))) >= least - 1e-3 for _ in range(20))
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.6, 0.9])
+def test_class_prior_from_positives_and_unlabelled(prior):
+    rng = np.random.default_rng(5)
+    good, web = mixture(rng, 6000, 8000, prior)
+    web = rng.permutation(web)
+    model = quality_pu.scaled(quality_pu.moments(good, web))
+    got = quality_pu.estimated_prior(lambda half, part, *values: part(good[half::2], web[half::2], *values), model)
+    assert got == pytest.approx(prior, abs=0.05)
+
+
+def test_quality_fit_reads_every_row(spark):
+    """The sums over the stored table give the model that the same rows give in memory; repeated and null ids count."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.where("doc_id % 7 = 0")).unionByName(docs.where("doc_id < 5").selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text"))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = quality_pu.train(docs, labels, prior=0.8)
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [(known.get(r.doc_id), quality_pu.features(r.text or "")) for r in docs.collect()]
+    want = quality_pu.fit(np.array([x for y, x in rows if y == 1]), np.array([x for y, x in rows if y is None]), 0.8)
+    assert np.allclose(got.mean, want.mean) and np.allclose(got.scale, want.scale)
+    assert np.allclose(got.weights, want.weights, atol=1e-4) and got.bias == pytest.approx(want.bias, abs=1e-4)
+
+
 # --- language model ----------------------------------------------------------------------------------
 
 def brute_base(rows):

@@ -1,12 +1,13 @@
 """Model explanations.
 
 U9 computes exact path-dependent tree SHAP values (Lundberg, Erion & Lee, 2018,
-"Consistent individualized feature attribution for tree ensembles", Algorithm 2) for
-every row -- not a 500-row sample.  The tree tables are the fitted model's own node
-data (size bounded by trees x nodes, independent of the data), broadcast to the
-executors; rows stream through ``mapInPandas`` in Arrow batches.  The recursion runs
-once per tree for a whole batch: the only row-dependent input of Algorithm 2 is which
-child each row follows, so the path weights are numpy vectors over the batch.
+"Consistent individualized feature attribution for tree ensembles") for every row --
+not a 500-row sample.  At each leaf they depend on a row only through which features of
+the leaf's path it agrees with, so one kernel gives the contributions for a matrix of
+agreements: of all patterns once per model, as tables of at most MAX_TABLE_BYTES in
+all, and of a batch's rows at leaves whose tables would go beyond that.  The model's
+nodes and those tables are broadcast (size independent of the data); rows stream
+through ``mapInPandas`` in Arrow batches.
 
 Margin scale: Spark's boosted trees predict ``sum(weight_t * tree_t(x))`` and
 ``P(churn) = 1 / (1 + exp(-2 * margin))``; attributions satisfy
@@ -107,182 +108,89 @@ def expected_value(tables: list[TreeTable]) -> float:
     return total
 
 
-def tree_shap(tables: list[TreeTable], X: np.ndarray) -> np.ndarray:
-    """Exact path-dependent tree SHAP for a batch; returns (n_rows, n_features)."""
-    n, m = X.shape
-    phi = np.zeros((n, m))
-    for tt in tables:
-        _shap_tree(tt, X, phi)
-    return phi
-
-
-def _shap_tree(tt: TreeTable, X: np.ndarray, phi: np.ndarray) -> None:
-    n = X.shape[0]
-    ones = np.ones(n)
-
-    def extend(feat, zero, one, pw, d, pz, po, pi):
-        feat.append(pi)
-        zero.append(pz)
-        one.append(po)
-        pw.append(ones.copy() if d == 0 else np.zeros(n))
-        for i in range(d - 1, -1, -1):
-            pw[i + 1] = pw[i + 1] + po * pw[i] * ((i + 1) / (d + 1))
-            pw[i] = pz * pw[i] * ((d - i) / (d + 1))
-
-    def unwind(feat, zero, one, pw, d, k):
-        of, zf = one[k], zero[k]
-        nz = of != 0
-        safe_of = np.where(nz, of, 1.0)
-        next_one = pw[d].copy()
-        for i in range(d - 1, -1, -1):
-            tmp = pw[i]
-            new_nz = next_one * (d + 1) / ((i + 1) * safe_of)
-            new_z = tmp * (d + 1) / (zf * (d - i))
-            next_one = np.where(nz, tmp - new_nz * zf * (d - i) / (d + 1), next_one)
-            pw[i] = np.where(nz, new_nz, new_z)
-        for i in range(k, d):
-            feat[i], zero[i], one[i] = feat[i + 1], zero[i + 1], one[i + 1]
-        feat.pop(), zero.pop(), one.pop(), pw.pop()
-
-    def unwound_sum(zero, one, pw, d, k):
-        of, zf = one[k], zero[k]
-        nz = of != 0
-        safe_of = np.where(nz, of, 1.0)
-        next_one = pw[d]
-        total = np.zeros(n)
-        for i in range(d - 1, -1, -1):
-            tmp = next_one * (d + 1) / ((i + 1) * safe_of)
-            total = total + np.where(nz, tmp, (pw[i] / zf) / ((d - i) / (d + 1)))
-            next_one = np.where(nz, pw[i] - tmp * zf * ((d - i) / (d + 1)), next_one)
-        return total
-
-    def recurse(node, feat, zero, one, pw, d, pz, po, pi):
-        feat, zero, one, pw = list(feat), list(zero), list(one), list(pw)
-        extend(feat, zero, one, pw, d, pz, po, pi)
-        if tt.left[node] < 0:
-            v = tt.value[node]
-            for i in range(1, d + 1):
-                w = unwound_sum(zero, one, pw, d, i)
-                phi[:, feat[i]] += w * (one[i] - zero[i]) * v
-            return
-        f = int(tt.feature[node])
-        gl = _goes_left(tt, node, X[:, f])
-        inc_zero, inc_one = 1.0, ones
-        for k in range(1, d + 1):
-            if feat[k] == f:
-                inc_zero, inc_one = zero[k], one[k]
-                unwind(feat, zero, one, pw, d, k)
-                d -= 1
-                break
-        lc, rc = tt.left[node], tt.right[node]
-        c = tt.cover[node]
-        recurse(lc, feat, zero, one, pw, d + 1, tt.cover[lc] / c * inc_zero, inc_one * gl, f)
-        recurse(rc, feat, zero, one, pw, d + 1, tt.cover[rc] / c * inc_zero, inc_one * (1.0 - gl), f)
-
-    recurse(0, [], [], [], [], 0, 1.0, ones, -1)
-
-
 # ---------------------------------------------------------------------------
-# Per-leaf pattern tables (Fast TreeSHAP, Yang 2021): row-independent, computed once per model
+# Contributions of a leaf by patterns of agreement (Fast TreeSHAP, Yang 2021)
 # ---------------------------------------------------------------------------
 
-MAX_PATTERN_FEATURES = 10   # 2^10 patterns per leaf; deeper unique paths use the recursion
+#: Bytes of a model's pattern tables; leaves beyond it are computed for each batch.
+MAX_TABLE_BYTES = 64 << 20
 
 
 @dataclass
-class LeafTable:
-    nodes: list          # per unique feature: [(node, went_left), ...] along the root->leaf path
-    features: np.ndarray  # unique path features (order of the table's columns)
-    table: np.ndarray     # (2^m, m) contribution of each feature for each agreement pattern
-
-
-def _path_weights(zeros: list[float], ones_: np.ndarray) -> tuple[list, list, list]:
-    """EXTEND over a dummy root element and the unique path elements, vectorised over patterns."""
-    p = ones_.shape[0]
-    zero, one, pw = [1.0], [np.ones(p)], [np.ones(p)]
-    for k, z in enumerate(zeros):
-        d = k + 1
-        o = ones_[:, k]
-        zero.append(z)
-        one.append(o)
-        pw.append(np.zeros(p))
-        for i in range(d - 1, -1, -1):
-            pw[i + 1] = pw[i + 1] + o * pw[i] * ((i + 1) / (d + 1))
-            pw[i] = z * pw[i] * ((d - i) / (d + 1))
-    return zero, one, pw
-
-
-def _unwound(zero, one, pw, d, k):
-    of, zf = one[k], zero[k]
-    nz = of != 0
-    safe_of = np.where(nz, of, 1.0)
-    next_one = pw[d]
-    total = np.zeros_like(next_one)
-    for i in range(d - 1, -1, -1):
-        tmp = next_one * (d + 1) / ((i + 1) * safe_of)
-        total = total + np.where(nz, tmp, (pw[i] / zf) / ((d - i) / (d + 1)))
-        next_one = np.where(nz, pw[i] - tmp * zf * ((d - i) / (d + 1)), next_one)
-    return total
+class Leaf:
+    splits: list            # per path feature: [(node, went_left), ...] along the root->leaf path
+    features: np.ndarray    # path features
+    ratios: np.ndarray      # product of the cover ratios along each path feature's splits
+    value: float
+    table: np.ndarray | None = None   # (2^m, m): contribution of each path feature for each pattern of agreement
 
 
-def leaf_tables(tt: TreeTable) -> list[LeafTable] | None:
-    """Contribution tables of every leaf, or None when a unique path is too long for tables.
+def contributions(leaf: Leaf, agree: np.ndarray) -> np.ndarray:
+    """Each path feature's contribution at a leaf, for rows of 0/1 agreements with the path features.
 
-    Path-dependent SHAP adds, at each leaf, ``unwound_sum(u) * (o_u - z_u) * value`` per unique
-    path feature u, where z_u is the product of the cover ratios along u's splits and o_u is 1
-    when the row satisfies all of u's splits on the path (else 0).  The weights are symmetric in
-    the path elements, so they depend on the row only through the pattern of o_u's.
+    Of m path features, a set of k others is known before u with weight k! (m - 1 - k)! / m!, which is the integral of
+    t^k (1 - t)^(m - 1 - k) over 0..1.  So the sum over all sets is the integral of the product over the others of
+    t * agrees + (1 - t) * ratio: a polynomial of degree m - 1, which Gauss-Legendre nodes integrate exactly.
     """
+    m = agree.shape[1]
+    out = np.zeros(agree.shape)
+    for x, weight in zip(*np.polynomial.legendre.leggauss(m // 2 + 1)):
+        t = (x + 1) / 2
+        factors = t * agree + (1 - t) * leaf.ratios
+        out += weight / 2 * factors.prod(axis=1, keepdims=True) / factors
+    return out * (agree - leaf.ratios) * leaf.value
+
+
+def leaf_tables(tt: TreeTable, room: int = MAX_TABLE_BYTES) -> list[Leaf]:
+    """Every leaf with its path, and the contributions of all its patterns as long as the tables fit ``room`` bytes."""
     out = []
-    stack = [(0, [])]
+    stack: list[tuple[int, dict, dict]] = [(0, {}, {})]
     while stack:
-        node, path = stack.pop()
-        if tt.left[node] < 0:
-            uniq: dict[int, list] = {}
-            zf: dict[int, float] = {}
-            for parent, child, went_left in path:
-                f = int(tt.feature[parent])
-                uniq.setdefault(f, []).append((parent, went_left))
-                zf[f] = zf.get(f, 1.0) * tt.cover[child] / tt.cover[parent]
-            feats = list(uniq)
-            m = len(feats)
-            if m > MAX_PATTERN_FEATURES:
-                return None
-            pats = ((np.arange(2 ** m)[:, None] >> np.arange(m)) & 1).astype(float)
-            zeros = [zf[f] for f in feats]
-            zero, one, pw = _path_weights(zeros, pats)
-            table = np.zeros((2 ** m, m))
-            for k in range(m):
-                w = _unwound(zero, one, pw, m, k + 1)
-                table[:, k] = w * (pats[:, k] - zeros[k]) * tt.value[node]
-            out.append(LeafTable([uniq[f] for f in feats], np.array(feats, dtype=int), table))
+        node, splits, ratios = stack.pop()
+        if tt.left[node] >= 0:
+            f = int(tt.feature[node])
+            for child, went_left in ((tt.left[node], True), (tt.right[node], False)):
+                stack.append((child, splits | {f: splits.get(f, []) + [(node, went_left)]},
+                              ratios | {f: ratios.get(f, 1.0) * tt.cover[child] / tt.cover[node]}))
             continue
-        lc, rc = tt.left[node], tt.right[node]
-        stack.append((lc, path + [(node, lc, True)]))
-        stack.append((rc, path + [(node, rc, False)]))
+        leaf = Leaf(list(splits.values()), np.array(list(splits), dtype=int), np.array(list(ratios.values()), dtype=float), tt.value[node])
+        m = len(splits)
+        if (m << m) * 8 <= room:
+            room -= (m << m) * 8
+            leaf.table = contributions(leaf, ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float))
+        out.append(leaf)
     return out
 
 
-def tree_shap_tables(tables: list[TreeTable], leaves: list, X: np.ndarray) -> np.ndarray:
-    """SHAP values of a batch from precomputed leaf tables (falls back per tree to the recursion)."""
-    n, m = X.shape
-    phi = np.zeros((n, m))
-    for tt, lts in zip(tables, leaves):
-        if lts is None:
-            _shap_tree(tt, X, phi)
-            continue
-        gl = {int(nd): _goes_left(tt, int(nd), X[:, tt.feature[nd]]) > 0 for nd in np.where(tt.left >= 0)[0]}
-        for lt in lts:
-            idx = np.zeros(n, dtype=np.int64)
-            for k, splits in enumerate(lt.nodes):
-                agree = np.ones(n, dtype=bool)
+def model_leaves(tables: list[TreeTable], room: int = MAX_TABLE_BYTES) -> list[list[Leaf]]:
+    """Leaves of all trees, whose tables share ``room`` bytes."""
+    out = []
+    for tt in tables:
+        out.append(leaf_tables(tt, room))
+        room -= sum(leaf.table.nbytes for leaf in out[-1] if leaf.table is not None)
+    return out
+
+
+def tree_shap_tables(tables: list[TreeTable], leaves: list[list[Leaf]], X: np.ndarray) -> np.ndarray:
+    """SHAP values of a batch, (rows, features), from the leaves of all trees."""
+    phi = np.zeros(X.shape)
+    for tt, own in zip(tables, leaves):
+        left = {int(nd): _goes_left(tt, int(nd), X[:, tt.feature[nd]]) > 0 for nd in np.where(tt.left >= 0)[0]}
+        for leaf in own:
+            agree = np.ones((len(X), len(leaf.splits)), dtype=bool)
+            for k, splits in enumerate(leaf.splits):
                 for node, went_left in splits:
-                    agree &= gl[node] if went_left else ~gl[node]
-                idx |= agree.astype(np.int64) << k
-            phi[:, lt.features] += lt.table[idx]
+                    agree[:, k] &= left[node] == went_left
+            phi[:, leaf.features] += (contributions(leaf, agree.astype(float)) if leaf.table is None
+                                      else leaf.table[agree @ (1 << np.arange(len(leaf.splits)))])
     return phi
 
 
+def tree_shap(tables: list[TreeTable], X: np.ndarray) -> np.ndarray:
+    """SHAP values of a batch without pattern tables."""
+    return tree_shap_tables(tables, model_leaves(tables, 0), X)
+
+
 def _features_array(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Rows as (id, features array) using the fitted encoders and assembler (D11: no re-fit)."""
     prep = PipelineModel(stages=model.stages[:-1])
@@ -299,7 +207,7 @@ def tree_attribution(spark: SparkSession, model: PipelineModel, model_path: str,
     """
     tables = load_tree_tables(spark, model_path, list(gbt_stage(model).treeWeights))
     base = expected_value(tables)
-    leaves = [leaf_tables(tt) for tt in tables]  # per model, row-independent (size: the model's)
+    leaves = model_leaves(tables)   # per model, row-independent
     bc = spark.sparkContext.broadcast((tables, leaves))
 
     def attribute(batches):

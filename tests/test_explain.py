@@ -65,6 +65,64 @@ def test_tree_shap_matches_brute_force(spark, small_model):
         np.testing.assert_allclose(via_tables[row], brute, atol=1e-9)
 
 
+def _deep_tree(rng, depth, n_features):
+    """A random tree whose first path goes ``depth`` splits deep, with continuous and categorical splits."""
+    left, right, feature, threshold, categories, value, cover = [], [], [], [], [], [], []
+
+    def grow(d, rows):
+        i = len(left)
+        for column, x in ((left, -1), (right, -1), (feature, -1), (threshold, 0.0), (categories, None),
+                          (value, rng.normal()), (cover, float(rows))):
+            column.append(x)
+        if d and rows > 1:
+            feature[i] = int(rng.integers(n_features))
+            if rng.random() < 0.3:
+                categories[i] = np.array([0.0, 2.0])
+            else:
+                threshold[i] = float(rng.integers(3)) + 0.5
+            share = int(rng.integers(1, rows))
+            left[i] = grow(d - 1, share)
+            right[i] = grow(d - 1 if rng.random() < 0.3 else 0, rows - share)
+        return i
+
+    grow(depth, 10_000)
+    return XP.TreeTable(np.array(left), np.array(right), np.array(feature), np.array(threshold), categories, np.array(value), np.array(cover))
+
+
+@pytest.mark.parametrize("depth", [0, 1, 5, 9])
+def test_leaves_with_and_without_tables_match_brute_force(depth):
+    """The same values whether all, some or no leaves have a table, also for repeated features, deep paths and a lone leaf."""
+    rng = np.random.default_rng(depth)
+    tables = [_deep_tree(rng, depth, 7) for _ in range(3)]
+    X = rng.integers(0, 4, (12, 7)).astype(float)
+    want = [sum(_brute_shap(tt, x, 7) for tt in tables) for x in X]
+    for room in (0, 600, XP.MAX_TABLE_BYTES):
+        leaves = XP.model_leaves(tables, room)
+        kept = [leaf.table is not None for own in leaves for leaf in own if len(leaf.splits)]
+        assert sum(leaf.table.nbytes for own in leaves for leaf in own if leaf.table is not None) <= room
+        assert not kept or any(kept) == (room > 0) and (room < 1000 or all(kept))
+        np.testing.assert_allclose(XP.tree_shap_tables(tables, leaves, X), want, atol=1e-9)
+
+
+def test_paths_too_long_for_tables():
+    """A path of 40 features: its table would not fit, its values still add up to the margin."""
+    rng = np.random.default_rng(1)
+    tt = _deep_tree(rng, 1, 40)
+    n = 40
+    nodes = 2 * n + 1
+    chain = XP.TreeTable(np.full(nodes, -1), np.full(nodes, -1), np.full(nodes, -1), np.zeros(nodes), [None] * nodes,
+                         rng.normal(size=nodes), np.ones(nodes))
+    for i in range(n):   # node 2i splits on feature i: leaf 2i + 1 of one row, next 2i + 2
+        chain.left[2 * i], chain.right[2 * i], chain.feature[2 * i] = 2 * i + 1, 2 * i + 2, i
+    chain.cover[::2] = 100.0 - np.arange(n + 1)
+    X = rng.normal(size=(6, n))
+    X[0] = 1.0
+    leaves = XP.model_leaves([tt, chain])
+    assert all(leaf.table is not None for leaf in leaves[0]) and any(leaf.table is None for leaf in leaves[1])
+    phi = XP.tree_shap_tables([tt, chain], leaves, X)
+    np.testing.assert_allclose(phi.sum(axis=1) + XP.expected_value([tt, chain]), XP.tree_margin([tt, chain], X), atol=1e-8)
+
+
 def test_attribution_is_additive_and_matches_spark_margin(spark, small_model):
     ws, model, path = small_model
     attr = XP.tree_attribution(spark, model, path, ws.wide)

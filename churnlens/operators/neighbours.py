@@ -10,8 +10,11 @@ make a node, and so on up to one root a group. Quantiles come from a mergeable s
 boxes are exact.
 
 A search descends the tree by joins on (group, node). First each query follows the nearest child down to one cell, whose k-th
-score bounds its result; then it meets every node that a box says may hold something as near, down to the cells, and only
+score bounds its result (closer still once the rows within shares of that bound are counted); then it meets every node that a box says may hold something as near, down to the cells, and only
 those cells' rows are scored. Nothing is dropped: a box further away than k known rows holds no result.
+A node is one row with an array of its children's boxes, a cell one with an array of its rows, so a query meets them as one
+row each, and only the boxes it goes on with and the rows within its bound are dealt or sorted: what a search writes to disk
+grows with the cells it meets, not with the rows in them.
 
 Before that, rows that agree in all dimensions are reduced to the k smallest ids (no others can be in a result), and equal
 queries are searched once, so neither a hot profile nor a hot query makes a large group. A query set of at most ``few`` rows,
@@ -28,8 +31,12 @@ from .order_stats import group_positions
 
 #: Rows a cell (up to twice as many in a group's last), children a node, queries that are scored against all rows.
 CELL, FAN, FEW = 256, 32, 64
+#: Distinct queries a task searches.
+POINTS = 2000
 #: Quantiles a dimension: the ranks' bits are what the order interleaves.
 RANK_BITS = 8
+#: Shares of a first bound that are tried as the bound.
+SHARES = [0.8 ** i for i in range(20)]
 _SLACK = 1 + 1e-9   # rounding of a bound must not exclude a tie
 
 
@@ -39,13 +46,20 @@ def _best(scored: DataFrame, query: str, id_col: str, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _score(dims: list[str]) -> Column:
-    return sum(F.abs(F.col(d) - F.col(f"q_{d}")) / F.col(f"max_{d}") for d in dims)
+def _score(dims: list[str], row: Column | None = None) -> Column:
+    """The score of a row: of a struct, or of the frame's own columns."""
+    value = F.col if row is None else row.getField
+    return sum(F.abs(value(d) - F.col(f"q_{d}")) / F.col(f"max_{d}") for d in dims)
 
 
-def _box_bound(dims: list[str]) -> Column:
+def _box_bound(dims: list[str], box: Column) -> Column:
     """The least score that a row inside a box can have."""
-    return sum(F.greatest(F.col(f"lo_{d}") - F.col(f"q_{d}"), F.col(f"q_{d}") - F.col(f"hi_{d}"), F.lit(0.0)) / F.col(f"max_{d}") for d in dims)
+    return sum(F.greatest(box[f"lo_{d}"] - F.col(f"q_{d}"), F.col(f"q_{d}") - box[f"hi_{d}"], F.lit(0.0)) / F.col(f"max_{d}") for d in dims)
+
+
+def _box_centre(dims: list[str], box: Column) -> Column:
+    """How far a box's centre is: of overlapping boxes around a query the small one is the better guess."""
+    return sum(F.abs(F.col(f"q_{d}") - (box[f"lo_{d}"] + box[f"hi_{d}"]) / 2) / F.col(f"max_{d}") for d in dims)
 
 
 def _ranks(rows: DataFrame, group: str, dims: list[str]) -> DataFrame:
@@ -69,30 +83,35 @@ def _interleaved(dims: list[str]) -> Column:
 
 
 def _index(rows: DataFrame, group: str, dims: list[str], id_col: str, cell: int) -> tuple[DataFrame, list[DataFrame]]:
-    """(rows with their ``cell``, the node tables from the cells up) -- the top one holds at most ``FAN`` nodes a group."""
+    """(cells with their ``_rows``, the node tables from the cells' parents up) -- a parent has the boxes of its ``_children``."""
     ranked = rows.join(_ranks(rows, group, dims), group).withColumns({f"rank_{d}": _rank(d) for d in dims})
     coded = ranked.withColumn("_code", _interleaved(dims)).select(*rows.columns, "_code")
     placed = group_positions(coded, [group], [F.col(c) for c in ("_code", *dims, id_col)])
     last = F.greatest(F.floor(F.col("group_size") / cell) - 1, F.lit(0))
-    placed = materialize(placed.withColumn("cell", F.least(F.floor(F.col("position") / cell), last)).drop("_code", "position", "group_size"))
+    placed = placed.withColumn("cell", F.least(F.floor(F.col("position") / cell), last))
+    # a cell's rows are one array: at most twice ``cell`` of them
+    cells = materialize(placed.groupBy(group, "cell").agg(
+        F.collect_list(F.struct(*rows.columns)).alias("_rows"),
+        *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]))
     edges = [f(f"{n}_{d}").alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]
-    level = placed.groupBy(group, F.col("cell").alias("node")).agg(
-        *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))])
-    level = materialize(level.withColumn("parent", F.floor(F.col("node") / FAN)))
+    boxes = [f"{n}_{d}" for d in dims for n in ("lo", "hi")]
+    level = materialize(cells.select(group, F.col("cell").alias("node"), *boxes, F.floor(F.col("cell") / FAN).alias("parent")))
     levels, width = [level], level.agg(F.max("node")).first()[0] or 0
     while width >= FAN:
         level = level.groupBy(group, F.col("parent").alias("node")).agg(*edges).withColumn("parent", F.floor(F.col("node") / FAN))
         levels.append(level)
         width //= FAN
-    return placed, levels
+    children = F.collect_list(F.struct("node", *boxes)).alias("_children")   # at most ``FAN``
+    return cells.select(group, "cell", "_rows"), [x.groupBy(group, "parent").agg(children) for x in levels]
 
 
 def _nearest_cell(points: DataFrame, levels: list[DataFrame], group: str, dims: list[str]) -> DataFrame:
     """Each point with the one ``cell`` that it reaches through the nearest child of every node."""
     at = points.withColumn("parent", F.lit(0).cast("long"))
     for level in reversed(levels):
-        near = at.join(level, [group, "parent"]).groupBy("_point").agg(F.min_by("node", F.struct(_box_bound(dims), F.col("node"))).alias("node"))
-        at = points.join(near, "_point").withColumnRenamed("node", "parent")
+        near = F.array_min(F.transform("_children", lambda box: F.struct(
+            _box_bound(dims, box).alias("bound"), _box_centre(dims, box).alias("centre"), box["node"].alias("node"))))
+        at = at.join(level, [group, "parent"]).select(*points.columns, near["node"].alias("parent"))
     return at.withColumnRenamed("parent", "cell")
 
 
@@ -100,12 +119,17 @@ def _cells_within(points: DataFrame, levels: list[DataFrame], group: str, dims:
     """Each point with every ``cell`` whose box comes within its ``reach``."""
     at = points.withColumn("parent", F.lit(0).cast("long"))
     for level in reversed(levels):
-        boxes = level.select(group, "parent", "node", *[f"{n}_{d}" for d in dims for n in ("lo", "hi")])
-        at = at.join(boxes, [group, "parent"]).where(_box_bound(dims) <= F.col("reach") * _SLACK)
-        at = at.select(*points.columns, F.col("node").alias("parent"))
+        within = F.filter("_children", lambda box: _box_bound(dims, box) <= F.col("reach") * _SLACK)
+        at = at.join(level, [group, "parent"]).select(*points.columns, F.explode(F.transform(within, lambda box: box["node"])).alias("parent"))
     return at.withColumnRenamed("parent", "cell")
 
 
+def _rows_within(points: DataFrame, cells: DataFrame, levels: list[DataFrame], group: str, dims: list[str]) -> DataFrame:
+    """Each point with every row (``_row``) whose ``score`` is within its ``reach``."""
+    near = _cells_within(points, levels, group, dims).join(cells, [group, "cell"]).select(*points.columns, F.explode("_rows").alias("_row"))
+    return near.withColumn("score", _score(dims, F.col("_row"))).where(F.col("score") <= F.col("reach"))
+
+
 def nearest(rows: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, group: str, dims: list[str],
             cell: int = CELL, few: int = FEW) -> DataFrame:
     """(query, rank, score, the row's columns): the k nearest ``rows`` of each query's group, ties by ``id_col``.
@@ -125,13 +149,20 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_col: str, query_col:
 
     same = Window.partitionBy(group, *dims).orderBy(id_col)
     distinct = rows.withColumn("_same", F.row_number().over(same)).where(F.col("_same") <= k).drop("_same")
-    placed, levels = _index(distinct, group, dims, id_col, max(cell, k))
+    cells, levels = _index(distinct, group, dims, id_col, max(cell, k))
     profile = [group, *[f"q_{d}" for d in dims]]
-    points = materialize(sized.drop(query_col).dropDuplicates(profile).withColumn("_point", F.monotonically_increasing_id()))
-    own = _nearest_cell(points, levels, group, dims).join(placed, [group, "cell"]).withColumn("score", _score(dims))
-    reach = _best(own, "_point", id_col, k).groupBy("_point").agg(F.count(F.lit(1)).alias("_n"), F.max("score").alias("reach"))
-    limited = materialize(points.join(reach, "_point").withColumn("reach", F.when(F.col("_n") == k, F.col("reach")).otherwise(F.lit(float("inf")))).drop("_n"))
-    near = _cells_within(limited, levels, group, dims).join(placed, [group, "cell"]).withColumn("score", _score(dims))
-    found = _best(near.where(F.col("score") <= F.col("reach")), "_point", id_col, k)
+    asked = sized.drop(query_col).dropDuplicates(profile)
+    points = asked.repartition(max(1, -(-asked.count() // POINTS)), *profile)   # much work a row: not dealt by bytes
+    points = materialize(points.withColumn("_point", F.monotonically_increasing_id()))
+    scores = F.array_sort(F.transform("_rows", lambda row: _score(dims, row)))
+    reach = F.when(F.size("_rows") >= k, F.get(scores, F.lit(k - 1))).otherwise(F.lit(float("inf")))
+    limited = materialize(_nearest_cell(points, levels, group, dims).join(cells, [group, "cell"]).select(*points.columns, reach.alias("reach")))
+    # the bound again, by counts of the rows within shares of it: those that are sorted stay few where the first cell lay badly
+    within = [F.count_if(F.col("score") <= F.col("reach") * share).alias(f"_n{i}") for i, share in enumerate(SHARES)]
+    counts = _rows_within(limited, cells, levels, group, dims).groupBy("_point").agg(*within)
+    shares = F.coalesce(*[F.when(F.col(f"_n{i}") >= k, F.col("reach") * share) for i, share in reversed(list(enumerate(SHARES)))], F.col("reach"))
+    limited = materialize(limited.join(counts, "_point").select(*points.columns, shares.alias("reach")))
+    near = _rows_within(limited, cells, levels, group, dims)
+    found = _best(near.select("_point", "score", "_row.*"), "_point", id_col, k)
     own = sized.select(query_col, *profile).join(points.select("_point", *profile), profile).select(query_col, "_point")
     return own.join(found.select("_point", *out[1:]), "_point").select(out)

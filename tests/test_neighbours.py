@@ -86,3 +86,16 @@ def test_scored_rows_stay_few_under_skew(spark, monkeypatch):
     found = NB.nearest(rows, asked_, 5, "id", "q", "cycle", ["t", "e", "r"], cell=256, few=0)
     assert found.where("rank = 1 and q != concat('q', id)").count() == 0 and found.count() == 5 * m
     assert max(pairs) < 0.1 * n * m
+
+
+def test_few_rows_a_query_are_sorted(spark, monkeypatch):
+    """Of the cells that a query meets only the rows within its bound are sorted and dealt, not a cell's every row."""
+    n, m = 20_000, 300
+    xyz = np.random.default_rng(5).random((n, 3)) * 1000
+    rows = spark.createDataFrame([(f"s{i}", "monthly", *map(float, xyz[i])) for i in range(n)], "id string, cycle string, t double, e double, r double")
+    asked_ = rows.orderBy("id").limit(m).select(F.concat(F.lit("q"), "id").alias("q"), "cycle", "t", "e", "r")
+    sorted_rows = []
+    own = NB._best
+    monkeypatch.setattr(NB, "_best", lambda scored, *a: (sorted_rows.append(scored.count()), own(scored, *a))[1])
+    found = NB.nearest(rows, asked_, 5, "id", "q", "cycle", ["t", "e", "r"], cell=256, few=0)
+    assert found.count() == 5 * m and sum(sorted_rows) < 100 * m

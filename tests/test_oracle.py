@@ -66,6 +66,13 @@ def test_oracle_sf001(spark, duck_oracle, key):
     _compare(spark, duck_oracle, SF_ORACLE, key)
 
 
+def test_threshold_join_returns_every_subscriber_and_feature(spark):
+    found = QUERIES["threshold_join"](spark, SF_SMALL)
+    subscribers = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert found.select("subscriber_id").distinct().count() == subscribers
+    assert found.groupBy("subscriber_id", "feature").count().where("count > 1").count() == 0
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["tier", "subscribers", "at_risk", "revenue", "risk_pct", "revenue_at_risk"]

@@ -103,3 +103,16 @@ def test_events_are_read_once_for_additive_aggregates(spark, tmp_path, monkeypat
     TL.as_of(sp, ev, "key", "ts", [r for r in RUNNING if r.how != "distinct"], "event_id")
     TL.as_of(sp, ev, "key", "ts", RUNNING, "event_id")
     assert scans == [1, 2]
+
+
+def test_ranges_are_sized_by_rows(spark, monkeypatch):
+    """As many ranges as counted rows ask for, whatever their bytes, with the same results."""
+    events, spine = rows_of(random.Random(3), 300, 120)
+    stored = []
+    write = TL.write_and_read
+    monkeypatch.setattr(TL, "write_and_read", lambda *a: (stored.append(write(*a)), stored[-1])[1])
+    monkeypatch.setattr(TL, "BLOCK_ROWS", 60)
+    got = TL.as_of(spark.createDataFrame(spine, SPINE), spark.createDataFrame(events, EVENT), "key", "ts", RUNNING, "event_id")
+    assert sorted(map(str, [tuple(r) for r in got.collect()])) == sorted(map(str, brute_rows(spine, events)))
+    sizes = [r["count"] for r in stored[0].groupBy("_block").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 180

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import list_dir
-from ..sources.io import materialize
+from ..sources.io import materialize, write_and_read
 from .features import KEY
 from .model import LABEL, feature_columns, gbt_stage, model_inputs
 from .order_stats import positions
@@ -246,7 +246,9 @@ def attribution_dependence(long: DataFrame, wide: DataFrame, importance: DataFra
     from .monitor import to_long
     numeric = [c for c in feature_columns() if not c.endswith("_idx")]
     vals = to_long(wide.select(KEY, *[F.col(c).cast("double").alias(c) for c in numeric]), numeric, [KEY])
-    j = long.join(F.broadcast(top), "feature").join(vals, [KEY, "feature"])
+    # both sides have a row per id and feature: Spark takes the unpivoted one for as small as the table and would collect it
+    j = long.join(F.broadcast(top), "feature").join(vals.join(F.broadcast(top), "feature").hint("merge"), [KEY, "feature"])
+    j = write_and_read(wide.sparkSession, j.select("feature", "value", "attribution"), "attribution_values")
     rng = j.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     j = j.join(F.broadcast(rng), "feature")  # one row per top feature
     width = F.col("hi") - F.col("lo")

@@ -180,7 +180,8 @@ def mean_abs_attribution(ws):  # A25
 
 @register("attribution_dependence")
 def attribution_dependence(ws):  # U12
-    long = XP.attribution_long(_attribution(ws))
+    # read for the ranking and for the bins: attributed once
+    long = XP.attribution_long(IO.write_and_read(ws.spark, _attribution(ws), "attributions"))
     return XP.attribution_dependence(long, ws.wide, XP.mean_abs_attribution(long))
 
 

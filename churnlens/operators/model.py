@@ -82,19 +82,23 @@ def model_inputs(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                      *([F.col(LABEL).cast("double").alias(LABEL)] if LABEL in df.columns else []))
 
 
-TRAIN_BYTES_PER_PARTITION = 64 * 1024 * 1024
+#: Training rows a partition: a boosting step reads all of a partition's rows for every tree and level.
+TRAIN_ROWS_PER_PARTITION = 20_000
 
 
 def training_input(train: DataFrame) -> DataFrame:
-    """Model inputs without NULL rows (D5), spread over ~one partition per 64 MB.
+    """Model inputs without NULL rows (D5), spread over partitions of ``TRAIN_ROWS_PER_PARTITION``.
 
     Boosting runs several small jobs per tree; on a small training set every extra partition
-    is pure task overhead, on a large one the partitions keep each task's share bounded.  The
-    size comes from the optimizer's estimate (no extra job).
+    is pure task overhead, on a large one the partitions keep each task's share bounded and all
+    cores busy.  The rows are counted, as sizes of stored or compressed tables say little of the work.
     """
     df = model_inputs(train).dropna()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(max(1, -(-size // TRAIN_BYTES_PER_PARTITION)))
+    return df.repartition(training_partitions(df.count()))
+
+
+def training_partitions(rows: int) -> int:
+    return max(1, -(-rows // TRAIN_ROWS_PER_PARTITION))
 
 
 @dataclass(frozen=True)
@@ -108,7 +112,9 @@ def prepare(train: DataFrame) -> Prepared:
     """Encode and assemble the training rows once, and store them: any number of fits read them."""
     inputs = training_input(train)
     stages = Pipeline(stages=input_stages()).fit(inputs)
-    return Prepared(stages, write_and_read(train.sparkSession, stages.transform(inputs).select("features", LABEL), "training_vectors"))
+    rows = write_and_read(train.sparkSession, stages.transform(inputs).select("features", LABEL), "training_vectors")
+    parts = training_partitions(rows.count())   # a scan packs the stored files into fewer
+    return Prepared(stages, rows.repartition(parts) if parts > 1 else rows)
 
 
 def fit(train: DataFrame | Prepared, params: GBTParams = GBTParams()) -> PipelineModel:

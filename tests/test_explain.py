@@ -174,3 +174,28 @@ def test_metrics_equal_spark_evaluator(spark, small_model):
                                   ("f1_score", "fMeasureByLabel")]:
         theirs = ev.evaluate(scored, {ev.metricName: spark_name, ev.metricLabel: 1.0})
         assert ours[ours_name] == pytest.approx(theirs, abs=1e-6)
+
+
+def test_dependence_reads_values_by_a_sort_merge_join_and_once(spark, small_model, monkeypatch):
+    """The unpivoted values have a row per id and feature: they are never collected for a broadcast, and the rows are joined once."""
+    ws, model, path = small_model
+    joined = []
+    write = XP.write_and_read
+    monkeypatch.setattr(XP, "write_and_read", lambda s, df, name: (joined.append(df), write(s, df, name))[1])
+    long = XP.attribution_long(XP.tree_attribution(spark, model, path, ws.wide))
+    found = XP.attribution_dependence(long, ws.wide, XP.mean_abs_attribution(long), top_n=40).collect()
+    n = ws.wide.count()
+    per_feature = {}
+    for r in found:
+        per_feature[r["feature"]] = per_feature.get(r["feature"], 0) + r["n"]
+    assert set(per_feature) == {c for c in M.feature_columns() if not c.endswith("_idx")} and set(per_feature.values()) == {n}
+    assert len(joined) == 1 and "strategy=merge" in joined[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_training_rows_are_spread_by_count(spark, small_model, monkeypatch):
+    ws, _, _ = small_model
+    wide = QA.with_split(ws.wide)
+    n = wide.count()
+    monkeypatch.setattr(M, "TRAIN_ROWS_PER_PARTITION", 40)
+    prepared = M.prepare(wide)
+    assert prepared.rows.rdd.getNumPartitions() == -(-n // 40) > 1 and prepared.rows.count() == n

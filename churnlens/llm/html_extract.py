@@ -3,10 +3,12 @@
 A page becomes lines: markup is stripped, and every block element starts a new line. Lines inside
 elements that never hold article text (navigation, headers, footers, sidebars, forms, scripts, or a
 class, id or role that says advert, notice, comments and the like, unless the element is or holds the page's only
-article, or the word is part of a compound such as has-comments or no-sidebar) count as length 0, as do lines
-outside the article element where the page has one and, elsewhere, lines made mostly of links. Sums
-of text length over a sliding window of lines form the block distribution: a surge is where the sum
-rises from nothing, a dive is where it falls back to it. The text between a surge and its dive is kept.
+article, or the word is part of a compound such as has-comments or no-sidebar) and lines outside the article
+element, where the page has one, are never kept and count as length 0; elsewhere lines made mostly of links
+count as length 0 too. Sums of text length over a sliding window of lines form the block distribution: a surge is
+where the sum rises from nothing, a dive is where it falls back to it. The text between a surge and its dive is
+kept, with the lines of links in it: one or two such lines between lines of text belong to the article, three or
+more in a row, or those before and after all text, are a menu.
 
 Lines are trimmed with inner white space made one space, character references decoded, and joined by an
 empty line. Defined results: null and empty html, and pages without text, give the empty text; whole
@@ -207,9 +209,9 @@ def main_text(page: str | None) -> str:
     if not lines:
         return ""
     has_article = any(x.in_article and not x.skipped for x in lines)
-    lengths = np.array([0 if x.skipped or has_article and not x.in_article
-                        or not has_article and x.link_chars >= LINK_SHARE * len(x.text) else len(x.text) for x in lines])
-    return "\n\n".join(lines[i].text for a, b in surges(lengths) for i in range(a, b) if lengths[i])
+    kept = [not x.skipped and (x.in_article or not has_article) for x in lines]
+    lengths = np.array([len(x.text) if k and (has_article or x.link_chars < LINK_SHARE * len(x.text)) else 0 for x, k in zip(lines, kept)])
+    return "\n\n".join(lines[i].text for a, b in surges(lengths) for i in range(a, b) if kept[i])
 
 
 def extract(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -16,6 +16,7 @@ Margin scale: Spark's boosted trees predict ``sum(weight_t * tree_t(x))`` and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,24 +79,23 @@ def load_tree_tables(spark: SparkSession, model_path: str, weights: list[float])
 
 def _goes_left(tt: TreeTable, node: int, x: np.ndarray) -> np.ndarray:
     if tt.categories[node] is not None:
-        return np.isin(x, tt.categories[node]).astype(float)
-    return (x <= tt.threshold[node]).astype(float)
+        return np.isin(x, tt.categories[node])
+    return x <= tt.threshold[node]
 
 
 def tree_margin(tables: list[TreeTable], X: np.ndarray) -> np.ndarray:
     """Raw margin sum(weight * leaf) by walking each tree (vectorised over rows)."""
     out = np.zeros(X.shape[0])
+    columns = np.ascontiguousarray(X.T)
     for tt in tables:
-        node = np.zeros(X.shape[0], dtype=int)
-        active = tt.left[node] >= 0
-        while active.any():
-            idx = np.where(active)[0]
-            for nd in np.unique(node[idx]):
-                rows = idx[node[idx] == nd]
-                gl = _goes_left(tt, nd, X[rows, tt.feature[nd]]) > 0
-                node[rows] = np.where(gl, tt.left[nd], tt.right[nd])
-            active = tt.left[node] >= 0
-        out += tt.value[node]
+        stack = [(0, np.arange(X.shape[0]))]   # a node and the rows that reach it
+        while stack:
+            node, rows = stack.pop()
+            if tt.left[node] < 0:
+                out[rows] += tt.value[node]
+            elif len(rows):
+                goes = _goes_left(tt, node, columns[tt.feature[node]][rows])
+                stack += [(tt.left[node], rows[goes]), (tt.right[node], rows[~goes])]
     return out
 
 
@@ -157,7 +157,8 @@ def leaf_tables(tt: TreeTable, room: int = MAX_TABLE_BYTES) -> list[Leaf]:
         m = len(splits)
         if (m << m) * 8 <= room:
             room -= (m << m) * 8
-            leaf.table = contributions(leaf, ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float))
+            # by columns: a batch looks up one path feature after the other
+            leaf.table = np.asfortranarray(contributions(leaf, ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float)))
         out.append(leaf)
     return out
 
@@ -171,19 +172,40 @@ def model_leaves(tables: list[TreeTable], room: int = MAX_TABLE_BYTES) -> list[l
     return out
 
 
+def agreements(tt: TreeTable, columns: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """For every leaf, as ``leaf_tables`` orders them, which rows agree with each of its path features.
+
+    Rows are tested once per split, and leaves share what is known of the path above them.
+    """
+    stack: list[tuple[int, dict]] = [(0, {})]
+    while stack:
+        node, agree = stack.pop()
+        if tt.left[node] < 0:
+            yield list(agree.values())
+            continue
+        f = int(tt.feature[node])
+        left = _goes_left(tt, node, columns[f])
+        for child, went in ((tt.left[node], left), (tt.right[node], ~left)):
+            stack.append((child, agree | {f: agree[f] & went if f in agree else went}))
+
+
 def tree_shap_tables(tables: list[TreeTable], leaves: list[list[Leaf]], X: np.ndarray) -> np.ndarray:
     """SHAP values of a batch, (rows, features), from the leaves of all trees."""
-    phi = np.zeros(X.shape)
+    columns = np.ascontiguousarray(X.T)
+    phi = np.zeros(columns.shape)   # a feature's values lie together
+    found = np.empty(len(X))
     for tt, own in zip(tables, leaves):
-        left = {int(nd): _goes_left(tt, int(nd), X[:, tt.feature[nd]]) > 0 for nd in np.where(tt.left >= 0)[0]}
-        for leaf in own:
-            agree = np.ones((len(X), len(leaf.splits)), dtype=bool)
-            for k, splits in enumerate(leaf.splits):
-                for node, went_left in splits:
-                    agree[:, k] &= left[node] == went_left
-            phi[:, leaf.features] += (contributions(leaf, agree.astype(float)) if leaf.table is None
-                                      else leaf.table[agree @ (1 << np.arange(len(leaf.splits)))])
-    return phi
+        for leaf, agree in zip(own, agreements(tt, columns)):
+            if leaf.table is None:
+                phi[leaf.features] += contributions(leaf, np.stack(agree, axis=1).astype(float)).T
+                continue
+            pattern = np.zeros(len(X), dtype=np.uint8 if len(agree) <= 8 else np.int32)
+            for k, a in enumerate(agree):
+                pattern |= a.astype(pattern.dtype) << k
+            pattern = pattern.astype(np.intp)
+            for k, f in enumerate(leaf.features):
+                phi[f] += np.take(leaf.table[:, k], pattern, out=found, mode="clip")   # clip: no copy; all patterns are inside
+    return np.ascontiguousarray(phi.T)
 
 
 def tree_shap(tables: list[TreeTable], X: np.ndarray) -> np.ndarray:

@@ -141,3 +141,18 @@ def test_buckets_and_build_shuffles_follow_counted_subscribers(spark, monkeypatc
     ws = Workspace(spark, "", catalog=cat, materialize=True)
     assert ws.wide.count() == 90
     assert min(seen) >= 32 and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_build_puts_few_shuffled_bytes_together_for_a_task(spark):
+    from churnlens.plans import feature_store as FS
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    own = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "8")
+        spark.conf.set(names[1], "256m")
+        with FS.shuffle_partitions(spark, 64):
+            assert [spark.conf.get(n) for n in names] == ["64", FS.TASK_READ]
+        assert [spark.conf.get(n) for n in names] == ["8", "256m"]
+    finally:
+        for n, v in zip(names, own):
+            spark.conf.set(n, v)

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import monitor as MO
+from ..plans.feature_store import shuffle_partitions
 from ..plans.queries import KEY, register, tidy
 from ..sources import io as IO
 from . import incremental, monitor_stream, scoring
@@ -36,6 +37,14 @@ def incremental_features(ws):  # T2: engagement view maintained from event files
     return tidy(incremental.run_incremental(ws.spark, path, run, max_files_per_trigger=1))
 
 
+#: Subscribers for each request file of a part: a task writes and reads one file.
+ROWS_PER_FILE = 50_000
+
+
+def request_files(rows: int) -> int:
+    return max(4, -(-rows // ROWS_PER_FILE))
+
+
 def _score_requests(ws):
     """(batch rows, streamed scores): every subscriber's feature row as a request, each delivered in two or three of four files."""
     from ..operators.model import model_inputs
@@ -48,9 +57,12 @@ def _score_requests(ws):
         F.concat(F.lit("request-"), KEY).alias(scoring.EVENT_ID),
         F.timestamp_add("SECOND", -F.pmod(F.xxhash64(KEY), F.lit(3600)), F.lit(ws.as_of).cast("timestamp_ntz")).alias(scoring.EVENT_TIME), "*")
     rows = IO.materialize(rows)
+    files = request_files(rows.count())
     for i in range(4):
-        rows.where((h == i) | (h == (i + 1) % 4) | ((h == (i + 2) % 4) & (F.length(KEY) % 2 == 0))).coalesce(4).write.parquet(f"{path}/part={i}")
-    streamed = scoring.run_stream_scoring(ws.spark, model, f"{path}/part=*", rows.schema, run, ws.as_of, max_files_per_trigger=5)
+        sent = rows.where((h == i) | (h == (i + 1) % 4) | ((h == (i + 2) % 4) & (F.length(KEY) % 2 == 0)))
+        (sent.coalesce(4) if files == 4 else sent.repartition(files)).write.parquet(f"{path}/part={i}")
+    with shuffle_partitions(ws.spark, files):   # a micro-batch takes a fixed share of the requests, its tasks a fixed number
+        streamed = scoring.run_stream_scoring(ws.spark, model, f"{path}/part=*", rows.schema, run, ws.as_of, max_files_per_trigger=files + 1)
     return model, rows, streamed
 
 

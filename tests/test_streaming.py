@@ -178,3 +178,21 @@ def test_scores_are_written_once_for_repeated_requests_and_after_a_restart(spark
     batch = M.predict(model, ws.wide, ws.as_of).select(cols)
     assert first == rows.where(third < 2).count() and scored.count() == rows.count()
     assert sorted(map(tuple, scored.select(cols).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_request_files_grow_in_number_with_the_subscribers(spark, monkeypatch):
+    from churnlens.operators import model as M
+    from churnlens.operators import quality as QA
+    from churnlens.plans import model_queries as MQ
+    from churnlens.streaming import queries as SQ
+    ws = Workspace(spark, SF_SMALL)
+    model = M.fit(QA.with_split(ws.wide).where("split = 'train'"), M.GBTParams(2, 2, 0.3))
+    monkeypatch.setattr(MQ, "trained", lambda ws: (model, ""))
+    n = ws.wide.count()
+    monkeypatch.setattr(SQ, "ROWS_PER_FILE", -(-n // 12), raising=False)
+    read, run = [], SQ.scoring.run_stream_scoring
+    monkeypatch.setattr(SQ.scoring, "run_stream_scoring", lambda *a, **k: (read.append(a[2]), run(*a, **k))[1])
+    _, rows, streamed = SQ._score_requests(ws)
+    files = spark.read.parquet(read[0]).select(F.input_file_name().alias("file")).groupBy("file").count().collect()
+    assert len(files) > 16 and max(r["count"] for r in files) < n / 4   # four files a part held a quarter of it each
+    assert streamed.count() == streamed.select("event_id").distinct().count() == n == rows.count()

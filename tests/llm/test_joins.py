@@ -240,3 +240,30 @@ def test_pipeline_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "jaccard", "decontaminate", "pii", "byte_bpe"]
     import __spark_entry__ as entry
     assert {"pipeline", *queries.llm_queries()} <= set(entry.queries()) and len(queries.llm_queries()) == 13
+
+
+def test_prefix_candidates_are_dealt_without_what_their_group_has_in_common(spark):
+    """Only (gid, late, shingle) is dealt by shingle; the lists are those of an order computed by hand, late places included."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    texts = [" ".join(base[:rng.randint(1, 90)] + [f"x{rng.randint(0, 3)}"] * rng.randint(0, 2)) for _ in range(60)] + ["a b c", "a b c", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    jaccard_join.small_batches(spark)
+    rows = jaccard_join.stored(jaccard_join._profile(docs, 5, 80), "test-profiles")
+    shared = spark.sparkContext.broadcast(jaccard_join._shared_bits(rows.selectExpr("explode(candidates) AS shingle")))
+    assert jaccard_join._maybe_shared(rows, shared).columns == ["gid", "late", "shingle"]
+    held = [r for r in rows.collect() if r["n"]]
+    seen = {}
+    for r in held:
+        for s in r["candidates"]:
+            seen[s] = seen.get(s, 0) + 1
+    want, late = set(), 0
+    for r in held:
+        c, k = r["candidates"], r["n_counted"]
+        own = sorted((seen[s], s) for s in c[:k] if seen[s] > 1)
+        places = [(k - len(own) + i, s) for i, (_, s) in enumerate(own)] + [(i, s) for i, s in enumerate(c) if i >= k and seen[s] > 1]
+        length = r["n"] - -(-80 * r["n"] // 100) + 1
+        late += any(p >= k and p < length for p, _ in places)
+        want |= {(r["gid"], r["n"], s, r["n"] - p) for p, s in places if p < length}
+    got = [tuple(r) for r in jaccard_join._prefix_lists(rows, 80).select("gid", "n", "shingle", "rest").collect()]
+    assert late and len(got) == len(set(got)) and set(got) == want

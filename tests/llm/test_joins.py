@@ -267,3 +267,43 @@ def test_prefix_candidates_are_dealt_without_what_their_group_has_in_common(spar
         want |= {(r["gid"], r["n"], s, r["n"] - p) for p, s in places if p < length}
     got = [tuple(r) for r in jaccard_join._prefix_lists(rows, 80).select("gid", "n", "shingle", "rest").collect()]
     assert late and len(got) == len(set(got)) and set(got) == want
+
+
+def dealt_with(df, column):
+    """Rows that the shuffles of a frame, which was collected, dealt out with this column."""
+    seen, total = set(), 0
+
+    def walk(node):
+        nonlocal total
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "ReusedExchangeExec":
+            return walk(node.child())
+        if kind == "ShuffleExchangeExec" and node.id() not in seen and f"{column}#" in node.output().mkString(" "):
+            seen.add(node.id())
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return total
+
+
+def test_rows_that_stay_are_not_dealt_out(spark, docs_of):
+    """Only texts of rows that go or are repeated are shuffled, also where no table is broadcast."""
+    rng = random.Random(3)
+    texts = [" ".join(str(rng.random()) for _ in range(30)) for _ in range(400)]
+    rows = list(enumerate(texts)) + [(1000 + i, texts[i]) for i in range(20)] + [(7, texts[7]), (500, None), (500, None), (None, texts[9])]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard_join.keep_one(docs_of(rows))
+        assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
+            (str(i), t) for i, t in list(enumerate(texts)) + [(500, None), (500, None)])
+        assert 0 < dealt_with(kept, "text") <= 2 * 30
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -82,23 +82,34 @@ def model_inputs(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                      *([F.col(LABEL).cast("double").alias(LABEL)] if LABEL in df.columns else []))
 
 
-#: Training rows a partition: a boosting step reads all of a partition's rows for every tree and level.
-TRAIN_ROWS_PER_PARTITION = 20_000
+#: Training rows a partition: a boosting step reads all of a partition's rows for every tree and level. Fewer bring nothing;
+#: more than a core can take at a time, up to the most that a task should hold in memory, bring less to merge.
+TRAIN_ROWS_PER_PARTITION, MOST_ROWS_PER_PARTITION = 20_000, 250_000
 
 
 def training_input(train: DataFrame) -> DataFrame:
-    """Model inputs without NULL rows (D5), spread over partitions of ``TRAIN_ROWS_PER_PARTITION``.
+    """Model inputs without NULL rows (D5), spread over ``training_partitions``.
 
     Boosting runs several small jobs per tree; on a small training set every extra partition
     is pure task overhead, on a large one the partitions keep each task's share bounded and all
     cores busy.  The rows are counted, as sizes of stored or compressed tables say little of the work.
     """
     df = model_inputs(train).dropna()
-    return df.repartition(training_partitions(df.count()))
+    return df.repartition(training_partitions(df.count(), train_cores(df.sparkSession)))
 
 
-def training_partitions(rows: int) -> int:
-    return max(1, -(-rows // TRAIN_ROWS_PER_PARTITION))
+def training_partitions(rows: int, cores: int) -> int:
+    """Partitions of ``TRAIN_ROWS_PER_PARTITION``, but no more than one a core, or as many a core as
+    ``MOST_ROWS_PER_PARTITION`` asks for.
+
+    Each partition gives its own table of all nodes, features and bins to every level's merge, at the cost of reading
+    about 30,000 rows, so partitions that wait for a core only add to the work.
+    """
+    return max(1, min(-(-rows // TRAIN_ROWS_PER_PARTITION), cores * -(-rows // (cores * MOST_ROWS_PER_PARTITION))))
+
+
+def train_cores(spark: SparkSession) -> int:
+    return max(8, spark.sparkContext.defaultParallelism)   # executors may still be joining
 
 
 @dataclass(frozen=True)
@@ -113,7 +124,7 @@ def prepare(train: DataFrame) -> Prepared:
     inputs = training_input(train)
     stages = Pipeline(stages=input_stages()).fit(inputs)
     rows = write_and_read(train.sparkSession, stages.transform(inputs).select("features", LABEL), "training_vectors")
-    parts = training_partitions(rows.count())   # a scan packs the stored files into fewer
+    parts = training_partitions(rows.count(), train_cores(train.sparkSession))   # a scan packs the stored files into fewer
     return Prepared(stages, rows.repartition(parts) if parts > 1 else rows)
 
 

@@ -99,3 +99,28 @@ def test_few_rows_a_query_are_sorted(spark, monkeypatch):
     monkeypatch.setattr(NB, "_best", lambda scored, *a: (sorted_rows.append(scored.count()), own(scored, *a))[1])
     found = NB.nearest(rows, asked_, 5, "id", "q", "cycle", ["t", "e", "r"], cell=256, few=0)
     assert found.count() == 5 * m and sum(sorted_rows) < 100 * m
+
+
+def test_many_queries_meet_cells_in_arrays(spark, monkeypatch):
+    """With every row a query the queries go in arrays, and each one meets few cells: not a row a query and cell."""
+    n = 12_000
+    xyz = np.random.default_rng(7).random((n, 3)) * [365, 0, 1e6]
+    rows = spark.createDataFrame([(f"s{i:05d}", "monthly" if i % 2 else "annual", *map(float, xyz[i])) for i in range(n)],
+                                 "id string, cycle string, t double, e double, r double").repartition(4)
+    asked_ = rows.select(F.concat(F.lit("q"), "id").alias("q"), "cycle", "t", "e", "r")
+    met = []
+    own = NB._rows_within
+    monkeypatch.setattr(NB, "_rows_within", lambda points, *a: (met.append(points), own(points, *a))[1])
+    found = NB.nearest(rows, asked_, 3, "id", "q", "cycle", ["t", "e", "r"], cell=128, few=0)
+    assert found.where("rank = 1 and q = concat('q', id) and score = 0").count() == n and found.count() == 3 * n
+    assert max(points.count() for points in met) < n / 10
+    assert met[-1].select(F.sum(F.size("_points"))).first()[0] < 6 * n
+
+
+def test_curve_joins_neighbours(monkeypatch):
+    monkeypatch.setattr(NB, "RANK_BITS", 3)
+    for dims in (1, 2, 3):
+        ranks = np.stack(np.meshgrid(*[np.arange(8)] * dims)).reshape(dims, -1)
+        code = NB._hilbert(list(ranks))
+        assert sorted(code) == list(range(8 ** dims))
+        assert (np.abs(np.diff(ranks[:, np.argsort(code)])).sum(axis=0) == 1).all()

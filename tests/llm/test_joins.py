@@ -11,6 +11,7 @@ from llm_rows import ODD, SF
 
 import corpus_pipeline
 from churnlens.llm import byte_bpe, decontaminate, jaccard_join, pii, queries, toxicity
+from churnlens.session import list_dir, scratch_path
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -307,3 +308,17 @@ def test_rows_that_stay_are_not_dealt_out(spark, docs_of):
         assert 0 < dealt_with(kept, "text") <= 2 * 30
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_near_duplicates_remove_what_no_later_step_reads(spark, docs_of):
+    """Of the tables that are stored on the way only those stay that the lazy result reads; the candidates are the largest."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=30))) for i in range(30)]
+    rows += [(100 + i, f"{t} more") for i, (_, t) in enumerate(rows)]
+    folder = scratch_path(spark, "llm")
+    before = {p.rsplit("/", 1)[1] for p in list_dir(spark, folder)}
+    found = jaccard_join.near_duplicates(docs_of(rows), size=2, percent=80)
+    left = {p.rsplit("/", 1)[1] for p in list_dir(spark, folder)} - before
+    assert not {n for n in left if n.startswith(("profiles", "frequencies", "prefixes", "lists", "met-", "member", "cells", "planned"))}
+    same(got_components(found), brute_components(rows, 2, 80))
